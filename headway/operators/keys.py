@@ -47,14 +47,17 @@ def number_rows(rows: DataFrame, key: str, sk: str, after: Column | int = 0) ->
     most 16.8 million page sizes, whatever the keys are. Pages depend on the key alone, so a recomputed
     task numbers its rows as before.
     """
-    paged = rows.withColumn("__page", F.shiftright(F.col(key).cast("bigint"), _PAGE_BITS))
+    # A page that is never null keeps null filters out of the plan, so that the rows read here and the
+    # page sizes share one scan and exchange.
+    page = F.coalesce(F.shiftright(F.col(key).cast("bigint"), _PAGE_BITS), F.lit(0))
+    paged = rows.withColumn("__page", page)
     sizes = (paged.groupBy("__page").agg(F.count(F.lit(1)).alias("__n"))
              .withColumn("__book", F.shiftright("__page", _BOOK_BITS)))
     earlier = (Window.unboundedPreceding, -1)
     in_book = Window.partitionBy("__book").orderBy("__page").rowsBetween(*earlier)
     pages = sizes.withColumn("__in_book", F.coalesce(F.sum("__n").over(in_book), F.lit(0)))
     by_book = Window.partitionBy(F.lit(0)).orderBy("__book").rowsBetween(*earlier)
-    books = (sizes.groupBy("__book").agg(F.sum("__n").alias("__n"))
+    books = (pages.groupBy("__book").agg(F.sum("__n").alias("__n"))
              .select("__book", F.coalesce(F.sum("__n").over(by_book), F.lit(0)).alias("__in_shelf")))
     starts = (pages.join(books, "__book")
               .select("__page", (F.col("__in_book") + F.col("__in_shelf")).alias("__start")))

@@ -338,6 +338,7 @@ _SELECTS = {
                round(CAST(sum(d.base_fare) AS DOUBLE) / count(d.base_fare), 6) AS avg_base_fare
         FROM ride_asof r LEFT JOIN route_history d ON d.route_sk = r.route_sk
         GROUP BY d.route_number, CAST(r.start_time AS DATE), hour(r.start_time)""",
+    "warehouse_load": _MART,
     "mart_top20": f"{_MART} ORDER BY date, hour, route_number LIMIT 20",
     "movement_by_route_hour": _MOVEMENT,
     "layer_row_counts": " UNION ALL ".join(

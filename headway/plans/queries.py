@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from headway.functions.calendar import instant
 from headway.operators import dimensions, facts, history, keys, marts, quality, staging
-from headway.session import use_utc
+from headway.plans.load import load_all
+from headway.session import scratch_path, use_utc
 from headway.sources import supplied
 from headway.streaming import runs
 
@@ -419,3 +420,13 @@ def stream_fact_position(spark, sf_dir):
 @query
 def stream_movement_by_route_hour(spark, sf_dir):
     return _rounded(runs.movement(spark, sf_dir))
+
+
+# --- the whole load --------------------------------------------------------------------------------
+
+@query
+def warehouse_load(spark, sf_dir):
+    """Raw tables to mart through written layers; the mart as read back."""
+    raw = supplied.raw_tables(spark, sf_dir)
+    warehouse = load_all(spark, raw, scratch_path(spark, "warehouse"), BATCH, LOAD)
+    return _rounded(warehouse.read("dm_rides_by_route_hour"))

@@ -28,7 +28,11 @@ class Table:
     also_unique: tuple[tuple[str, ...], ...] = ()
     required: tuple[str, ...] = ()
     references: tuple[Reference, ...] = ()
-    partition_by: tuple[str, ...] = ()
+    # Partition folders as (name, SQL expression). Months rather than days keep small loads from being
+    # cut into thousands of tiny files; the day still prunes through file statistics.
+    partition_by: tuple[tuple[str, str], ...] = ()
+    # Rows that agree on these go to the same files as far as file sizes allow.
+    cluster_by: tuple[str, ...] = ()
     # Order inside files, so that row-group statistics prune the usual lookups.
     sort_by: tuple[str, ...] = ()
     # Rewritten as a whole under a new version, because existing rows change.
@@ -71,7 +75,7 @@ RAW = {t.name: t for t in [
 
 def _staged(name: str, key: str, columns: str, stamp: str = "extract_dts", sort_by=()) -> Table:
     return Table("stg", name, f"batch_id STRING, {stamp} TIMESTAMP, {columns}", ("batch_id", key),
-                 required=("batch_id", stamp, key), partition_by=("batch_id",), sort_by=sort_by)
+                 required=("batch_id", stamp, key), partition_by=(("batch_id", "batch_id"),), sort_by=sort_by)
 
 
 STAGING = {t.name: t for t in [
@@ -132,7 +136,8 @@ CORE = {t.name: t for t in [
                       Reference("route_sk", "dim_route_scd2", "route_sk"),
                       Reference("vehicle_sk", "dim_vehicle", "vehicle_sk"),
                       Reference("start_date_sk", "dim_date", "date_sk")),
-          partition_by=("start_date_sk",), sort_by=("user_sk", "start_time")),
+          partition_by=(("month", "start_date_sk div 100"),), cluster_by=("start_date_sk",),
+          sort_by=("user_sk", "start_time")),
     Table("core", "fact_payment",
           "payment_id STRING, ride_id STRING, user_sk BIGINT, amount DECIMAL(10,2), "
           "payment_method STRING, status STRING, created_at TIMESTAMP, created_date_sk INT, "
@@ -141,7 +146,8 @@ CORE = {t.name: t for t in [
           references=(Reference("ride_id", "fact_ride", "ride_id"),
                       Reference("user_sk", "dim_user", "user_sk"),
                       Reference("created_date_sk", "dim_date", "date_sk")),
-          partition_by=("created_date_sk",), sort_by=("status", "user_sk")),
+          partition_by=(("month", "created_date_sk div 100"),), cluster_by=("created_date_sk",),
+          sort_by=("status", "user_sk")),
     Table("core", "fact_vehicle_position",
           "event_id STRING, vehicle_sk BIGINT, route_number STRING, event_time TIMESTAMP, "
           "event_date_sk INT, latitude DOUBLE, longitude DOUBLE, speed_kmh DOUBLE, "
@@ -149,12 +155,13 @@ CORE = {t.name: t for t in [
           ("event_id",), required=("event_id", "event_time", "event_date_sk", "load_dts"),
           references=(Reference("vehicle_sk", "dim_vehicle", "vehicle_sk"),
                       Reference("event_date_sk", "dim_date", "date_sk")),
-          partition_by=("event_date_sk",), sort_by=("route_number", "event_time")),
+          partition_by=(("month", "event_date_sk div 100"),), cluster_by=("event_date_sk",),
+          sort_by=("route_number", "event_time")),
 ]}
 
 REJECTS = {t.name: t for t in [
     Table("core", f"{name}_rejects", f"{key} STRING, reason STRING, load_batch STRING", (key,),
-          partition_by=("load_batch",))
+          partition_by=(("load_batch", "load_batch"),))
     for name, key in [("fact_ride", "ride_id"), ("fact_payment", "payment_id"),
                       ("fact_vehicle_position", "event_id")]
 ]}
@@ -163,7 +170,8 @@ MARTS = {t.name: t for t in [
     Table("mart", "dm_rides_by_route_hour",
           "route_number STRING, date DATE, hour INT, trips_count INT, avg_fare DOUBLE, "
           "avg_duration_s DOUBLE",
-          ("route_number", "date", "hour"), partition_by=("date",), sort_by=("route_number", "hour")),
+          ("route_number", "date", "hour"), partition_by=(("month", "year(date) * 100 + month(date)"),),
+          sort_by=("route_number", "date", "hour")),
 ]}
 
 WAREHOUSE = {**{f"stg.{n}": t for n, t in STAGING.items()}, **CORE, **REJECTS, **MARTS}

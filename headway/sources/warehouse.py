@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.schemas import WAREHOUSE, Table
 
@@ -53,22 +54,29 @@ class Warehouse:
 
     # -- reading and writing --
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, from_month: int | None = None) -> DataFrame:
+        """The current content; ``from_month`` (e.g. 202410) skips the folders of earlier months."""
         table, path = WAREHOUSE[name], self.path(name)
         if not self._exists(path):
             return self.spark.createDataFrame([], table.columns)
-        return self.spark.read.schema(table.columns).parquet(path).select(*table.column_names)
+        derived = [f"{part} INT" for part, source in table.partition_by if part != source]
+        stored = self.spark.read.schema(", ".join([table.columns, *derived])).parquet(path)
+        if from_month is not None:
+            stored = stored.where(F.col("month") >= from_month)
+        return stored.select(*table.column_names)
 
     def _writer(self, rows: DataFrame, table: Table):
-        rows = rows.select(*table.column_names)
-        if table.partition_by:
-            # Few files per partition value; AQE splits a value that holds very much.
-            rows = rows.hint("rebalance", *table.partition_by)
-        order = (*table.partition_by, *table.sort_by)
+        parts = [part for part, _ in table.partition_by]
+        rows = rows.select(*table.column_names).withColumns(
+            {part: F.expr(source) for part, source in table.partition_by if part != source})
+        # AQE fits the files to the advisory size: it merges small groups and splits very large ones.
+        group = table.cluster_by or tuple(parts)
+        rows = rows.hint("rebalance", *group) if group else rows.hint("rebalance")
+        order = (*parts, *table.cluster_by, *table.sort_by)
         if order:
             rows = rows.sortWithinPartitions(*order)
         writer = rows.write.option("compression", "zstd")
-        return writer.partitionBy(*table.partition_by) if table.partition_by else writer
+        return writer.partitionBy(*parts) if parts else writer
 
     def append(self, rows: DataFrame, name: str) -> None:
         self._writer(rows, WAREHOUSE[name]).mode("append").parquet(self.path(name))

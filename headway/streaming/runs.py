@@ -13,9 +13,9 @@ LOAD = "2024-02-01T00:00:00Z"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = supplied.table(spark, sf_dir, "events").schema
     # A glob, because the source must accept a single file as well as a folder of files.
-    return supplied.as_positions(positions.read_files(spark, f"{sf_dir}/events.parque[t]", schema))
+    files = f"{sf_dir}/events.parque[t]"
+    return supplied.as_positions(positions.read_files(spark, files, supplied.SCHEMAS["events"]))
 
 
 def _to_files(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
