@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import os
+import time
+
+import pytest
+
+from headway.schemas import CORE, MARTS, RAW, STAGING
+from headway.session import build_session
+
+os.environ["TZ"] = "UTC"
+time.tzset()
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[4]", **{
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "4g",
+        "spark.sql.shuffle.partitions": "4",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    })
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+def _reader(tables):
+    """Rows given as dicts become a DataFrame of a declared table; columns left out are null."""
+
+    @pytest.fixture
+    def build(spark):
+        def frame(name, *rows):
+            table = tables[name]
+            casts = [f"CAST({c} AS {kind}) AS {c}" for c, kind in table.types.items()]
+            text = ", ".join(f"{c} STRING" for c in table.column_names)
+            values = [tuple(None if row.get(c) is None else str(row[c]).lower()
+                            if isinstance(row[c], bool) else str(row[c])
+                            for c in table.column_names) for row in rows]
+            return spark.createDataFrame(values, text).selectExpr(*casts)
+
+        return frame
+
+    return build
+
+
+raw = _reader(RAW)
+stg = _reader(STAGING)
+core = _reader({**CORE, **MARTS})
+
+
+@pytest.fixture
+def rows():
+    """Collected rows as sorted tuples of the given columns."""
+
+    def collect(df, *columns):
+        picked = df.select(*columns) if columns else df
+        return sorted((tuple(r) for r in picked.collect()), key=repr)
+
+    return collect
