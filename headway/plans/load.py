@@ -11,13 +11,13 @@ import argparse
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import dimensions, facts, history, marts
 from headway.operators.staging import stage
 from headway.schemas import BEFORE_ALL, CORE, STAGING
-from headway.session import build_session, input_bytes, size_shuffles, use_utc
+from headway.session import build_session, input_bytes, scratch_table, size_shuffles, use_utc
 from headway.sources.raw import read_raw
 from headway.sources.warehouse import Warehouse
 
@@ -95,19 +95,17 @@ def _load_facts(warehouse: Warehouse, batch_id: str, load_dts: str, route_lookup
 
 
 def _append_fact(warehouse: Warehouse, build: Callable[[], DataFrame], name: str, batch_id: str) -> int:
-    """Append accepted rows; when the same pass met rejected ones, list them in a table of their own.
+    """Append accepted rows, list rejected ones in a table of their own, and return their number.
 
-    Rejected rows stay in staging, so a later load takes them once their members have arrived.
+    The looked-up rows are written to the shared scratch folder once, so that splitting them repeats
+    neither the joins nor the removal of repeats. Rejected rows stay in staging; a later load takes them
+    once their members have arrived.
     """
-    seen = Observation(name)
-    reason = facts.reject_reason(name)
-    observed = build().observe(seen, F.count_if(reason != "").alias("rejected"))
-    warehouse.append(facts.accepted(observed, name), name)
-    if seen.get["rejected"]:
-        # What was appended is left out of this second build, which leaves little more than the rejects.
-        rejects = facts.rejected(build(), name).withColumn("load_batch", F.lit(batch_id))
-        warehouse.overwrite_partitions(rejects, f"{name}_rejects")
-    return seen.get["rejected"]
+    with scratch_table(warehouse.spark, build(), name) as facts_found:
+        warehouse.append(facts.accepted(facts_found, name), name)
+        rejects = facts.rejected(facts_found, name).withColumn("load_batch", F.lit(batch_id))
+        warehouse.replace(rejects, f"{name}_rejects")
+        return rejects.count()
 
 
 def load_mart(warehouse: Warehouse, from_month: int | None = None) -> None:

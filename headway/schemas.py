@@ -159,9 +159,10 @@ CORE = {t.name: t for t in [
           sort_by=("route_number", "event_time")),
 ]}
 
+# Staged rows the last load could not resolve.
 REJECTS = {t.name: t for t in [
     Table("core", f"{name}_rejects", f"{key} STRING, reason STRING, load_batch STRING", (key,),
-          partition_by=(("load_batch", "load_batch"),))
+          sort_by=(key,), versioned=True)
     for name, key in [("fact_ride", "ride_id"), ("fact_payment", "payment_id"),
                       ("fact_vehicle_position", "event_id")]
 ]}

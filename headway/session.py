@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Set on every session that runs warehouse code: event times are declared in UTC, so every
 # hour, date and clock key must be taken in UTC whatever zone the cluster runs in.
@@ -39,12 +41,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds ``path``, and the path as its own object."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
 def input_bytes(spark: SparkSession, *paths: str) -> int:
     """Total size of the files under ``paths``; only a listing, nothing is read."""
     total = 0
     for path in paths:
-        location = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+        files, location = file_system(spark, path)
         total += files.getContentSummary(location).getLength()
     return total
 
@@ -73,3 +80,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="headway-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_table(spark: SparkSession, rows: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``rows`` computed once and read back from the shared folder; removed again at the end."""
+    path = scratch_path(spark, label)
+    rows.write.parquet(path)
+    try:
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        files, location = file_system(spark, path)
+        files.delete(location, True)

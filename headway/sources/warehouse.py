@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.schemas import WAREHOUSE, Table
+from headway.session import file_system
 
 _VERSION = "version-"
 
@@ -26,18 +27,14 @@ class Warehouse:
     def _base(self, table: Table) -> str:
         return f"{self.root}/{table.layer}/{table.name}"
 
-    def _files(self, path: str):
-        location = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return location.getFileSystem(self.spark._jsc.hadoopConfiguration()), location
-
     def _exists(self, path: str) -> bool:
-        files, location = self._files(path)
+        files, location = file_system(self.spark, path)
         return files.exists(location)
 
     def versions(self, name: str) -> list[str]:
         """Finished versions of a versioned table, oldest first; an interrupted write is not finished."""
         base = self._base(WAREHOUSE[name])
-        files, location = self._files(base)
+        files, location = file_system(self.spark, base)
         if not files.exists(location):
             return []
         paths = [status.getPath() for status in files.listStatus(location)]
