@@ -10,14 +10,16 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import dimensions, facts, history, marts
+from headway.operators.keys import unseen
 from headway.operators.staging import stage
 from headway.schemas import BEFORE_ALL, CORE, STAGING
-from headway.session import build_session, input_bytes, scratch_table, size_shuffles, use_utc
+from headway.session import build_session, input_bytes, scratch_table, side_by_side, size_shuffles, use_utc
 from headway.sources.raw import read_raw
 from headway.sources.warehouse import Warehouse
 
@@ -25,9 +27,11 @@ from headway.sources.warehouse import Warehouse
 def load_staging(warehouse: Warehouse, raw: dict[str, DataFrame], batch_id: str, load_dts: str,
                  lenient: bool = False) -> None:
     """Write every raw table as one batch; repeating a batch id replaces that batch."""
-    for name in STAGING:
+    def write(name: str) -> None:
         warehouse.overwrite_partitions(stage(raw[name], name, batch_id, load_dts, lenient), f"stg.{name}")
 
+    side_by_side(*[partial(write, name) for name in STAGING])
+
 
 def load_core(warehouse: Warehouse, batch_id: str, load_dts: str, *, users: str = "insert",
               routes: str = "insert", route_lookup: str = "current",
@@ -55,55 +59,74 @@ def _load_dimensions(warehouse: Warehouse, batch_id: str, load_dts: str, users:
     _one_of(routes, "routes", "insert", "history")
     read = warehouse.read
 
-    if users == "insert":
-        warehouse.append(dimensions.new_users(read("stg.users"), read("dim_user"), load_dts), "dim_user")
-    else:
-        # Only this batch overwrites: older batches would be no change, or undo one.
-        batch = read("stg.users").where(F.col("batch_id") == batch_id)
-        warehouse.replace(dimensions.overwrite_users(read("dim_user"), batch, load_dts), "dim_user")
-
-    warehouse.append(dimensions.new_vehicles(read("stg.vehicles"), read("dim_vehicle"), load_dts),
-                     "dim_vehicle")
-
-    stored = read("dim_route_scd2")
-    if routes == "insert":
-        warehouse.append(dimensions.new_routes(read("stg.routes"), stored, load_dts, first_valid_from),
-                         "dim_route_scd2")
-    else:
-        batch = read("stg.routes").where(F.col("batch_id") == batch_id)
-        warehouse.replace(history.merge_routes(stored, batch, load_dts, first_valid_from),
-                          "dim_route_scd2")
-
-    times = dimensions.event_times(read("stg.rides"), read("stg.payments"), read("stg.vehicle_positions"))
-    for name, build in (("dim_date", dimensions.calendar), ("dim_time", dimensions.clock)):
-        key = CORE[name].key
-        warehouse.append(build(times).join(read(name).select(*key), list(key), "left_anti"), name)
+    def load_users() -> None:
+        staged, stored = read("stg.users"), read("dim_user")
+        if users == "insert":
+            warehouse.append(dimensions.new_users(staged, stored, load_dts), "dim_user")
+        else:
+            # Only this batch overwrites: older batches would be no change, or undo one.
+            batch = staged.where(F.col("batch_id") == batch_id)
+            warehouse.replace(dimensions.overwrite_users(stored, batch, load_dts), "dim_user")
+
+    def load_vehicles() -> None:
+        new = dimensions.new_vehicles(read("stg.vehicles"), read("dim_vehicle"), load_dts)
+        warehouse.append(new, "dim_vehicle")
+
+    def load_routes() -> None:
+        staged, stored = read("stg.routes"), read("dim_route_scd2")
+        if routes == "insert":
+            new = dimensions.new_routes(staged, stored, load_dts, first_valid_from)
+            warehouse.append(new, "dim_route_scd2")
+        else:
+            batch = staged.where(F.col("batch_id") == batch_id)
+            merged = history.merge_routes(stored, batch, load_dts, first_valid_from)
+            warehouse.replace(merged, "dim_route_scd2")
+
+    def load_observed(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+        times = dimensions.event_times(read("stg.rides"), read("stg.payments"),
+                                       read("stg.vehicle_positions"))
+        warehouse.append(unseen(build(times), read(name), CORE[name].key), name)
+
+    side_by_side(load_users, load_vehicles, load_routes,
+                 partial(load_observed, "dim_date", dimensions.calendar),
+                 partial(load_observed, "dim_time", dimensions.clock))
 
 
 def _load_facts(warehouse: Warehouse, batch_id: str, load_dts: str, route_lookup: str) -> dict[str, int]:
     read = warehouse.read
     users, vehicles, routes = read("dim_user"), read("dim_vehicle"), read("dim_route_scd2")
-    builders: dict[str, Callable[[], DataFrame]] = {
-        "fact_ride": lambda: facts.ride_facts(read("stg.rides"), users, vehicles, routes, load_dts,
-                                              read("fact_ride"), route_lookup),
-        "fact_payment": lambda: facts.payment_facts(read("stg.payments"), users, load_dts,
-                                                    read("fact_payment")),
-        "fact_vehicle_position": lambda: facts.position_facts(
-            read("stg.vehicle_positions"), vehicles, load_dts, read("fact_vehicle_position")),
-    }
-    return {name: _append_fact(warehouse, build, name, batch_id) for name, build in builders.items()}
-
-
-def _append_fact(warehouse: Warehouse, build: Callable[[], DataFrame], name: str, batch_id: str) -> int:
+
+    def rides() -> DataFrame:
+        return facts.ride_facts(read("stg.rides"), users, vehicles, routes, load_dts, read("fact_ride"),
+                                route_lookup)
+
+    def payments() -> DataFrame:
+        return facts.payment_facts(read("stg.payments"), users, load_dts, read("fact_payment"))
+
+    def positions() -> DataFrame:
+        return facts.position_facts(read("stg.vehicle_positions"), vehicles, load_dts,
+                                    read("fact_vehicle_position"))
+
+    def load(*steps: tuple[str, Callable[[], DataFrame]]) -> dict[str, int]:
+        return {name: _append_fact(warehouse, build(), name, batch_id) for name, build in steps}
+
+    # Payments refer to rides and follow them.
+    first, second = side_by_side(
+        lambda: load(("fact_ride", rides), ("fact_payment", payments)),
+        lambda: load(("fact_vehicle_position", positions)))
+    return {**first, **second}
+
+
+def _append_fact(warehouse: Warehouse, rows: DataFrame, name: str, batch_id: str) -> int:
     """Append accepted rows, list rejected ones in a table of their own, and return their number.
 
     The looked-up rows are written to the shared scratch folder once, so that splitting them repeats
     neither the joins nor the removal of repeats. Rejected rows stay in staging; a later load takes them
     once their members have arrived.
     """
-    with scratch_table(warehouse.spark, build(), name) as facts_found:
-        warehouse.append(facts.accepted(facts_found, name), name)
-        rejects = facts.rejected(facts_found, name).withColumn("load_batch", F.lit(batch_id))
+    with scratch_table(warehouse.spark, rows, name) as found:
+        warehouse.append(facts.accepted(found, name), name)
+        rejects = facts.rejected(found, name).withColumn("load_batch", F.lit(batch_id))
         warehouse.replace(rejects, f"{name}_rejects")
         return rejects.count()
 

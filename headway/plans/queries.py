@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from headway.functions.calendar import instant
 from headway.operators import dimensions, facts, history, keys, marts, quality, staging
 from headway.plans.load import load_all
-from headway.session import scratch_path, use_utc
+from headway.session import scratch_path, side_by_side, use_utc
 from headway.sources import supplied
 from headway.streaming import runs
 
@@ -61,16 +61,28 @@ def query(build: Query) -> Query:
 
 
 class Tables:
-    """Staged tables and what is loaded from them, as lazily defined DataFrames."""
+    """Staged tables and what is loaded from them.
+
+    Facts look dimensions up in stored tables, as they do in a load: dimensions are computed once, written
+    to the shared scratch folder and read back. Everything else is defined lazily.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._stored: dict[str, DataFrame] = {}
 
     def staged(self, name: str) -> DataFrame:
         binding = "positions" if name == "vehicle_positions" else name
         raw = getattr(supplied, binding)(self.spark, self.sf_dir)
         return staging.stage(raw, name, BATCH, LOAD)
 
+    def _store(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._stored:
+            rows, path = build(), scratch_path(self.spark, name)
+            rows.write.parquet(path)
+            self._stored[name] = self.spark.read.schema(rows.schema).parquet(path)
+        return self._stored[name]
+
     # Members that were active before the given dates, i.e. what an earlier batch held.
     def early_users(self) -> DataFrame:
         active = self.staged("payments").where(F.col("created_at") < instant(USERS_FROM))
@@ -84,19 +96,52 @@ class Tables:
         active = self.staged("rides").where(F.col("start_time") < instant(VEHICLES_FROM))
         return self.staged("vehicles").join(active.select("vehicle_id"), "vehicle_id", "left_semi")
 
+    # Dimensions after that earlier batch.
+    def first_users(self) -> DataFrame:
+        return self._store("first_users", lambda: dimensions.new_users(
+            self.early_users(), None, HISTORY_START))
+
+    def first_vehicles(self) -> DataFrame:
+        return self._store("first_vehicles", lambda: dimensions.new_vehicles(
+            self.early_vehicles(), None, HISTORY_START))
+
+    def first_routes(self) -> DataFrame:
+        return self._store("first_routes", lambda: dimensions.new_routes(
+            self.early_routes(), None, HISTORY_START))
+
+    # Dimensions when everything comes in one batch.
     def users(self) -> DataFrame:
-        return dimensions.new_users(self.staged("users"), None, LOAD)
+        return self._store("users", lambda: dimensions.new_users(self.staged("users"), None, LOAD))
 
     def vehicles(self) -> DataFrame:
-        return dimensions.new_vehicles(self.staged("vehicles"), None, LOAD)
+        return self._store("vehicles", lambda: dimensions.new_vehicles(
+            self.staged("vehicles"), None, LOAD))
 
     def routes(self) -> DataFrame:
-        return dimensions.new_routes(self.staged("routes"), None, LOAD)
+        return self._store("routes", lambda: dimensions.new_routes(self.staged("routes"), None, LOAD))
+
+    def merged_routes(self) -> DataFrame:
+        return history.merge_routes(self.first_routes(), self.repriced_routes(), HISTORY_CHANGE)
+
+    def route_history(self) -> DataFrame:
+        return self._store("route_history", self.merged_routes)
+
+    def repriced_routes(self) -> DataFrame:
+        """A later state of all routes in which one kind of vehicle got dearer."""
+        dearer = (F.col("base_fare") + 5).cast("decimal(10,2)")
+        return self.staged("routes").withColumn(
+            "base_fare", F.when(F.col("vehicle_type") == "PROMO", dearer).otherwise(F.col("base_fare")))
 
     def times(self) -> DataFrame:
         return dimensions.event_times(self.staged("rides"), self.staged("payments"),
                                       self.staged("vehicle_positions"))
 
+    def calendar(self) -> DataFrame:
+        return self._store("calendar", lambda: dimensions.calendar(self.times()))
+
+    def clock(self) -> DataFrame:
+        return self._store("clock", lambda: dimensions.clock(self.times()))
+
     def early_times(self) -> DataFrame:
         """Times that earlier loads of rides, payments and positions had brought."""
         early, recent = instant(FACTS_FROM), instant(EVENTS_FROM)
@@ -105,17 +150,8 @@ class Tables:
             self.staged("payments").where(F.col("created_at") < early),
             self.staged("vehicle_positions").where(F.col("event_time") < recent))
 
-    def route_history(self) -> DataFrame:
-        first = dimensions.new_routes(self.early_routes(), None, HISTORY_START)
-        return history.merge_routes(first, self.repriced_routes(), HISTORY_CHANGE)
-
-    def repriced_routes(self) -> DataFrame:
-        """A later state of all routes in which one kind of vehicle got dearer."""
-        dearer = (F.col("base_fare") + 5).cast("decimal(10,2)")
-        return self.staged("routes").withColumn(
-            "base_fare", F.when(F.col("vehicle_type") == "PROMO", dearer).otherwise(F.col("base_fare")))
-
     def all_rides(self, existing: DataFrame | None = None) -> DataFrame:
+        side_by_side(self.users, self.vehicles, self.routes)
         return facts.ride_facts(self.staged("rides"), self.users(), self.vehicles(), self.routes(),
                                 LOAD, existing)
 
@@ -123,6 +159,7 @@ class Tables:
         return facts.accepted(self.all_rides(), "fact_ride")
 
     def all_rides_asof(self) -> DataFrame:
+        side_by_side(self.users, self.vehicles, self.route_history)
         return facts.ride_facts(self.staged("rides"), self.users(), self.vehicles(),
                                 self.route_history(), LOAD, route_lookup="asof")
 
@@ -139,9 +176,10 @@ class Tables:
             "fact_vehicle_position")
 
     def core(self) -> dict[str, DataFrame]:
+        side_by_side(self.users, self.vehicles, self.routes, self.calendar, self.clock)
         return {"dim_user": self.users(), "dim_vehicle": self.vehicles(),
-                "dim_route_scd2": self.routes(), "dim_date": dimensions.calendar(self.times()),
-                "dim_time": dimensions.clock(self.times()), "fact_ride": self.rides(),
+                "dim_route_scd2": self.routes(), "dim_date": self.calendar(),
+                "dim_time": self.clock(), "fact_ride": self.rides(),
                 "fact_payment": self.payments(), "fact_vehicle_position": self.positions()}
 
 
@@ -206,7 +244,7 @@ def dedupe_latest(spark, sf_dir):
 def surrogate_keys(spark, sf_dir):
     """User ids with their keys after two loads: early users first, then all others."""
     t = Tables(spark, sf_dir)
-    first = keys.number_rows(t.early_users().select("user_id"), "user_id", "user_sk")
+    first = t.first_users().select("user_id", "user_sk")
     later = keys.unseen(t.staged("users").select("user_id"), first, "user_id")
     return first.unionByName(
         keys.number_rows(later, "user_id", "user_sk", keys.highest(first, "user_sk")))
@@ -217,39 +255,35 @@ def surrogate_keys(spark, sf_dir):
 @query
 def dim_user_new(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    earlier = dimensions.new_users(t.early_users(), None, HISTORY_START)
-    return dimensions.new_users(t.staged("users"), earlier, LOAD)
+    return dimensions.new_users(t.staged("users"), t.first_users(), LOAD)
 
 
 @query
 def dim_vehicle_new(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    earlier = dimensions.new_vehicles(t.early_vehicles(), None, HISTORY_START)
-    return dimensions.new_vehicles(t.staged("vehicles"), earlier, LOAD)
+    return dimensions.new_vehicles(t.staged("vehicles"), t.first_vehicles(), LOAD)
 
 
 @query
 def dim_route_new(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    earlier = dimensions.new_routes(t.early_routes(), None, HISTORY_START)
-    return dimensions.new_routes(t.staged("routes"), earlier, LOAD)
+    return dimensions.new_routes(t.staged("routes"), t.first_routes(), LOAD)
 
 
 @query
 def dim_user_scd1(spark, sf_dir):
     """Early users, then a batch of the users who paid later, in which some changed city."""
     t = Tables(spark, sf_dir)
-    earlier = dimensions.new_users(t.early_users(), None, HISTORY_START)
     active = t.staged("payments").where(F.col("created_at") >= instant(HISTORY_CHANGE))
     moved = F.when(F.col("city") == "MACHINERY", F.lit("BUILDING")).otherwise(F.col("city"))
     batch = (t.staged("users").join(active.select("user_id"), "user_id", "left_semi")
              .withColumn("city", moved))
-    return dimensions.overwrite_users(earlier, batch, LOAD)
+    return dimensions.overwrite_users(t.first_users(), batch, LOAD)
 
 
 @query
 def dim_route_scd2(spark, sf_dir):
-    return Tables(spark, sf_dir).route_history()
+    return Tables(spark, sf_dir).merged_routes()
 
 
 @query

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,12 @@ def file_system(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
+def side_by_side(*jobs: Callable[[], object]) -> list:
+    """Run independent Spark jobs at the same time, so that one fills executors another leaves idle."""
+    with ThreadPoolExecutor(len(jobs)) as threads:
+        return [job.result() for job in [threads.submit(job) for job in jobs]]
+
+
 def input_bytes(spark: SparkSession, *paths: str) -> int:
     """Total size of the files under ``paths``; only a listing, nothing is read."""
     total = 0
