@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,10 +17,9 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str],
     """
     leading = [c for c in newest if c in rows.columns]
     rest = [c for c in rows.columns if c not in leading and c not in keys]
-    order = ([F.col(c).desc_nulls_last() for c in leading]
-             + [F.col(c).asc_nulls_last() for c in rest])
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    order = ", ".join([f"{c} DESC NULLS LAST" for c in leading] + [f"{c} ASC NULLS LAST" for c in rest])
+    rank = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order})"
+    return rows.selectExpr("*", f"{rank} AS __rank").where("__rank = 1").drop("__rank")
 
 
 def unseen(rows: DataFrame, existing: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -29,6 +28,15 @@ def unseen(rows: DataFrame, existing: DataFrame, keys: str | Sequence[str]) -> D
     return rows.join(existing.select(*keys), keys, "left_anti")
 
 
+def stored_among(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """The stored keys that occur among the incoming rows.
+
+    For a batch that is small beside the stored table: its keys are broadcast, the stored keys are only
+    scanned, and what is left for `unseen` is small. Otherwise it would be a shuffle more.
+    """
+    return existing.select(key).join(incoming.select(key), key, "left_semi")
+
+
 def highest(existing: DataFrame, sk: str) -> Column:
     """The largest key handed out so far, 0 before the first."""
     return F.coalesce(existing.agg(F.max(sk)).scalar(), F.lit(0))
@@ -49,23 +57,21 @@ def number_rows(rows: DataFrame, key: str, sk: str, after: Column | int = 0) ->
     """
     # A page that is never null keeps null filters out of the plan, so that the rows read here and the
     # page sizes share one scan and exchange.
-    page = F.coalesce(F.shiftright(F.col(key).cast("bigint"), _PAGE_BITS), F.lit(0))
-    paged = rows.withColumn("__page", page)
-    sizes = (paged.groupBy("__page").agg(F.count(F.lit(1)).alias("__n"))
-             .withColumn("__book", F.shiftright("__page", _BOOK_BITS)))
-    earlier = (Window.unboundedPreceding, -1)
-    in_book = Window.partitionBy("__book").orderBy("__page").rowsBetween(*earlier)
-    pages = sizes.withColumn("__in_book", F.coalesce(F.sum("__n").over(in_book), F.lit(0)))
-    by_book = Window.partitionBy(F.lit(0)).orderBy("__book").rowsBetween(*earlier)
+    page = f"coalesce(shiftright(CAST({key} AS BIGINT), {_PAGE_BITS}), 0)"
+    earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    paged = rows.selectExpr("*", f"{page} AS __page")
+    pages = (paged.groupBy("__page").agg(F.count(F.lit(1)).alias("__n"))
+             .selectExpr("*", f"shiftright(__page, {_BOOK_BITS}) AS __book")
+             .selectExpr("*", f"coalesce(sum(__n) OVER (PARTITION BY __book ORDER BY __page {earlier}), 0)"
+                              " AS __in_book"))
     books = (pages.groupBy("__book").agg(F.sum("__n").alias("__n"))
-             .select("__book", F.coalesce(F.sum("__n").over(by_book), F.lit(0)).alias("__in_shelf")))
-    starts = (pages.join(books, "__book")
-              .select("__page", (F.col("__in_book") + F.col("__in_shelf")).alias("__start")))
+             .selectExpr("__book", f"coalesce(sum(__n) OVER (PARTITION BY 0 ORDER BY __book {earlier}), 0)"
+                                   " AS __in_shelf"))
+    starts = pages.join(books, "__book").selectExpr("__page", "__in_book + __in_shelf AS __start")
     after = F.lit(after) if isinstance(after, int) else after
-    place = F.row_number().over(Window.partitionBy("__page").orderBy(key))
-    return (paged.withColumn("__place", place)
+    return (paged.selectExpr("*", f"row_number() OVER (PARTITION BY __page ORDER BY {key}) AS __place")
             .join(starts, "__page")
-            .select((F.col("__place") + F.col("__start") + after).cast("bigint").alias(sk), *rows.columns))
+            .select((F.expr("__place + __start") + after).cast("bigint").alias(sk), *rows.columns))
 
 
 def look_up(rows: DataFrame, dimension: DataFrame, key: str, sk: str) -> DataFrame:

@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.calendar import instant
 from headway.schemas import STAGING
 
 
-def _typed(raw: DataFrame, table: str, lenient: bool) -> list[Column]:
+def _typed(raw: DataFrame, table: str, lenient: bool) -> list[str]:
     stamps = STAGING[table].column_names[:2]
-    columns = []
-    for name, kind in STAGING[table].types.items():
-        if name in stamps:
-            continue
-        # The raw event text is optional: sources that parse on arrival do not keep it.
-        value = F.col(name) if name in raw.columns else F.lit(None)
-        columns.append((value.try_cast(kind) if lenient else value.cast(kind)).alias(name))
-    return columns
+    cast = "TRY_CAST" if lenient else "CAST"
+    # The raw event text is optional: sources that parse on arrival do not keep it.
+    return [f"{cast}({name if name in raw.columns else 'NULL'} AS {kind}) AS {name}"
+            for name, kind in STAGING[table].types.items() if name not in stamps]
 
 
 def stage(raw: DataFrame, table: str, batch_id: str, load_dts: str, lenient: bool = False) -> DataFrame:
@@ -28,8 +23,8 @@ def stage(raw: DataFrame, table: str, batch_id: str, load_dts: str, lenient: boo
     convert fails the job; with ``lenient`` it becomes null and `stage_rejects` lists the row.
     """
     batch, stamp = STAGING[table].column_names[:2]
-    return raw.select(F.lit(batch_id).alias(batch), instant(load_dts).alias(stamp),
-                      *_typed(raw, table, lenient))
+    return raw.selectExpr(f"'{batch_id}' AS {batch}", f"CAST('{load_dts}' AS TIMESTAMP) AS {stamp}",
+                          *_typed(raw, table, lenient))
 
 
 def stage_rejects(raw: DataFrame, table: str) -> DataFrame:

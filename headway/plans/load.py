@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import dimensions, facts, history, marts
-from headway.operators.keys import unseen
+from headway.operators.keys import stored_among, unseen
 from headway.operators.staging import stage
 from headway.schemas import BEFORE_ALL, CORE, STAGING
 from headway.session import build_session, input_bytes, scratch_table, side_by_side, size_shuffles, use_utc
@@ -35,17 +35,28 @@ def load_staging(warehouse: Warehouse, raw: dict[str, DataFrame], batch_id: str,
 
 def load_core(warehouse: Warehouse, batch_id: str, load_dts: str, *, users: str = "insert",
               routes: str = "insert", route_lookup: str = "current",
-              backdate_first_version: bool = True) -> dict[str, int]:
+              backdate_first_version: bool = True, only_batch: bool = False) -> dict[str, int]:
     """Load dimensions, then facts, from all staged batches. Returns rejected rows per fact.
 
+    With ``only_batch`` just the batch ``batch_id`` is read. The cost of a load then follows the size of
+    the batch instead of the whole history; rows that earlier batches had rejected wait for a full load.
+
     ``users`` is ``"insert"`` (new users only) or ``"overwrite"`` (type 1); ``routes`` is ``"insert"``
     (new routes only) or ``"history"`` (type 2). With ``route_lookup="asof"`` a ride refers to the route
     version valid at its start, and a route's first version then reaches back before the first load,
     unless ``backdate_first_version`` is false.
     """
-    _load_dimensions(warehouse, batch_id, load_dts, users, routes,
+    def staged(name: str) -> DataFrame:
+        rows = warehouse.read(f"stg.{name}")
+        return rows.where(F.col("batch_id") == batch_id) if only_batch else rows
+
+    def loaded(fact: str, name: str) -> DataFrame:
+        key, facts_stored = CORE[fact].key[0], warehouse.read(fact)
+        return stored_among(facts_stored, staged(name), key) if only_batch else facts_stored
+
+    _load_dimensions(warehouse, staged, batch_id, load_dts, users, routes,
                      BEFORE_ALL if route_lookup == "asof" and backdate_first_version else None)
-    return _load_facts(warehouse, batch_id, load_dts, route_lookup)
+    return _load_facts(warehouse, staged, loaded, batch_id, load_dts, route_lookup)
 
 
 def _one_of(value: str, label: str, *allowed: str) -> None:
@@ -53,38 +64,37 @@ def _one_of(value: str, label: str, *allowed: str) -> None:
         raise ValueError(f"{label} must be one of {allowed}, not {value!r}")
 
 
-def _load_dimensions(warehouse: Warehouse, batch_id: str, load_dts: str, users: str, routes: str,
-                     first_valid_from: str | None) -> None:
+def _load_dimensions(warehouse: Warehouse, staged: Callable[[str], DataFrame], batch_id: str,
+                     load_dts: str, users: str, routes: str, first_valid_from: str | None) -> None:
     _one_of(users, "users", "insert", "overwrite")
     _one_of(routes, "routes", "insert", "history")
     read = warehouse.read
 
     def load_users() -> None:
-        staged, stored = read("stg.users"), read("dim_user")
+        rows, stored = staged("users"), read("dim_user")
         if users == "insert":
-            warehouse.append(dimensions.new_users(staged, stored, load_dts), "dim_user")
+            warehouse.append(dimensions.new_users(rows, stored, load_dts), "dim_user")
         else:
             # Only this batch overwrites: older batches would be no change, or undo one.
-            batch = staged.where(F.col("batch_id") == batch_id)
+            batch = rows.where(F.col("batch_id") == batch_id)
             warehouse.replace(dimensions.overwrite_users(stored, batch, load_dts), "dim_user")
 
     def load_vehicles() -> None:
-        new = dimensions.new_vehicles(read("stg.vehicles"), read("dim_vehicle"), load_dts)
+        new = dimensions.new_vehicles(staged("vehicles"), read("dim_vehicle"), load_dts)
         warehouse.append(new, "dim_vehicle")
 
     def load_routes() -> None:
-        staged, stored = read("stg.routes"), read("dim_route_scd2")
+        rows, stored = staged("routes"), read("dim_route_scd2")
         if routes == "insert":
-            new = dimensions.new_routes(staged, stored, load_dts, first_valid_from)
+            new = dimensions.new_routes(rows, stored, load_dts, first_valid_from)
             warehouse.append(new, "dim_route_scd2")
         else:
-            batch = staged.where(F.col("batch_id") == batch_id)
+            batch = rows.where(F.col("batch_id") == batch_id)
             merged = history.merge_routes(stored, batch, load_dts, first_valid_from)
             warehouse.replace(merged, "dim_route_scd2")
 
     def load_observed(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
-        times = dimensions.event_times(read("stg.rides"), read("stg.payments"),
-                                       read("stg.vehicle_positions"))
+        times = dimensions.event_times(staged("rides"), staged("payments"), staged("vehicle_positions"))
         warehouse.append(unseen(build(times), read(name), CORE[name].key), name)
 
     side_by_side(load_users, load_vehicles, load_routes,
@@ -92,20 +102,23 @@ def _load_dimensions(warehouse: Warehouse, batch_id: str, load_dts: str, users:
                  partial(load_observed, "dim_time", dimensions.clock))
 
 
-def _load_facts(warehouse: Warehouse, batch_id: str, load_dts: str, route_lookup: str) -> dict[str, int]:
+def _load_facts(warehouse: Warehouse, staged: Callable[[str], DataFrame],
+                loaded: Callable[[str, str], DataFrame], batch_id: str, load_dts: str,
+                route_lookup: str) -> dict[str, int]:
     read = warehouse.read
     users, vehicles, routes = read("dim_user"), read("dim_vehicle"), read("dim_route_scd2")
 
     def rides() -> DataFrame:
-        return facts.ride_facts(read("stg.rides"), users, vehicles, routes, load_dts, read("fact_ride"),
-                                route_lookup)
+        return facts.ride_facts(staged("rides"), users, vehicles, routes, load_dts,
+                                loaded("fact_ride", "rides"), route_lookup)
 
     def payments() -> DataFrame:
-        return facts.payment_facts(read("stg.payments"), users, load_dts, read("fact_payment"))
+        return facts.payment_facts(staged("payments"), users, load_dts,
+                                   loaded("fact_payment", "payments"))
 
     def positions() -> DataFrame:
-        return facts.position_facts(read("stg.vehicle_positions"), vehicles, load_dts,
-                                    read("fact_vehicle_position"))
+        return facts.position_facts(staged("vehicle_positions"), vehicles, load_dts,
+                                    loaded("fact_vehicle_position", "vehicle_positions"))
 
     def load(*steps: tuple[str, Callable[[], DataFrame]]) -> dict[str, int]:
         return {name: _append_fact(warehouse, build(), name, batch_id) for name, build in steps}
@@ -162,6 +175,8 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--users", default="insert", choices=["insert", "overwrite"])
     parser.add_argument("--routes", default="insert", choices=["insert", "history"])
     parser.add_argument("--route-lookup", default="current", choices=["current", "asof"])
+    parser.add_argument("--only-batch", action="store_true",
+                        help="load the core from this batch alone, not from all staged ones")
     return parser.parse_args()
 
 
@@ -170,8 +185,9 @@ def main() -> None:
     now = datetime.now(timezone.utc).replace(microsecond=0)
     load_dts = args.load_dts or now.isoformat()
     batch_id = args.batch_id or now.strftime("%Y%m%d%H%M%S")
-    if args.step == "core" and args.users + args.routes != "insertinsert" and not args.batch_id:
-        raise SystemExit("--batch-id must name the staged batch to merge")
+    by_batch = args.only_batch or args.users == "overwrite" or args.routes == "history"
+    if args.step == "core" and by_batch and not args.batch_id:
+        raise SystemExit("--batch-id must name the staged batch to load")
     if args.step in ("staging", "all") and not args.raw:
         raise SystemExit("--raw is needed to load staging")
 
@@ -183,7 +199,7 @@ def main() -> None:
     if args.step in ("core", "all"):
         size_shuffles(spark, input_bytes(spark, f"{args.root}/stg"))
         rejected = load_core(warehouse, batch_id, load_dts, users=args.users, routes=args.routes,
-                             route_lookup=args.route_lookup)
+                             route_lookup=args.route_lookup, only_batch=args.only_batch)
         print("rejected rows:", rejected)
     if args.step in ("mart", "all"):
         load_mart(warehouse)

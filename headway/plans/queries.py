@@ -175,11 +175,13 @@ class Tables:
             facts.position_facts(self.staged("vehicle_positions"), self.vehicles(), LOAD, existing),
             "fact_vehicle_position")
 
-    def core(self) -> dict[str, DataFrame]:
-        side_by_side(self.users, self.vehicles, self.routes, self.calendar, self.clock)
-        return {"dim_user": self.users(), "dim_vehicle": self.vehicles(),
-                "dim_route_scd2": self.routes(), "dim_date": self.calendar(),
-                "dim_time": self.clock(), "fact_ride": self.rides(),
+    def core(self, asof: bool = False) -> dict[str, DataFrame]:
+        """The core after one load; with ``asof`` over the route history, rejected rides included."""
+        routes = self.route_history if asof else self.routes
+        side_by_side(self.users, self.vehicles, routes, self.calendar, self.clock)
+        return {"dim_user": self.users(), "dim_vehicle": self.vehicles(), "dim_route_scd2": routes(),
+                "dim_date": self.calendar(), "dim_time": self.clock(),
+                "fact_ride": self.all_rides_asof() if asof else self.rides(),
                 "fact_payment": self.payments(), "fact_vehicle_position": self.positions()}
 
 
@@ -409,9 +411,7 @@ def qa_duplicate_keys(spark, sf_dir):
 @query
 def qa_not_null(spark, sf_dir):
     """Required columns of the core, with as-of rides as they come out of the lookups."""
-    t = Tables(spark, sf_dir)
-    return quality.missing_values({**t.core(), "dim_route_scd2": t.route_history(),
-                                   "fact_ride": t.all_rides_asof()})
+    return quality.missing_values(Tables(spark, sf_dir).core(asof=True))
 
 
 @query

@@ -6,8 +6,7 @@ events vehicle positions. Columns with no counterpart are typed nulls.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Given explicitly, so that defining a query reads no file footers.
@@ -30,61 +29,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _time(column: str, text: bool) -> Column:
+def _time(column: str, text: bool) -> str:
     # The files carry no zone; the session runs in UTC.
-    at = F.col(column).cast("timestamp")
-    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") if text else at
+    if text:
+        return f"concat(translate(CAST({column} AS STRING), ' ', 'T'), 'Z')"
+    return f"CAST({column} AS TIMESTAMP)"
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"),
-        F.lit(None).cast("string").alias("email"), F.lit(None).cast("string").alias("created_at"),
-        F.col("c_mktsegment").alias("city"))
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id", "c_name AS name", "CAST(NULL AS STRING) AS email",
+        "CAST(NULL AS STRING) AS created_at", "c_mktsegment AS city")
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("route_id"), F.col("p_brand").alias("route_number"),
-        F.col("p_type").alias("vehicle_type"), F.col("p_retailprice").alias("base_fare"))
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS route_id", "p_brand AS route_number", "p_type AS vehicle_type",
+        "p_retailprice AS base_fare")
 
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("vehicle_id"), F.col("s_nationkey").cast("bigint").alias("route_id"),
-        F.col("s_name").alias("license_plate"), F.lit(None).cast("int").alias("capacity"))
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS vehicle_id", "CAST(s_nationkey AS BIGINT) AS route_id", "s_name AS license_plate",
+        "CAST(NULL AS INT) AS capacity")
 
 
 def rides(spark: SparkSession, sf_dir: str, text_times: bool = False) -> DataFrame:
     """One ride per lineitem; with ``text_times`` times are ISO-8601 text, as raw files carry them."""
     items, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("ride_id"),
-        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("route_id"),
-        F.col("l_suppkey").alias("vehicle_id"),
-        _time("o_orderdate", text_times).alias("start_time"),
-        _time("l_shipdate", text_times).alias("end_time"),
-        F.col("l_extendedprice").alias("fare_amount"))
+    return items.join(orders, items.l_orderkey == orders.o_orderkey).selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber) AS ride_id", "o_custkey AS user_id",
+        "l_partkey AS route_id", "l_suppkey AS vehicle_id",
+        f"{_time('o_orderdate', text_times)} AS start_time",
+        f"{_time('l_shipdate', text_times)} AS end_time", "l_extendedprice AS fare_amount")
 
 
 def payments(spark: SparkSession, sf_dir: str, text_times: bool = False) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("payment_id"),
-        F.concat_ws("-", "o_orderkey", F.lit("1")).alias("ride_id"),
-        F.col("o_custkey").alias("user_id"), F.col("o_totalprice").alias("amount"),
-        F.col("o_orderpriority").alias("payment_method"), F.col("o_orderstatus").alias("status"),
-        _time("o_orderdate", text_times).alias("created_at"))
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS payment_id", "concat_ws('-', o_orderkey, '1') AS ride_id",
+        "o_custkey AS user_id", "o_totalprice AS amount", "o_orderpriority AS payment_method",
+        "o_orderstatus AS status", f"{_time('o_orderdate', text_times)} AS created_at")
 
 
 def as_positions(events: DataFrame, text_times: bool = False) -> DataFrame:
     """Position events from rows of the events table, batch or streaming."""
-    return events.select(
-        F.col("event_id").cast("string").alias("event_id"), F.col("user_id").alias("vehicle_id"),
-        F.col("event_type").alias("route_number"), _time("ts", text_times).alias("event_time"),
-        F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"),
-        F.col("value").alias("speed_kmh"),
-        F.get_json_object("props", "$.k").cast("int").alias("passengers_estimated"),
-        F.col("props").alias("raw_json"))
+    return events.selectExpr(
+        "CAST(event_id AS STRING) AS event_id", "user_id AS vehicle_id", "event_type AS route_number",
+        f"{_time('ts', text_times)} AS event_time", "CAST(NULL AS DOUBLE) AS latitude",
+        "CAST(NULL AS DOUBLE) AS longitude", "value AS speed_kmh",
+        "CAST(get_json_object(props, '$.k') AS INT) AS passengers_estimated", "props AS raw_json")
 
 
 def positions(spark: SparkSession, sf_dir: str, text_times: bool = False) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.facts import accepted, position_facts
+from headway.operators.keys import stored_among
 from headway.operators.marts import movement_measures
 from headway.operators.staging import stage
+from headway.sources.warehouse import Warehouse
 
 # How long a repeat or a late event may lag behind the newest event.
 LATENESS = "1 hour"
@@ -50,18 +52,24 @@ def movement(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
                     "events_count", "avg_speed_kmh", "avg_passengers"))
 
 
-def append_facts(events: DataFrame, vehicles: Callable[[], DataFrame], loaded: Callable[[], DataFrame],
-                 append: Callable[[DataFrame], None], load_dts: str, checkpoint: str) -> StreamingQuery:
+def append_facts(events: DataFrame, vehicles: Callable[[], DataFrame], warehouse: Warehouse,
+                 load_dts: str, checkpoint: str, repeats_keep_time: bool = False) -> StreamingQuery:
     """Run every micro-batch of raw events through the batch fact builder and append the result.
 
-    ``loaded`` reads the fact as it is now: rows already there are left out, so a batch that is replayed
-    after a failure, whole or in part, adds only what is missing. The batch id is the epoch.
+    Rows already in the fact are left out, so a batch that is replayed after a failure, whole or in part,
+    adds only what is missing. The batch id is the epoch. The stored event ids are scanned, not shuffled.
+    Where a repeated event always carries its first time (``repeats_keep_time``), only the months from the
+    batch's first event on are scanned.
     """
+    name = "fact_vehicle_position"
 
     def load(batch: DataFrame, epoch: int) -> None:
         staged = stage(batch, "vehicle_positions", f"{epoch:020d}", load_dts)
-        new = position_facts(staged, vehicles(), load_dts, existing=loaded())
-        append(accepted(new, "fact_vehicle_position"))
+        month = None
+        if repeats_keep_time:
+            month = staged.agg(F.expr("year(min(event_time)) * 100 + month(min(event_time))")).first()[0]
+        known = stored_among(warehouse.read(name, month), staged, "event_id")
+        warehouse.append(accepted(position_facts(staged, vehicles(), load_dts, known), name), name)
 
     return (events.writeStream.foreachBatch(load)
             .option("checkpointLocation", checkpoint)

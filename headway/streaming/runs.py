@@ -34,9 +34,6 @@ def movement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def facts(spark: SparkSession, sf_dir: str, vehicles: DataFrame) -> DataFrame:
     warehouse = Warehouse(spark, scratch_path(spark, "facts"))
-    name = "fact_vehicle_position"
-    positions.append_facts(
-        _events(spark, sf_dir), vehicles=lambda: vehicles, loaded=lambda: warehouse.read(name),
-        append=lambda rows: warehouse.append(rows, name), load_dts=LOAD,
-        checkpoint=f"{warehouse.root}/progress").awaitTermination()
-    return warehouse.read(name)
+    positions.append_facts(_events(spark, sf_dir), lambda: vehicles, warehouse, LOAD,
+                           f"{warehouse.root}/progress").awaitTermination()
+    return warehouse.read("fact_vehicle_position")

@@ -122,6 +122,17 @@ def test_rejected_rides_load_once_their_user_arrives(spark, raw, rows, folder):
     assert rows(warehouse.read("fact_payment"), "payment_id") == [("p-r1",), ("p-r2",), ("p-r3",)]
 
 
+def test_loading_one_batch_alone(spark, raw, rows, folder):
+    source, root = folder
+    _write_raw(raw, source)
+    load_all(spark, read_raw(spark, source), root, "b1", DAY1)
+    _write_raw(raw, source, users=(2, 3), rides=(("r2", 2), ("r4", 3)))
+    warehouse = load_all(spark, read_raw(spark, source), root, "b2", DAY2, only_batch=True)
+    assert rows(warehouse.read("dim_user"), "user_sk", "user_id") == [(1, 1), (2, 2), (3, 3)]
+    assert rows(warehouse.read("fact_ride"), "ride_id", "user_sk") == [("r1", 1), ("r2", 2), ("r4", 3)]
+    assert warehouse.read("fact_vehicle_position").count() == 3
+
+
 def test_history_and_overwritten_users(spark, raw, rows, folder):
     source, root = folder
     options = dict(users="overwrite", routes="history", route_lookup="asof")

@@ -65,16 +65,16 @@ def test_hours_come_out_when_closed(spark, feed, rows, tmp_path):
         (datetime(2024, 1, 1, 10), 2), (datetime(2024, 1, 1, 11), 1)]
 
 
-def test_facts_are_appended_once_even_when_a_batch_is_replayed(spark, feed, core, rows, tmp_path):
+@pytest.mark.parametrize("keep_time", [False, True])
+def test_facts_are_appended_once_even_when_a_batch_is_replayed(spark, feed, core, rows, tmp_path, keep_time):
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
     vehicles = core("dim_vehicle", dict(vehicle_sk=5, vehicle_id=1))
     name = "fact_vehicle_position"
 
     def run(progress):
         events = positions.read_files(spark, folder, SCHEMA, max_files=1)
-        positions.append_facts(events, lambda: vehicles, lambda: warehouse.read(name),
-                               lambda new: warehouse.append(new, name), "2024-02-01T00:00:00Z",
-                               f"{tmp_path}/{progress}").awaitTermination()
+        positions.append_facts(events, lambda: vehicles, warehouse, "2024-02-01T00:00:00Z",
+                               f"{tmp_path}/{progress}", keep_time).awaitTermination()
         return rows(warehouse.read(name), "event_id", "vehicle_sk", "event_date_sk")
 
     folder = feed(("a", 1, "2024-01-01 10:00:00", 1.0), ("b", 2, "2024-01-02 10:00:00", 1.0))
