@@ -23,7 +23,10 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str],
 
 
 def unseen(rows: DataFrame, existing: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Rows whose key is not among the existing ones."""
+    """Rows whose key is not among the existing ones.
+
+    Existing keys should be unique, as stored tables keep them: the join cannot split copies of one.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     return rows.join(existing.select(*keys), keys, "left_anti")
 
@@ -34,7 +37,7 @@ def stored_among(existing: DataFrame, incoming: DataFrame, key: str) -> DataFram
     For a batch that is small beside the stored table: its keys are broadcast, the stored keys are only
     scanned, and what is left for `unseen` is small. Otherwise it would be a shuffle more.
     """
-    return existing.select(key).join(incoming.select(key), key, "left_semi")
+    return existing.select(key).join(incoming.select(key).distinct(), key, "left_semi")
 
 
 def highest(existing: DataFrame, sk: str) -> Column:

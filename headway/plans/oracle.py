@@ -133,12 +133,12 @@ _STAMP = "'20240201000000' AS batch_id, TIMESTAMP '2024-02-01' AS {}"
 _EXTRACT, _INGEST = _STAMP.format("extract_dts"), _STAMP.format("ingest_dts")
 _LOADED = "TIMESTAMP '2024-02-01' AS load_dts"
 
-_RIDE = f"""SELECT ride_id, user_sk, route_sk, vehicle_sk, start_time, end_time, duration_s,
+_RIDE = f"""SELECT ride_id, user_sk, route_sk, CAST(vehicle_sk AS VARCHAR) AS vehicle_sk, start_time, end_time, duration_s,
   CAST(fare_amount AS DOUBLE) AS fare_amount, start_date_sk, {_LOADED} FROM """
 _PAYMENT = f"""SELECT payment_id, ride_id, user_sk, CAST(amount AS DOUBLE) AS amount, payment_method,
   status, created_at, created_date_sk, {_LOADED} FROM payment_facts"""
-_POSITION = f"""SELECT event_id, vehicle_sk, route_number, event_time, event_date_sk, latitude, longitude,
-  speed_kmh, passengers_estimated, {_LOADED} FROM position_facts"""
+_POSITION = f"""SELECT event_id, CAST(vehicle_sk AS VARCHAR) AS vehicle_sk, route_number, event_time,
+  event_date_sk, latitude, longitude, speed_kmh, passengers_estimated, {_LOADED} FROM position_facts"""
 _MART = """SELECT route_number, CAST(date AS VARCHAR) AS date, CAST(hour AS INTEGER) AS hour,
   CAST(trips_count AS INTEGER) AS trips_count, avg_fare, avg_duration_s FROM mart"""
 _DATE = """SELECT CAST(strftime(date_value, '%Y%m%d') AS INTEGER) AS date_sk,
@@ -256,7 +256,7 @@ def _overlap(label: str, source: str) -> str:
 _SELECTS = {
     "stg_users": f"SELECT {_EXTRACT}, * FROM users",
     "stg_routes": f"SELECT {_EXTRACT}, * REPLACE (CAST(base_fare AS DOUBLE) AS base_fare) FROM routes",
-    "stg_vehicles": f"SELECT {_EXTRACT}, * FROM vehicles",
+    "stg_vehicles": f"SELECT {_EXTRACT}, * REPLACE (CAST(capacity AS VARCHAR) AS capacity) FROM vehicles",
     "stg_rides": f"SELECT {_EXTRACT}, * REPLACE (CAST(fare_amount AS DOUBLE) AS fare_amount) FROM rides",
     "stg_payments": f"SELECT {_EXTRACT}, * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM payments",
     "stg_positions": f"SELECT {_INGEST}, * EXCLUDE (raw_json) FROM positions",
@@ -285,8 +285,8 @@ _SELECTS = {
                user_id, name, email, city, created_at, TIMESTAMP '2024-02-01' AS updated_dts
         FROM users WHERE user_id NOT IN (SELECT user_id FROM first_users)""",
     "dim_vehicle_new": """
-        SELECT (SELECT count(*) FROM early_vehicles) + row_number() OVER (ORDER BY vehicle_id)
-                 AS vehicle_sk, *, TIMESTAMP '2024-02-01' AS updated_dts
+        SELECT CAST((SELECT count(*) FROM early_vehicles) + row_number() OVER (ORDER BY vehicle_id)
+                    AS VARCHAR) AS vehicle_sk, * REPLACE (CAST(capacity AS VARCHAR) AS capacity), TIMESTAMP '2024-02-01' AS updated_dts
         FROM vehicles WHERE vehicle_id NOT IN (SELECT vehicle_id FROM early_vehicles)""",
     "dim_route_new": """
         SELECT (SELECT count(*) FROM early_routes) + row_number() OVER (ORDER BY route_id) AS route_sk,

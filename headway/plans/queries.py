@@ -2,7 +2,7 @@
 
 Operators with a "before" state take it from the data: members or facts active before a date were
 loaded earlier. Results are cast so that both engines' client libraries show equal values alike
-(decimals as doubles, dates and far-future timestamps as text).
+(decimals as doubles; dates, far-future timestamps and integers with nulls as text).
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def _portable(df: DataFrame) -> DataFrame:
         value = F.col(field.name)
         if isinstance(field.dataType, T.DecimalType):
             value = value.cast("double").alias(field.name)
-        elif isinstance(field.dataType, T.DateType):
+        elif isinstance(field.dataType, T.DateType) or field.name in ("capacity", "vehicle_sk"):
             value = value.cast("string").alias(field.name)
         elif field.name == "valid_to_dts":
             value = F.date_format(value, "yyyy-MM-dd HH:mm:ss").alias(field.name)
@@ -86,15 +86,15 @@ class Tables:
     # Members that were active before the given dates, i.e. what an earlier batch held.
     def early_users(self) -> DataFrame:
         active = self.staged("payments").where(F.col("created_at") < instant(USERS_FROM))
-        return self.staged("users").join(active.select("user_id"), "user_id", "left_semi")
+        return self.staged("users").join(active.select("user_id").distinct(), "user_id", "left_semi")
 
     def early_routes(self) -> DataFrame:
         active = self.staged("rides").where(F.col("start_time") < instant(ROUTES_FROM))
-        return self.staged("routes").join(active.select("route_id"), "route_id", "left_semi")
+        return self.staged("routes").join(active.select("route_id").distinct(), "route_id", "left_semi")
 
     def early_vehicles(self) -> DataFrame:
         active = self.staged("rides").where(F.col("start_time") < instant(VEHICLES_FROM))
-        return self.staged("vehicles").join(active.select("vehicle_id"), "vehicle_id", "left_semi")
+        return self.staged("vehicles").join(active.select("vehicle_id").distinct(), "vehicle_id", "left_semi")
 
     # Dimensions after that earlier batch.
     def first_users(self) -> DataFrame:
@@ -278,7 +278,7 @@ def dim_user_scd1(spark, sf_dir):
     t = Tables(spark, sf_dir)
     active = t.staged("payments").where(F.col("created_at") >= instant(HISTORY_CHANGE))
     moved = F.when(F.col("city") == "MACHINERY", F.lit("BUILDING")).otherwise(F.col("city"))
-    batch = (t.staged("users").join(active.select("user_id"), "user_id", "left_semi")
+    batch = (t.staged("users").join(active.select("user_id").distinct(), "user_id", "left_semi")
              .withColumn("city", moved))
     return dimensions.overwrite_users(t.first_users(), batch, LOAD)
 
@@ -327,10 +327,15 @@ def fact_ride_asof_route(spark, sf_dir):
     return Tables(spark, sf_dir).rides_asof()
 
 
+def _keys_before(staged: DataFrame, key: str, at: str, until: str) -> DataFrame:
+    """Keys an earlier load had brought; distinct, so that copies of one key do not meet in a join task."""
+    return staged.where(F.col(at) < instant(until)).select(key).distinct()
+
+
 @query
 def fact_ride_incremental(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    loaded = t.staged("rides").where(F.col("start_time") < instant(FACTS_FROM))
+    loaded = _keys_before(t.staged("rides"), "ride_id", "start_time", FACTS_FROM)
     return facts.accepted(t.all_rides(loaded), "fact_ride")
 
 
@@ -347,7 +352,7 @@ def fact_payment(spark, sf_dir):
 @query
 def fact_payment_incremental(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return t.payments(t.staged("payments").where(F.col("created_at") < instant(FACTS_FROM)))
+    return t.payments(_keys_before(t.staged("payments"), "payment_id", "created_at", FACTS_FROM))
 
 
 @query
@@ -358,7 +363,7 @@ def fact_position(spark, sf_dir):
 @query
 def fact_position_incremental(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return t.positions(t.staged("vehicle_positions").where(F.col("event_time") < instant(EVENTS_FROM)))
+    return t.positions(_keys_before(t.staged("vehicle_positions"), "event_id", "event_time", EVENTS_FROM))
 
 
 # --- marts and counts ------------------------------------------------------------------------------
