@@ -10,14 +10,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import dimensions, facts, history, marts
 from headway.operators.keys import stored_among, unseen
-from headway.operators.staging import stage
+from headway.operators.staging import stage, stage_rejects
 from headway.schemas import BEFORE_ALL, CORE, STAGING
 from headway.session import build_session, input_bytes, scratch_table, side_by_side, size_shuffles, use_utc
 from headway.sources.raw import read_raw
@@ -26,11 +26,20 @@ from headway.sources.warehouse import Warehouse
 
 def load_staging(warehouse: Warehouse, raw: dict[str, DataFrame], batch_id: str, load_dts: str,
                  lenient: bool = False) -> None:
-    """Write every raw table as one batch; repeating a batch id replaces that batch."""
+    """Write every raw table as one batch; repeating a batch id replaces that batch.
+
+    A ``lenient`` load stages unreadable values as null and lists their rows in `stg.unreadable`.
+    """
     def write(name: str) -> None:
         warehouse.overwrite_partitions(stage(raw[name], name, batch_id, load_dts, lenient), f"stg.{name}")
 
     side_by_side(*[partial(write, name) for name in STAGING])
+    if lenient:
+        found = [stage_rejects(raw[name], name).selectExpr(
+                    f"'{batch_id}' AS batch_id", f"'{name}' AS table_name",
+                    f"CAST({STAGING[name].key[-1]} AS STRING) AS row_key", "broken_columns")
+                 for name in STAGING]
+        warehouse.overwrite_partitions(reduce(DataFrame.unionByName, found), "stg.unreadable")
 
 
 def load_core(warehouse: Warehouse, batch_id: str, load_dts: str, *, users: str = "insert",

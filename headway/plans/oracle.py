@@ -199,6 +199,13 @@ _KEYED = [
 ]
 
 _REQUIRED = [
+    *[check for table, source, stamp, key in [
+        ("stg.users", "users", "extract_dts", "user_id"), ("stg.routes", "routes", "extract_dts", "route_id"),
+        ("stg.vehicles", "vehicles", "extract_dts", "vehicle_id"),
+        ("stg.rides", "rides", "extract_dts", "ride_id"),
+        ("stg.payments", "payments", "extract_dts", "payment_id"),
+        ("stg.vehicle_positions", "positions", "ingest_dts", "event_id")]
+      for check in _nulls(table, source, {"batch_id": "1", stamp: "1", key: key})],
     *_nulls("dim_user", "dim_user", _same("user_sk", "user_id", "updated_dts")),
     *_nulls("dim_vehicle", "dim_vehicle", _same("vehicle_sk", "vehicle_id", "updated_dts")),
     *_nulls("dim_route_scd2", "route_history",

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from headway.functions.calendar import instant
 from headway.operators import dimensions, facts, history, keys, marts, quality, staging
 from headway.plans.load import load_all
+from headway.schemas import STAGING
 from headway.session import scratch_path, side_by_side, use_utc
 from headway.sources import supplied
 from headway.streaming import runs
@@ -76,6 +77,9 @@ class Tables:
         raw = getattr(supplied, binding)(self.spark, self.sf_dir)
         return staging.stage(raw, name, BATCH, LOAD)
 
+    def all_staged(self) -> dict[str, DataFrame]:
+        return {f"stg.{name}": self.staged(name) for name in STAGING}
+
     def _store(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._stored:
             rows, path = build(), scratch_path(self.spark, name)
@@ -408,15 +412,14 @@ def layer_row_counts(spark, sf_dir):
 @query
 def qa_duplicate_keys(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    staged = {f"stg.{n}": t.staged(n) for n in ("users", "routes", "vehicles", "rides", "payments",
-                                                "vehicle_positions")}
-    return quality.duplicate_keys({**staged, **t.core()})
+    return quality.duplicate_keys({**t.all_staged(), **t.core()})
 
 
 @query
 def qa_not_null(spark, sf_dir):
-    """Required columns of the core, with as-of rides as they come out of the lookups."""
-    return quality.missing_values(Tables(spark, sf_dir).core(asof=True))
+    """Required columns of staging and core, with as-of rides as they come out of the lookups."""
+    t = Tables(spark, sf_dir)
+    return quality.missing_values({**t.all_staged(), **t.core(asof=True)})
 
 
 @query

@@ -97,6 +97,10 @@ STAGING = {t.name: t for t in [
             "raw_json STRING", stamp="ingest_dts", sort_by=("event_time",)),
 ]}
 
+# Raw rows that a lenient load staged with nulls in place of unreadable values.
+UNREADABLE = Table("stg", "unreadable", "batch_id STRING, table_name STRING, row_key STRING, "
+                   "broken_columns STRING", partition_by=(("batch_id", "batch_id"),))
+
 CORE = {t.name: t for t in [
     Table("core", "dim_date",
           "date_sk INT, date_value DATE, year INT, quarter INT, month INT, day INT, day_of_week INT, "
@@ -175,4 +179,4 @@ MARTS = {t.name: t for t in [
           sort_by=("route_number", "date", "hour")),
 ]}
 
-WAREHOUSE = {**{f"stg.{n}": t for n, t in STAGING.items()}, **CORE, **REJECTS, **MARTS}
+WAREHOUSE = {**{f"stg.{n}": t for n, t in STAGING.items()}, "stg.unreadable": UNREADABLE, **CORE, **REJECTS, **MARTS}

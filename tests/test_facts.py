@@ -110,3 +110,39 @@ def test_a_third_of_the_rides_on_one_route_and_user(spark, core, rows, broadcast
             assert got.count() == 9_000 and got.where(wrong).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_keys_are_split_in_shuffled_lookups(spark):
+    """With thresholds scaled down to test size, AQE splits the task that holds a third of the rides."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        staged = spark.range(0, 120_000, 1, 8).selectExpr(
+            "'b' AS batch_id", "TIMESTAMP '2024-01-02' AS extract_dts", "sha2(CAST(id AS STRING), 256) AS ride_id",
+            "IF(id % 3 = 0, 0, id % 5000) AS user_id", "IF(id % 3 = 0, 0, id % 7000) AS route_id",
+            "IF(id % 3 = 0, NULL, id % 9000) AS vehicle_id", "TIMESTAMP '2024-01-10' AS start_time",
+            "TIMESTAMP '2024-01-10' AS end_time", "CAST(1 AS DECIMAL(10,2)) AS fare_amount")
+        users = spark.range(5000).selectExpr("id AS user_id", "id + 1 AS user_sk")
+        vehicles = spark.range(9000).selectExpr("id AS vehicle_id", "id + 1 AS vehicle_sk")
+        routes = spark.range(7000).selectExpr(
+            "id AS route_id", "id + 1 AS route_sk", "true AS is_current",
+            "TIMESTAMP '2024-01-01' AS valid_from_dts", "TIMESTAMP '2025-01-01' AS valid_to_dts")
+        for lookup in ("current", "asof"):
+            facts = ride_facts(staged, users, vehicles, routes, LOAD, route_lookup=lookup)
+            got = facts.selectExpr("count(*) AS n", "max(hash(*)) AS whole_rows")
+            assert got.collect()[0].n == 120_000
+            plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            # One join each on user, vehicle (a third of them null) and route.
+            assert plan.count("skew=true") >= 3
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -164,6 +164,26 @@ def test_without_backdating_rides_before_the_first_load_are_rejected(spark, raw,
         ("r1", "route_sk"), ("r2", "route_sk"), ("r3", "user_sk,route_sk")]
 
 
+def test_a_lenient_load_lists_unreadable_rows(raw, spark, rows, folder):
+    source, root = folder
+    _write_raw(raw, source)
+    broken = {**read_raw(spark, source), "payments": raw("payments", dict(payment_id="p", created_at="soon"))}
+    warehouse = Warehouse(spark, root)
+    load_staging(warehouse, broken, "b1", DAY1, lenient=True)
+    assert rows(warehouse.read("stg.unreadable")) == [("b1", "payments", "p", "created_at")]
+    assert rows(warehouse.read("stg.payments"), "payment_id", "created_at") == [("p", None)]
+    # Repeating the batch strictly fails and leaves the staged rows as they were.
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        load_staging(warehouse, broken, "b1", DAY1)
+    assert warehouse.read("stg.payments").count() == 1
+
+
+def test_tables_are_compressed_with_zstd(spark, core, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.append(core("dim_vehicle", dict(vehicle_sk=1, vehicle_id=1)), "dim_vehicle")
+    assert [p.name for p in tmp_path.rglob("*.zstd.parquet")]
+
+
 def test_unfinished_versions_are_ignored(spark, core, rows, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     warehouse.replace(core("dim_user", dict(user_sk=1, user_id=1)), "dim_user")
