@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.calendar import instant
 from headway.schemas import STAGING
 
 
@@ -23,8 +24,8 @@ def stage(raw: DataFrame, table: str, batch_id: str, load_dts: str, lenient: boo
     convert fails the job; with ``lenient`` it becomes null and `stage_rejects` lists the row.
     """
     batch, stamp = STAGING[table].column_names[:2]
-    return raw.selectExpr(f"'{batch_id}' AS {batch}", f"CAST('{load_dts}' AS TIMESTAMP) AS {stamp}",
-                          *_typed(raw, table, lenient))
+    return raw.select(F.lit(batch_id).alias(batch), instant(load_dts).alias(stamp),
+                      *map(F.expr, _typed(raw, table, lenient)))
 
 
 def stage_rejects(raw: DataFrame, table: str) -> DataFrame:

@@ -31,15 +31,16 @@ def load_staging(warehouse: Warehouse, raw: dict[str, DataFrame], batch_id: str,
     A ``lenient`` load stages unreadable values as null and lists their rows in `stg.unreadable`.
     """
     def write(name: str) -> None:
-        warehouse.overwrite_partitions(stage(raw[name], name, batch_id, load_dts, lenient), f"stg.{name}")
+        rows = stage(raw[name], name, batch_id, load_dts, lenient)
+        warehouse.overwrite_batch(rows, f"stg.{name}", batch_id)
 
     side_by_side(*[partial(write, name) for name in STAGING])
     if lenient:
-        found = [stage_rejects(raw[name], name).selectExpr(
-                    f"'{batch_id}' AS batch_id", f"'{name}' AS table_name",
-                    f"CAST({STAGING[name].key[-1]} AS STRING) AS row_key", "broken_columns")
+        found = [stage_rejects(raw[name], name).select(
+                    F.lit(batch_id).alias("batch_id"), F.lit(name).alias("table_name"),
+                    F.col(STAGING[name].key[-1]).cast("string").alias("row_key"), "broken_columns")
                  for name in STAGING]
-        warehouse.overwrite_partitions(reduce(DataFrame.unionByName, found), "stg.unreadable")
+        warehouse.overwrite_batch(reduce(DataFrame.unionByName, found), "stg.unreadable", batch_id)
 
 
 def load_core(warehouse: Warehouse, batch_id: str, load_dts: str, *, users: str = "insert",

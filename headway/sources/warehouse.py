@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +85,20 @@ class Warehouse:
         (self._writer(rows, WAREHOUSE[name]).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(self.path(name)))
 
+    def overwrite_batch(self, rows: DataFrame, name: str, batch_id: str) -> None:
+        """Replace one batch of a table kept by ``batch_id``, also when there are no rows for it now.
+
+        The stored rows stay in place until the new ones are written in full.
+        """
+        if not re.fullmatch(r"[\w.-]+", batch_id):
+            raise ValueError(f"a batch id consists of letters, digits, '_', '-' and '.', not {batch_id!r}")
+        if not rows.isEmpty():
+            self.overwrite_partitions(rows, name)
+            return
+        files, folder = file_system(self.spark, f"{self.path(name)}/batch_id={batch_id}")
+        if files.exists(folder):
+            files.delete(folder, True)
+
     def replace(self, rows: DataFrame, name: str) -> None:
         """Write the whole table as its next version. Readers see it when the write is finished.
 

@@ -176,6 +176,13 @@ def test_a_lenient_load_lists_unreadable_rows(raw, spark, rows, folder):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         load_staging(warehouse, broken, "b1", DAY1)
     assert warehouse.read("stg.payments").count() == 1
+    # A repeat without payments clears them, and the list.
+    load_staging(warehouse, {**broken, "payments": raw("payments")}, "b1", DAY1, lenient=True)
+    assert warehouse.read("stg.payments").count() == 0
+    assert warehouse.read("stg.unreadable").count() == 0
+    assert warehouse.read("stg.users").count() == 2
+    with pytest.raises(ValueError, match="batch id"):
+        load_staging(warehouse, broken, "b1/../b2", DAY1)
 
 
 def test_tables_are_compressed_with_zstd(spark, core, tmp_path):
