@@ -5,7 +5,15 @@
 
 from __future__ import annotations
 
-_TABLES = """
+
+
+def _mean(amount: str) -> str:
+    """Mean of a non-negative amount with two decimals, rounded half up to six in integer arithmetic."""
+    cents = f"CAST(sum(CAST(CAST({amount} AS DECIMAL(10,2)) * 100 AS BIGINT)) AS HUGEINT)"
+    return f"CAST((2 * 10000 * {cents} + count({amount})) // (2 * count({amount})) AS DOUBLE) / 1e6"
+
+
+_TABLES = f"""
 WITH users AS (
   SELECT c_custkey AS user_id, c_name AS name, CAST(NULL AS VARCHAR) AS email,
          CAST(NULL AS TIMESTAMP) AS created_at, c_mktsegment AS city
@@ -123,7 +131,7 @@ clock AS (
 mart AS (
   SELECT d.route_number, CAST(r.start_time AS DATE) AS date, hour(r.start_time) AS hour,
          count(*) AS trips_count,
-         round(CAST(sum(r.fare_amount) AS DOUBLE) / count(r.fare_amount), 6) AS avg_fare,
+         {_mean('r.fare_amount')} AS avg_fare,
          round(CAST(sum(r.duration_s) AS DOUBLE) / count(r.duration_s), 6) AS avg_duration_s
   FROM ride_current r LEFT JOIN dim_route d ON d.route_sk = r.route_sk AND d.is_current
   GROUP BY ALL)
@@ -150,8 +158,8 @@ _TIME = """SELECT CAST(hour * 10000 + minute * 100 + second AS INTEGER) AS time_
   strftime(make_time(hour, minute, second) + DATE '2000-01-01', '%H:%M:%S') AS time_value,
   CAST(hour AS INTEGER) AS hour, CAST(minute AS INTEGER) AS minute, CAST(second AS INTEGER) AS second
   FROM clock"""
-_MOVEMENT = """SELECT route_number, date_trunc('hour', event_time) AS hour_start,
-  count(*) AS events_count, round(avg(speed_kmh), 6) AS avg_speed_kmh,
+_MOVEMENT = f"""SELECT route_number, date_trunc('hour', event_time) AS hour_start,
+  count(*) AS events_count, {_mean('speed_kmh')} AS avg_speed_kmh,
   round(avg(passengers_estimated), 6) AS avg_passengers
   FROM position_facts GROUP BY ALL"""
 
@@ -337,12 +345,12 @@ _SELECTS = {
     "fact_position_incremental": f"""{_POSITION} WHERE event_id NOT IN (
         SELECT event_id FROM positions WHERE event_time < TIMESTAMP '2024-01-16')""",
     "mart_rides_by_route_hour": _MART,
-    "mart_rides_by_route_version": """
+    "mart_rides_by_route_version": f"""
         SELECT d.route_number, CAST(CAST(r.start_time AS DATE) AS VARCHAR) AS date,
                CAST(hour(r.start_time) AS INTEGER) AS hour, CAST(count(*) AS INTEGER) AS trips_count,
-               round(CAST(sum(r.fare_amount) AS DOUBLE) / count(r.fare_amount), 6) AS avg_fare,
+               {_mean('r.fare_amount')} AS avg_fare,
                round(CAST(sum(r.duration_s) AS DOUBLE) / count(r.duration_s), 6) AS avg_duration_s,
-               round(CAST(sum(d.base_fare) AS DOUBLE) / count(d.base_fare), 6) AS avg_base_fare
+               {_mean('d.base_fare')} AS avg_base_fare
         FROM ride_asof r LEFT JOIN route_history d ON d.route_sk = r.route_sk
         GROUP BY d.route_number, CAST(r.start_time AS DATE), hour(r.start_time)""",
     "warehouse_load": _MART,

@@ -392,11 +392,12 @@ def mart_top20(spark, sf_dir):
 
 @query
 def movement_by_route_hour(spark, sf_dir):
-    return _rounded(marts.movement_by_route_hour(Tables(spark, sf_dir).positions()))
+    positions = Tables(spark, sf_dir).positions()
+    return _rounded(marts.movement_by_route_hour(runs.with_exact_speed(positions)))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    """Averages at six decimals: the last bits of a double sum depend on the order of addition."""
+    """Averages at six decimals, the scale of a decimal average."""
     return df.withColumns({c: F.round(c, 6) for c in df.columns if c.startswith("avg_")})
 
 

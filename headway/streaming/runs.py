@@ -28,8 +28,13 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_files(spark, positions.without_repeats(_events(spark, sf_dir)), "dedupe")
 
 
+def with_exact_speed(rows: DataFrame) -> DataFrame:
+    """Speeds as decimals: the last bits of a sum of doubles depend on the order of addition."""
+    return rows.withColumn("speed_kmh", rows.speed_kmh.cast("decimal(10,2)"))
+
+
 def movement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _to_files(spark, positions.movement(_events(spark, sf_dir)), "movement")
+    return _to_files(spark, positions.movement(with_exact_speed(_events(spark, sf_dir))), "movement")
 
 
 def facts(spark: SparkSession, sf_dir: str, vehicles: DataFrame) -> DataFrame:
