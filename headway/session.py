@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -76,17 +75,18 @@ def size_shuffles(spark: SparkSession, nbytes: int, target: int = 64 << 20) -> i
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for intermediate tables in the folder all executors share.
+    """A fresh path for intermediate tables in a folder all executors share.
 
-    That folder is ``spark.checkpoint.dir``. Only a local session may go without it; on a cluster a
-    path on one machine would be lost or invisible to the others.
+    That folder is ``spark.checkpoint.dir``, or else one inside ``spark.sql.warehouse.dir``, which every
+    session has. What is still there when the session's JVM ends is removed then.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="headway-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    files, location = file_system(spark, path)
+    files.deleteOnExit(location)
+    return path
 
 
 @contextmanager
