@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import exact, lines, rules
+from headway.llm import exact, lines, packing, records, rules
 from headway.llm.tables import table
+from headway.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -111,3 +112,15 @@ SELECT *, NOT base_failed AND {" AND ".join(checks)} AS kept FROM b
 
 
 ORACLE["op9_quality_rules"] = _rules_sql()
+
+
+@query
+def op7_token_records(spark, sf_dir):
+    path = scratch_path(spark, "records")
+    records.write(documents(spark, sf_dir), path)
+    return records.index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32", "offset", "n_bytes")
+
+
+@query
+def op10_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir))
