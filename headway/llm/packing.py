@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.tables import ship
 from headway.llm.tokens import END_ID, default_tokenizer, encoder
 
 CAPACITY = 4096
@@ -140,6 +141,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer:
     block holds hundreds of sequences, so packing more together would gain nothing. Sequence ids start at
     the number of the task times 2**32, and a task that runs again yields the same.
     """
+    ship(docs.sparkSession)
     path = tokenizer or default_tokenizer()
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = _SCHEMA + (", ids array<int>" if with_ids else "")

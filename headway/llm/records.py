@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from headway.llm.tables import keep
+from headway.llm.tables import keep, ship
 from headway.llm.tokens import END_ID, default_tokenizer, encoder
 
 # Bounds the size of a file, as a reader takes one file at a time.
@@ -85,6 +85,7 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     among themselves; their place in the input is part of the sort key, so no id is too frequent for one
     task. An empty table gives a folder without records. Other columns are ignored.
     """
+    ship(docs.sparkSession)
     tokenizer = tokenizer or default_tokenizer()
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        F.monotonically_increasing_id().alias("place"))
@@ -120,6 +121,7 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     before it. Every checksum is verified; a damaged file raises. Starts are added up per file and then over
     one row per file.
     """
+    ship(spark)
     records = keep(_files(spark, path).mapInArrow(_indexed, _INDEX), "record-index")
     sizes = records.groupBy("file").agg(F.sum("n_tokens").alias("in_all"))
     before = Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -143,6 +145,7 @@ def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fetch(spark: SparkSession, path: str, chosen: DataFrame) -> DataFrame:
     """doc_id and ids of the records that ``chosen``, rows of the index in any order, points at."""
+    ship(spark)
     wanted = chosen.groupBy("file").agg(F.collect_list("offset").alias("offsets"))
     return (_files(spark, path).join(wanted, "file").select("content", "offsets")
             .mapInArrow(_fetched, "doc_id long, ids array<long>"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +44,20 @@ def words_of(text: Column) -> Column:
 def fingerprint128(*values: Column) -> Column:
     """Two independent 64-bit hashes: equal values always agree, different ones never in practice."""
     return F.struct(F.xxhash64(*values).alias("a"), F.xxhash64(F.lit(7), *values, F.lit("#")).alias("b"))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session, once; as ``--py-files`` would."""
+    package = Path(__file__).resolve().parents[1]
+    context = spark.sparkContext
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    archive = Path(context._temp_dir, f"{package.name}-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(package.rglob("*.py")):
+            packed.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
