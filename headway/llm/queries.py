@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import exact, lines, packing, records, rules
-from headway.llm.tables import table
+from headway.llm import exact, lines, mixing, packing, records, rules
+from headway.llm.tables import keep, table
 from headway.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op3_mixing(spark, sf_dir):
+    rows = keep(mixing.sized(documents(spark, sf_dir)).select("doc_id", "source", "size"), "sizes")
+    return mixing.mix(rows).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op4_line_dedup(spark, sf_dir):
     cleaned = lines.drop_boilerplate(documents(spark, sf_dir))
