@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import exact, lines, mixing, packing, records, rules
+from headway.llm import exact, lines, mixing, packing, records, rules, simhash
 from headway.llm.tables import keep, table
 from headway.session import scratch_path
 
@@ -120,6 +120,11 @@ SELECT *, NOT base_failed AND {" AND ".join(checks)} AS kept FROM b
 ORACLE["op9_quality_rules"] = _rules_sql()
 
 
+@query
+def op5_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir)).drop("content")
+
+
 @query
 def op7_token_records(spark, sf_dir):
     path = scratch_path(spark, "records")
