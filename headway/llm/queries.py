@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import exact, lines, mixing, packing, records, rules, simhash
+from headway.llm import ctw, exact, lines, mixing, packing, records, rules, simhash
 from headway.llm.tables import keep, table
 from headway.session import scratch_path
 
@@ -125,6 +125,11 @@ def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir)).drop("content")
 
 
+@query
+def op6_lm_scoring(spark, sf_dir):
+    return ctw.score(documents(spark, sf_dir), held_out="crc32(CAST(doc_id AS STRING)) % 7 = 2")
+
+
 @query
 def op7_token_records(spark, sf_dir):
     path = scratch_path(spark, "records")
