@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import ctw, exact, lines, mixing, packing, records, rules, simhash
+from headway.llm import ctw, exact, gam, html, lines, mixing, packing, records, rules, simhash
 from headway.llm.tables import keep, table
 from headway.session import scratch_path
 
@@ -37,6 +37,18 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+# Labels of these documents are not learnt from.
+HELD_OUT = "crc32(CAST(doc_id AS STRING)) % 4 = 2"
+
+
+@query
+def op2_quality_model(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    model = gam.train(docs, labels.where(f"NOT ({HELD_OUT})"))
+    return gam.score(docs, model).selectExpr(
+        "doc_id", f"coalesce({HELD_OUT}, false) AS held_out", "score", "CAST(score >= 0.7 AS INT) AS predicted")
+
+
 @query
 def op3_mixing(spark, sf_dir):
     rows = keep(mixing.sized(documents(spark, sf_dir)).select("doc_id", "source", "size"), "sizes")
@@ -76,6 +88,11 @@ FROM pages LEFT JOIN cleaned c USING (page)
 """
 
 
+@query
+def op8_html_text(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     judged = rules.judge(documents(spark, sf_dir))
