@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from headway.llm import ctw, exact, gam, html, lines, mixing, packing, records, rules, simhash
 from headway.llm.tables import keep, table
 from headway.session import scratch_path
@@ -157,3 +158,12 @@ def op7_token_records(spark, sf_dir):
 @query
 def op10_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -77,23 +77,26 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         {"__starts": F.expr("array_sort(transform(filter(__sorted, (x, j) -> "
                             "(j > 0 AND get(__sorted, j - 1).h = x.h) OR "
                             f"(j < {m} - 1 AND get(__sorted, j + 1).h = x.h)), x -> x.i))")},
-        {"n_words": F.expr(w),
-         "word_chars": F.expr("aggregate(__words, 0L, (n, x) -> n + length(x))"),
-         "n_symbols": F.expr(f"length(__text) - length(translate(__text, '{SYMBOLS}', ''))"),
-         "n_dup_lines": F.expr("size(__lines) - size(array_distinct(__lines))"),
+        {"__n_words": F.expr(w),
+         "__word_chars": F.expr("aggregate(__words, 0L, (n, x) -> n + length(x))"),
+         "__n_symbols": F.expr(f"length(__text) - length(translate(__text, '{SYMBOLS}', ''))"),
+         "__n_dup_lines": F.expr("size(__lines) - size(array_distinct(__lines))"),
          # Each repeated window adds its words up to where the next one starts.
-         "n_repeat_words": F.expr(f"coalesce(aggregate(transform(__starts, (p, j) -> least({WINDOW}, "
+         "__n_repeat_words": F.expr(f"coalesce(aggregate(transform(__starts, (p, j) -> least({WINDOW}, "
                                   f"coalesce(get(__starts, j + 1) - p, {WINDOW}))), 0L, (n, x) -> n + x), 0L)"),
-         "n_lines": F.expr("size(__lines)"),
-         "n_stop_words": F.expr(f"size(filter(__words, x -> lower(x) IN ({stop})))"),
-         "n_capital_words": F.expr("size(filter(__words, x -> upper(x) = x AND lower(x) <> x))"),
-         "n_ellipsis_lines": F.expr("size(filter(__lines, x -> rtrim(x) LIKE '%...' OR rtrim(x) LIKE '%…'))"),
-         "n_bullet_lines": F.expr("size(filter(__lines, x -> left(ltrim(x), 1) IN ('-', '*', '•')))")},
+         "__n_lines": F.expr("size(__lines)"),
+         "__n_stop_words": F.expr(f"size(filter(__words, x -> lower(x) IN ({stop})))"),
+         "__n_capital_words": F.expr("size(filter(__words, x -> upper(x) = x AND lower(x) <> x))"),
+         "__n_ellipsis_lines": F.expr("size(filter(__lines, x -> rtrim(x) LIKE '%...' OR rtrim(x) LIKE '%…'))"),
+         "__n_bullet_lines": F.expr("size(filter(__lines, x -> left(ltrim(x), 1) IN ('-', '*', '•')))")},
     )
+    columns = [c for c in docs.columns if c.lower() not in COUNTS]
     for step in steps:
         docs = docs.withColumns(step)
-    docs = docs.withColumns({c: F.col(c).cast("long") for c in COUNTS})
-    return docs.drop("__text", "__words", "__lines", "__h1", "__h2", "__h4", "__h8", "__sorted", "__starts")
+    # A generator hands the counts on: were they plain projections, a filter on them would be pushed below and
+    # every mention of a count would repeat all the work behind it.
+    counts = F.inline_outer(F.array(F.struct(*[F.col(f"__{c}").cast("long").alias(c) for c in COUNTS])))
+    return docs.select(*columns, counts)
 
 
 def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
