@@ -37,12 +37,11 @@ SIGMA = 1.0
 
 @dataclass
 class Block:
-    """A line of the page: its text, the tags met in it, its containers from the outside in, if it is content."""
+    """A line of the page: its text, the tags met in it, its containers from the outside in."""
 
     text: str
     tags: int
     within: tuple[int, ...]
-    content: bool
 
 
 @dataclass
@@ -67,8 +66,7 @@ class _Page(HTMLParser):
     def _flush(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            self.blocks.append(Block(text, self._tags, tuple(x.number for x in self._open if x.number is not None),
-                                     not any(x.skipped for x in self._open)))
+            self.blocks.append(Block(text, self._tags, tuple(x.number for x in self._open if x.number is not None)))
             self._tags = 0
         self._text = []
 
@@ -91,9 +89,13 @@ class _Page(HTMLParser):
         self._tags += 1
         if tag in VOID:
             return
+        nested = bool(self._open) and self._open[-1].skipped and self._open[-1].tag == tag
+        if nested and tag in ("p", "li"):
+            self._open.pop()  # a new paragraph or item ends one that was left open
+            nested = False
         content = self._is_content(tag, dict(attrs))
-        if tag in CONTAINERS or not content:
-            self._open.append(_Open(tag, not content, self._numbers if tag in CONTAINERS else None))
+        if nested or tag in CONTAINERS or not content:
+            self._open.append(_Open(tag, nested or not content, self._numbers if tag in CONTAINERS else None))
             if tag in ("article", "main"):
                 self.semantic.add(self._numbers)
             self._numbers += 1
@@ -113,7 +115,8 @@ class _Page(HTMLParser):
                 del self._open[at:]
 
     def handle_data(self, data: str) -> None:
-        self._text.append(data)
+        if not any(x.skipped for x in self._open):
+            self._text.append(data)
 
     def close(self) -> None:
         super().close()
@@ -140,7 +143,7 @@ def main_text(html: str) -> str:
     page = _Page()
     page.feed(html)
     page.close()
-    lines = [block for block in page.blocks if block.content]
+    lines = page.blocks
     if not lines:
         return ""
     smoothed = ratios(lines)

@@ -162,6 +162,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", weights
     apart: they are one item and get the same copies, and a null doc_id is an id like any other. A document
     without words counts no words and gets the certain copies only. An empty table gives an empty result.
     """
+    docs = docs.drop("source_size", "target", "copies", "taken")
     rows = docs.withColumns({"__id": F.col(doc_id), "__source": F.col(source), "__size": F.col("size")})
     items = keep(rows.groupBy("__source", "__id", "__size").count(), "mix-items")
     sizes = items.groupBy("__source").agg(F.sum(F.expr("__size * count")).alias("source_size"))

@@ -140,7 +140,7 @@ ORACLE["op9_quality_rules"] = _rules_sql()
 
 @query
 def op5_simhash(spark, sf_dir):
-    return simhash.near_duplicates(documents(spark, sf_dir)).drop("content")
+    return simhash.near_duplicates(documents(spark, sf_dir)).drop("content", "component")
 
 
 @query

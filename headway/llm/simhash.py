@@ -106,12 +106,13 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS) -> DataFrame:
-    """One row per document: doc_id, content, fingerprint (16 hexadecimal digits), component_id.
+    """One row per document: doc_id, content, fingerprint (16 hexadecimal digits), component, component_id.
 
     Documents link if their fingerprints differ in at most ``radius`` bits; ``component_id`` is the smallest
     doc_id that links reach, the document itself included. A null or empty text has the fingerprint 0 and links
     like any other; a null doc_id is passed over in the minimum. Repeated rows each get a row. Other columns
-    are ignored, an empty table gives an empty result. ``content`` tells rows with the same doc_id apart.
+    are ignored, an empty table gives an empty result. ``content`` tells rows with the same doc_id apart, and
+    ``component``, a fingerprint of the component, components that share a doc_id.
 
     Documents with the same fingerprint are one node from the start, combined before the exchange, so a
     group of copies costs no more than one document beyond its own rows.
@@ -121,10 +122,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     roots = connected(keep(links(nodes, radius), "fingerprint-links"))
     linked = roots.join(nodes, roots["node"] == nodes["fp"]).select("node", "root", "first")
     smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_node = keep(linked.join(smallest, "root").select(F.col("node").alias("fp"), "component_id"), "fingerprint-components")
-    labels = nodes.join(of_node, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    of_node = keep(linked.join(smallest, "root").select(F.col("node").alias("fp"), "root", "component_id"), "fingerprint-components")
+    alone = F.col("root").isNull()
+    labels = nodes.join(of_node, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("component"),
+        F.when(alone, F.col("first")).otherwise(F.col("component_id")).alias("component_id"))
     return prints.join(labels, "fp").select(
-        "doc_id", "content", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", "content", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -135,10 +139,8 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     """
     found = near_duplicates(docs, doc_id, text, shingle, radius)
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "content")
-    # Components without an id are told apart by their fingerprint, which is then their own or a copy's.
-    key = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint"))]
-    chosen = (found.groupBy(*[k.alias(f"__k{i}") for i, k in enumerate(key)]).agg(F.min(order).alias("best"))
-              .select(F.col("best.doc_id").alias("__id"), F.col("best.content").alias("__content")))
+    chosen = found.groupBy("component").agg(F.min(order).alias("best")).select(
+        F.col("best.doc_id").alias("__id"), F.col("best.content").alias("__content"))
     rows = docs.withColumns({"__own": F.col(doc_id).cast("long"), "__hash": F.xxhash64(text_of(text))})
     kept = rows.join(keep(chosen, "near-dedup-kept"), F.expr("__own <=> __id AND __hash = __content"), "left_semi")
     rank = F.expr("row_number() OVER (PARTITION BY __own, __hash ORDER BY __hash)")

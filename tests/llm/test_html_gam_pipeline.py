@@ -1,0 +1,160 @@
+import ast
+import importlib.util
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from headway.llm import gam, html
+from headway.llm.queries import ORACLE, REGISTRY
+from headway.llm.tables import table
+
+SF = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not Path(SF).exists(), reason="supplied tables are not here")
+
+_spec = importlib.util.spec_from_file_location("check", Path(__file__).parents[2] / "tools" / "check.py")
+check = importlib.util.module_from_spec(_spec)
+_spec.loader.exec_module(check)
+
+LONG = "A paragraph of the article with quite a few words in it, so that its ratio of text to tags is high. " * 3
+
+
+@pytest.mark.parametrize("page, text", [
+    ("", ""), ("no markup at all", "no markup at all"),
+    (f"<body><nav><a>Home</a></nav><article><h1>T</h1><p>{LONG}</p><p>Short.</p></article><footer>f</footer>",
+     f"T\n{LONG.strip()}\nShort."),
+    (f"<header>site</header><aside>side</aside><main><p>{LONG}<p>a &amp;  b&nbsp;c<br>d<script>x('</p>')</script></main>",
+     f"{LONG.strip()}\na & b c d"),
+    (f"<article><p>{LONG}</p><form><input><button>Send</button></form><div class='comments'><p>{LONG}</p></div></article>",
+     LONG.strip()),
+    (f"<article><p>{LONG}</p></article><section id='comments'><article><p>{LONG}{LONG}</p></article></section>", LONG.strip()),
+    (f"<div class=menu><p>{LONG}</p></div><div><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>", f"{LONG.strip()}\nShort.\n{LONG.strip()}"),
+    (f"<article><div class='cookie-notice'>We use</div><p>{LONG}</p><div style='display:none'>x</div><p hidden>y</article>", LONG.strip()),
+    (f"<article><p><b>{LONG}<p>unclosed <i>tags</p></article><footer>f", f"{LONG.strip()}\nunclosed tags"),
+    (f"<article><p>{LONG}<span class=ad>Buy <span>now</span> here</span>end</p><p class=promo>x<p>y", f"{LONG}end\ny"),
+    (f"<div class=ad><div>x</div>y</div><article><p>{LONG}</article>", LONG.strip()),
+    ("<style>p{}</style><script>1</script><!-- c -->", ""), ("<article><p>A<p>B</article>", "A\nB"),
+])
+def test_main_text(page, text):
+    assert html.main_text(page) == text
+
+
+def test_pages_with_nulls_and_clashing_columns(spark):
+    rows = [(1, "u", "<p>a</p>", "x", 5), (None, None, None, "x", 5), (1, "u", "<p>a</p>", "x", 5), (2, None, "", None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
+    got = sorted(html.extract(df).collect(), key=repr)
+    assert sorted((r.text, r.n_chars) for r in got) == [("", 0), ("", 0), ("a", 1), ("a", 1)]
+    assert html.extract(df.limit(0)).count() == 0
+
+
+# --- classifier -----------------------------------------------------------------------------------
+
+def test_fit_learns_a_shape_and_an_interaction():
+    rng = np.random.default_rng(0)
+    x = rng.random((4000, 3))
+    y = ((np.abs(x[:, 0] - 0.5) < 0.2) ^ (x[:, 1] > 0.5)).astype(float)
+    model = gam.fit(x[:3000], y[:3000])
+    assert (0, 1) in model.pairs
+    assert ((model.score(x[3000:]) > 0.5) == y[3000:]).mean() > 0.85
+
+
+def test_score_is_the_sum_of_looked_up_bins():
+    rng = np.random.default_rng(1)
+    x, y = rng.random((500, 2)), rng.integers(0, 2, 500).astype(float)
+    model = gam.fit(x, y)
+    for row in x[:5]:
+        total = model.start + sum(t[(e <= v).sum()] for t, e, v in zip(model.tables, model.edges, row, strict=True))
+        bins = [(e <= v).sum() for e, v in zip(model.pair_edges, row, strict=True)]
+        total += sum(t[bins[i], bins[j]] for (i, j), t in zip(model.pairs, model.pair_tables, strict=True))
+        assert model.score(row[None])[0] == pytest.approx(1 / (1 + np.exp(-total)))
+
+
+@pytest.mark.parametrize("y", [[], [1.0], [0.0, 0.0], [1.0] * 5])
+def test_fit_without_contrast(y):
+    x = np.ones((len(y), len(gam.FEATURES)))
+    score = gam.fit(x, np.array(y)).score(np.zeros((1, len(gam.FEATURES))))[0]
+    assert 0 < score < 1 and (score > 0.5) == (sum(y) > len(y) / 2)
+
+
+def test_train_and_score_edge_rows(edges, spark):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (5, 0), (None, 1), (7, None), (99, 1)], "doc_id long, quality int")
+    model = gam.train(edges, labels)
+    got = gam.score(edges, model).collect()
+    assert len(got) == edges.count() and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (2, 3, 6)}) == 1
+    assert gam.score(edges.limit(0), model).count() == 0
+    assert 0 < gam.score(edges, gam.train(edges, labels.limit(0))).first().score < 1
+
+
+@needs_data
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in table(spark, sf, "labels").collect()}
+    rows = [r for r in REGISTRY["op2_quality_model"](spark, sf).collect() if r.held_out and r.doc_id in labels]
+    assert sum(r.predicted == labels[r.doc_id] for r in rows) > 0.95 * len(rows)
+
+
+# --- registration, SQL, pipeline ------------------------------------------------------------------
+
+def test_all_eleven_are_registered():
+    names = [n for n in driver.queries() if n.startswith("op") or n == "pipeline"]
+    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{i}" for i in range(1, 11)] + ["pipeline"])
+    assert set(ORACLE) <= set(REGISTRY)
+
+
+def test_nothing_else_imports_the_subpackage():
+    root = Path(driver.__file__).parent
+    for source in (root / "headway").rglob("*.py"):
+        if "llm" not in source.relative_to(root).parts:
+            names = [n.module or "" for n in ast.walk(ast.parse(source.read_text())) if isinstance(n, ast.ImportFrom)]
+            assert not any("llm" in n for n in names), source
+
+
+@needs_data
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_same_rows_as_sql(spark, name):
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    df = REGISTRY[name](spark, SF)
+    result = db.execute(ORACLE[name])
+    columns = [c[0] for c in result.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert check.as_rows(df.columns, df.collect()) == check.as_rows(columns, result.fetchall())
+
+
+@needs_data
+def test_native_plans_hold_no_python(spark):
+    for name in ("op1_exact_dedup", "op3_mixing", "op9_quality_rules"):
+        plan = REGISTRY[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_stages_take_effect_and_keep_the_columns(spark, edges):
+    good = " ".join(f"the word{i} of" for i in range(30))
+    more = [(20 + i, f"{good} {i}\nfooter", None, "a", None) for i in range(12)] + [(40, good, None, "a", None), (41, good, None, "a", None)]
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    docs = edges.select(*names).unionByName(spark.createDataFrame(more, edges.select(*names).schema))
+    inputs = docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        if name != "packing":
+            assert out.columns == names
+        docs = out.persist()
+        if name == "quality rules":
+            assert {r.doc_id for r in docs.collect()} >= {40, 41} and docs.count() < inputs.count()
+        if name == "line dedup":
+            assert not any("footer" in r.text for r in docs.collect())
+        if name == "near dedup":
+            assert 41 not in {r.doc_id for r in docs.collect()} and docs.count() > 0
+    pieces = docs.collect()
+    assert pieces and all(len(r.ids) == r.length for r in pieces)
+
+
+def test_stages_of_an_empty_table(spark, edges):
+    docs = edges.select("doc_id", "text", "lang", "source", "n_chars").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0

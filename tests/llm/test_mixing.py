@@ -1,0 +1,92 @@
+import pytest
+
+from headway.llm import mixing
+
+
+def by_hand(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
+    """Targets of sources in order, by sharing what is over again and again."""
+    w = [weights[i % len(weights)] for i in range(len(sizes))]
+    total, stopped = share * sum(sizes), set()
+    while True:
+        left = total - sum(most * sizes[i] for i in stopped)
+        free = sum(w[i] for i in range(len(sizes)) if i not in stopped)
+        out = [most * s if i in stopped else left * w[i] / free for i, s in enumerate(sizes)]
+        over = {i for i in range(len(sizes)) if i not in stopped and out[i] > most * sizes[i] + 1e-9}
+        if not over:
+            return out
+        stopped |= over
+
+
+@pytest.mark.parametrize("sizes", [[10], [100, 100, 100], [10, 1000, 10, 20, 500], [0, 5, 0], [1, 1, 1, 1, 1, 900], [7] * 9])
+def test_targets(spark, sizes):
+    df = spark.createDataFrame([(f"s{i}", s) for i, s in enumerate(sizes)], "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(df).collect()}
+    assert [got[f"s{i}"] for i in range(len(sizes))] == pytest.approx(by_hand(sizes))
+
+
+def test_sources_go_by_code_point_and_null_comes_last(spark):
+    names = ["Z", "a", "é", "😀", None]
+    df = spark.createDataFrame([(n, 1000) for n in reversed(names)], "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(df).collect()}
+    assert [got[n] for n in names] == pytest.approx(by_hand([1000] * 5))
+
+
+def _mixed(df):
+    return mixing.mix(mixing.sized(df)).collect()
+
+
+def _corpus(docs, n=600):
+    return docs(*[(i, "w " * (1 + i * i % 97), f"s{i % 3 if i % 4 else 0}") for i in range(n)])
+
+
+def test_taken_words_come_near_the_targets_and_reruns_agree(docs):
+    rows = _mixed(_corpus(docs))
+    sums = {}
+    for r in rows:
+        assert r.copies in (0, 1, 2) and r.taken == r.copies * r.size
+        # Each document is taken as often as its share says, rounded to one side or the other.
+        assert abs(r.copies - r.target / r.source_size) < 1
+        sums.setdefault(r.source, [r.target, 0, 0])
+        sums[r.source][1] += r.taken
+        sums[r.source][2] += r.size
+    assert all(abs(taken - target) < 60 for target, taken, _ in sums.values())
+    assert all(r.source_size == sums[r.source][2] for r in rows)
+    again = _mixed(_corpus(docs).repartition(7))
+    assert sorted((r.doc_id, r.copies) for r in rows) == sorted((r.doc_id, r.copies) for r in again)
+
+
+def test_rounding_keeps_totals_in_every_level_of_the_tree(spark):
+    items = spark.range(3000).selectExpr("IF(id % 3 = 0, 'x', 'y') AS source", "struct(id AS id, id AS size) AS doc_id",
+                                         "id % 50 + 1 AS size", "0.3D AS x")
+    rows = mixing.round_shares(items, fan_in=4).collect()
+    assert len(rows) == 3000 == len({r.doc_id.id for r in rows})
+    for source in "xy":
+        words = sum(r.size for r in rows if r.source == source)
+        assert abs(sum(r.size * r.extra for r in rows if r.source == source) - 0.3 * words) <= 50
+    chosen = sum(r.extra for r in rows)
+    assert 700 < chosen < 1100  # about 0.3 of the items, long or short
+
+
+def test_no_share_is_favoured(spark):
+    items = spark.range(400).selectExpr("'x' AS source", "struct(id AS id, id AS size) AS doc_id", "10L AS size", "0.5D AS x")
+    times = {}
+    for seed in range(12):
+        for r in mixing.round_shares(items, seed=seed, fan_in=8).collect():
+            times[r.doc_id.id] = times.get(r.doc_id.id, 0) + r.extra
+    assert sum(times.values()) == 12 * 200
+    assert max(times.values()) < 12 or sum(v in (0, 12) for v in times.values()) < 10
+
+
+def test_edge_rows_keep_their_columns(edges):
+    rows = _mixed(edges)
+    assert len(rows) == edges.count() and {r.lang for r in rows} == {None}
+    for r in rows:
+        assert r.size == len((r.text or "").encode().split())
+        assert r.taken <= 2 * r.size
+    repeated = [r.copies for r in rows if r.doc_id == 5 and r.size > 2]
+    assert len(repeated) == 2 and len(set(repeated)) == 1
+
+
+def test_nothing_and_nothing_but_empty_texts(docs):
+    assert _mixed(docs()) == []
+    assert [(r.taken, r.target) for r in _mixed(docs((1, "", "a"), (2, None, None)))] == [(0, 0.0), (0, 0.0)]

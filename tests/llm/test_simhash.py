@@ -1,0 +1,103 @@
+import random
+import re
+
+import pytest
+import xxhash
+
+from headway.llm import simhash
+from headway.llm.components import connected
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def by_hand(text, k=3):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components_by_hand(prints, radius=2):
+    label = {i: i for i in range(len(prints))}
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(prints)):
+            for j in range(i):
+                if (prints[i] ^ prints[j]).bit_count() <= radius and label[i] != label[j]:
+                    label[i] = label[j] = min(label[i], label[j])
+                    changed = True
+    return label
+
+
+@pytest.mark.parametrize("text", ["", " \n", "one", "One TWO", "a b c", "a b c d a b c d", "É é x Y", "x " * 70_000])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == by_hand(text)
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3])
+def test_masks_cover_every_pair_within_the_radius(radius):
+    rng, masks = random.Random(1), simhash.masks(radius)
+    assert len(masks) == 2 ** (radius + 1) - 1
+    for _ in range(3000):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), radius):
+            b ^= 1 << bit
+        assert any(a & m == b & m for m in masks)
+
+
+def test_links_connect_what_brute_force_connects(spark):
+    rng = random.Random(5)
+    prints = [rng.getrandbits(64) for _ in range(30)]
+    for _ in range(170):  # a crowd around a few centres, chains included
+        near = prints[rng.randrange(len(prints))]
+        for bit in rng.sample(range(64), rng.randint(1, 3)):
+            near ^= 1 << bit
+        prints.append(near)
+    prints = sorted(set(prints))
+    df = spark.createDataFrame([(simhash._signed(p),) for p in prints], "fp long")
+    edges = [(r.a, r.b) for r in simhash.links(df).collect()]
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 2 for a, b in edges)
+    want = components_by_hand(prints)
+    roots = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = [roots.get(simhash._signed(p), simhash._signed(p)) for p in prints]
+    pairs = {(got[i], want[i]) for i in range(len(prints))}
+    assert len(pairs) == len(set(got)) == len(set(want.values()))
+
+
+def test_odd_radius_is_refused(spark):
+    with pytest.raises(ValueError, match="even"):
+        simhash.links(spark.createDataFrame([(1,)], "fp long"), 3)
+
+
+def test_connected_handles_chains_stars_loops_and_repeats(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (100, 101), (101, 100)]
+    got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 130)}}
+    assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_edge_rows(edges):
+    rows = simhash.near_duplicates(edges).collect()
+    assert len(rows) == edges.count()
+    assert sorted((r.fingerprint for r in rows)) == sorted(f"{by_hand(r.text):016x}" for r in edges.collect())
+    of = {r.doc_id: r.component_id for r in rows if r.doc_id}
+    assert of[1] == 1 and of[2] == of[3] == of[6] == 2  # texts without words are alike
+    assert {r.component_id for r in rows if r.doc_id is None} == {1, 2}
+
+
+def test_one_row_of_each_group_stays(edges):
+    out = simhash.drop_near_duplicates(edges)
+    assert out.columns == edges.columns
+    assert sorted((r.doc_id, (r.text or "")[:10]) for r in out.collect()) == sorted(
+        [(1, "one two th"), (2, ""), (5, "word0 the "), (5, "other text"), (7, "the the\nth"), (8, "é ß 日本 \x00 <")])
+
+
+def test_a_group_without_ids_stays_once(docs):
+    out = simhash.drop_near_duplicates(docs((None, "a b", "s"), (None, "a b", "s"), (None, "c d", "s")))
+    assert sorted(r.text for r in out.collect()) == ["a b", "c d"]
+
+
+def test_nothing(docs):
+    assert simhash.near_duplicates(docs()).count() == 0 and simhash.drop_near_duplicates(docs()).count() == 0
