@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.calendar import date_sk, instant, iso_weekday, time_sk
-from headway.operators.keys import highest, latest_per_key, number_rows, unseen
+from headway.operators.keys import highest, latest_per_key, number_rows, unseen, with_key
 from headway.schemas import CORE, OPEN_END
 
 USER_ATTRIBUTES = ("name", "email", "city", "created_at")
@@ -17,7 +17,7 @@ ROUTE_ATTRIBUTES = ("route_number", "vehicle_type", "base_fare")
 
 
 def _new_members(staged: DataFrame, existing: DataFrame | None, key: str, sk: str) -> DataFrame:
-    members = latest_per_key(staged.where(F.col(key).isNotNull()), [key])
+    members = latest_per_key(with_key(staged, key), [key])
     if existing is None:
         return number_rows(members, key, sk)
     return number_rows(unseen(members, existing, key), key, sk, highest(existing, sk))
@@ -48,17 +48,30 @@ def open_versions(routes: DataFrame, valid_from: Column, load_dts: str) -> DataF
 
 def new_routes(staged: DataFrame, existing: DataFrame | None, load_dts: str,
                valid_from: str | None = None) -> DataFrame:
-    """First versions of routes without a current version; changed attributes are ignored."""
-    current = None
-    members = latest_per_key(staged.where(F.col("route_id").isNotNull()), ["route_id"])
+    """Open versions of routes without a current version; changed attributes are ignored.
+
+    A route the dimension has never seen starts at ``valid_from`` when given, one that has closed versions at
+    the load, so that its versions don't overlap.
+    """
+    members = latest_per_key(with_key(staged, "route_id"), ["route_id"])
     after = 0
     if existing is not None:
-        current = existing.where("is_current")
-        members = unseen(members, current, "route_id")
+        members = unseen(members, existing.where("is_current"), "route_id")
         # Closed versions hold keys too.
         after = highest(existing, "route_sk")
     numbered = number_rows(members, "route_id", "route_sk", after)
-    return open_versions(numbered, instant(valid_from or load_dts), load_dts)
+    if existing is None or valid_from is None:
+        return open_versions(numbered, instant(valid_from or load_dts), load_dts)
+    marked = mark_known(numbered, existing)
+    start = F.when(F.col("__known"), instant(load_dts)).otherwise(instant(valid_from))
+    return open_versions(marked, start, load_dts)
+
+
+def mark_known(routes: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Add ``__known``: whether the dimension has any version of the route, closed ones included."""
+    known = dimension.select(F.col("route_id").alias("__id")).distinct()
+    return (routes.join(known, F.col("route_id") == F.col("__id"), "left")
+            .withColumn("__known", F.col("__id").isNotNull()).drop("__id"))
 
 
 def overwrite_users(existing: DataFrame, staged: DataFrame, load_dts: str) -> DataFrame:
@@ -67,7 +80,7 @@ def overwrite_users(existing: DataFrame, staged: DataFrame, load_dts: str) -> Da
     Staged attributes replace the stored ones, nulls included; users missing from the batch stay as
     they are; new users get the next keys. ``updated_dts`` moves only where an attribute changed.
     """
-    batch = latest_per_key(staged.where(F.col("user_id").isNotNull()), ["user_id"])
+    batch = latest_per_key(with_key(staged, "user_id"), ["user_id"])
     incoming = batch.select("user_id", F.struct(*USER_ATTRIBUTES).alias("__new"))
     stored = F.struct(*USER_ATTRIBUTES)
     kept = (existing.join(incoming, "user_id", "left")
@@ -89,6 +102,11 @@ def event_times(rides: DataFrame, payments: DataFrame, positions: DataFrame) ->
     return reduce(DataFrame.unionByName, times).where(F.col("ts").isNotNull())
 
 
+def moments(times: DataFrame) -> DataFrame:
+    """Each date with each second of day that occurs on it, once: what `calendar` and `clock` need of the events."""
+    return times.select(F.date_trunc("second", "ts").alias("ts")).distinct()
+
+
 def calendar(times: DataFrame) -> DataFrame:
     """One row per date that occurs. Only distinct dates leave each task."""
     day = F.col("date_value")

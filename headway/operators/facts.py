@@ -10,21 +10,26 @@ from headway.operators.history import version_at
 from headway.operators.keys import latest_per_key, look_up, unseen
 from headway.schemas import CORE
 
-# Columns the lookups may leave null although the fact requires them.
+# Columns that staging or the lookups may leave null although the fact requires them.
 _NEEDED = {
-    "fact_ride": ("user_sk", "route_sk", "start_time"),
-    "fact_payment": ("user_sk",),
-    "fact_vehicle_position": ("event_time",),
+    "fact_ride": ("ride_id", "user_sk", "route_sk", "start_time"),
+    "fact_payment": ("payment_id", "user_sk"),
+    "fact_vehicle_position": ("event_id", "event_time"),
 }
+# Begins the stand-in key of a row without one.
+_NO_KEY = "\0row "
 
 
 def _to_load(staged: DataFrame, key: str, existing: DataFrame | None) -> DataFrame:
-    """One row per key, without keys already loaded.
+    """One row per key, without keys already loaded; rows without a key stay, each for itself.
 
-    Going first keeps the lookups narrow, and both steps share one exchange on the key.
+    Going first keeps the lookups narrow, and both steps share one exchange on the key. A row without a key
+    has a stand-in meanwhile, so such rows neither replace each other nor meet in one task.
     """
-    rows = latest_per_key(staged.where(F.col(key).isNotNull()), [key])
-    return rows if existing is None else unseen(rows, existing, key)
+    lone = F.concat(F.lit(_NO_KEY), F.monotonically_increasing_id().cast("string"))
+    rows = latest_per_key(staged.withColumn(key, F.coalesce(F.col(key), lone)), [key])
+    rows = rows if existing is None else unseen(rows, existing, key)
+    return rows.withColumn(key, F.when(~F.col(key).startswith(_NO_KEY), F.col(key)))
 
 
 def ride_facts(staged: DataFrame, users: DataFrame, vehicles: DataFrame, routes: DataFrame,

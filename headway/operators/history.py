@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.calendar import instant
-from headway.operators.dimensions import ROUTE_ATTRIBUTES, open_versions
-from headway.operators.keys import highest, latest_per_key, number_rows
+from headway.operators.dimensions import ROUTE_ATTRIBUTES, mark_known, open_versions
+from headway.operators.keys import highest, latest_per_key, number_rows, with_key
 from headway.schemas import CORE
 
 
@@ -17,10 +17,10 @@ def merge_routes(dimension: DataFrame, staged: DataFrame, load_dts: str,
 
     Unchanged routes and routes missing from the batch stay as they are. A changed route has its current
     version closed at ``load_dts`` and gets a new one from then on. Comparison is null-safe. A new route
-    starts at ``load_dts``, or at ``first_valid_from`` when given. Loading a state that is not newer than
+    starts at ``load_dts``, or at ``first_valid_from`` when given; one with closed versions only is not new. Loading a state that is not newer than
     a version it would close fails the job.
     """
-    batch = latest_per_key(staged.where(F.col("route_id").isNotNull()), ["route_id"])
+    batch = latest_per_key(with_key(staged, "route_id"), ["route_id"])
     incoming = batch.select("route_id", F.struct(*ROUTE_ATTRIBUTES).alias("__new"))
     stored = F.struct(*ROUTE_ATTRIBUTES)
     load = instant(load_dts)
@@ -42,12 +42,12 @@ def merge_routes(dimension: DataFrame, staged: DataFrame, load_dts: str,
     # A struct never equals a missing one, so this also keeps routes without a current version.
     needed = (incoming.join(current, "route_id", "left")
               .where(~F.col("__new").eqNullSafe(F.col("__old")))
-              .select("route_id", F.col("__old").isNull().alias("__first"),
-                      *[F.col(f"__new.{c}").alias(c) for c in ROUTE_ATTRIBUTES]))
+              .select("route_id", *[F.col(f"__new.{c}").alias(c) for c in ROUTE_ATTRIBUTES]))
     numbered = number_rows(needed, "route_id", "route_sk", highest(dimension, "route_sk"))
     start = load
     if first_valid_from is not None:
-        start = F.when(F.col("__first"), instant(first_valid_from)).otherwise(load)
+        numbered = mark_known(numbered, dimension)
+        start = F.when(F.col("__known"), load).otherwise(instant(first_valid_from))
     opened = open_versions(numbered, start, load_dts)
     return kept.unionByName(opened)
 

@@ -31,6 +31,12 @@ def unseen(rows: DataFrame, existing: DataFrame, keys: str | Sequence[str]) -> D
     return rows.join(existing.select(*keys), keys, "left_anti")
 
 
+def with_key(rows: DataFrame, key: str) -> DataFrame:
+    """``rows``, failing the job at one without a key: a member nobody can refer to must not vanish unseen."""
+    missing = F.raise_error(F.lit(f"a row has no {key}")).cast(rows.schema[key].dataType)
+    return rows.withColumn(key, F.coalesce(F.col(key), missing))
+
+
 def stored_among(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """The stored keys that occur among the incoming rows.
 

@@ -15,12 +15,14 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.functions.calendar import instant
 from headway.operators import dimensions, facts, history, marts
 from headway.operators.keys import stored_among, unseen
 from headway.operators.staging import stage, stage_rejects
 from headway.schemas import BEFORE_ALL, CORE, STAGING
 from headway.session import build_session, input_bytes, scratch_table, side_by_side, size_shuffles, use_utc
 from headway.sources.raw import read_raw
+from headway.sources.rejects import append_fact
 from headway.sources.warehouse import Warehouse
 
 
@@ -48,8 +50,10 @@ def load_core(warehouse: Warehouse, batch_id: str, load_dts: str, *, users: str
               backdate_first_version: bool = True, only_batch: bool = False) -> dict[str, int]:
     """Load dimensions, then facts, from all staged batches. Returns rejected rows per fact.
 
-    With ``only_batch`` just the batch ``batch_id`` is read. The cost of a load then follows the size of
-    the batch instead of the whole history; rows that earlier batches had rejected wait for a full load.
+    With ``only_batch`` just the batch ``batch_id`` is read, and with it the rows that earlier loads had
+    rejected: they are looked up in staging by their keys and tried again. The cost of a load then follows the
+    size of the batch and of the list of rejects instead of the whole history. Rows without a key can't be
+    tried again; they stay listed.
 
     ``users`` is ``"insert"`` (new users only) or ``"overwrite"`` (type 1); ``routes`` is ``"insert"``
     (new routes only) or ``"history"`` (type 2). With ``route_lookup="asof"`` a ride refers to the route
@@ -58,7 +62,17 @@ def load_core(warehouse: Warehouse, batch_id: str, load_dts: str, *, users: str
     """
     def staged(name: str) -> DataFrame:
         rows = warehouse.read(f"stg.{name}")
-        return rows.where(F.col("batch_id") == batch_id) if only_batch else rows
+        if not only_batch:
+            return rows
+        batch = rows.where(F.col("batch_id") == batch_id)
+        if name not in _FACT_OF:
+            return batch
+        key = CORE[_FACT_OF[name]].key[0]
+        waiting = warehouse.read(f"{_FACT_OF[name]}_rejects").select(key).where(F.col(key).isNotNull()).distinct()
+        if waiting.isEmpty():
+            return batch
+        earlier = rows.where(F.col("batch_id") != batch_id).join(waiting, key, "left_semi")
+        return batch.unionByName(earlier)
 
     def loaded(fact: str, name: str) -> DataFrame:
         key, facts_stored = CORE[fact].key[0], warehouse.read(fact)
@@ -66,7 +80,10 @@ def load_core(warehouse: Warehouse, batch_id: str, load_dts: str, *, users: str
 
     _load_dimensions(warehouse, staged, batch_id, load_dts, users, routes,
                      BEFORE_ALL if route_lookup == "asof" and backdate_first_version else None)
-    return _load_facts(warehouse, staged, loaded, batch_id, load_dts, route_lookup)
+    return _load_facts(warehouse, staged, loaded, batch_id, load_dts, route_lookup, only_batch)
+
+
+_FACT_OF = {"rides": "fact_ride", "payments": "fact_payment", "vehicle_positions": "fact_vehicle_position"}
 
 
 def _one_of(value: str, label: str, *allowed: str) -> None:
@@ -103,18 +120,19 @@ def _load_dimensions(warehouse: Warehouse, staged: Callable[[str], DataFrame], b
             merged = history.merge_routes(stored, batch, load_dts, first_valid_from)
             warehouse.replace(merged, "dim_route_scd2")
 
-    def load_observed(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    def load_observed() -> None:
+        # Each event table is read once; both dimensions are made from the distinct moments.
         times = dimensions.event_times(staged("rides"), staged("payments"), staged("vehicle_positions"))
-        warehouse.append(unseen(build(times), read(name), CORE[name].key), name)
+        with scratch_table(warehouse.spark, dimensions.moments(times), "moments") as found:
+            for name, build in (("dim_date", dimensions.calendar), ("dim_time", dimensions.clock)):
+                warehouse.append(unseen(build(found), read(name), CORE[name].key), name)
 
-    side_by_side(load_users, load_vehicles, load_routes,
-                 partial(load_observed, "dim_date", dimensions.calendar),
-                 partial(load_observed, "dim_time", dimensions.clock))
+    side_by_side(load_users, load_vehicles, load_routes, load_observed)
 
 
 def _load_facts(warehouse: Warehouse, staged: Callable[[str], DataFrame],
                 loaded: Callable[[str, str], DataFrame], batch_id: str, load_dts: str,
-                route_lookup: str) -> dict[str, int]:
+                route_lookup: str, only_batch: bool) -> dict[str, int]:
     read = warehouse.read
     users, vehicles, routes = read("dim_user"), read("dim_vehicle"), read("dim_route_scd2")
 
@@ -131,7 +149,7 @@ def _load_facts(warehouse: Warehouse, staged: Callable[[str], DataFrame],
                                     loaded("fact_vehicle_position", "vehicle_positions"))
 
     def load(*steps: tuple[str, Callable[[], DataFrame]]) -> dict[str, int]:
-        return {name: _append_fact(warehouse, build(), name, batch_id) for name, build in steps}
+        return {name: append_fact(warehouse, build(), name, batch_id, only_batch) for name, build in steps}
 
     # Payments refer to rides and follow them.
     first, second = side_by_side(
@@ -140,26 +158,21 @@ def _load_facts(warehouse: Warehouse, staged: Callable[[str], DataFrame],
     return {**first, **second}
 
 
-def _append_fact(warehouse: Warehouse, rows: DataFrame, name: str, batch_id: str) -> int:
-    """Append accepted rows, list rejected ones in a table of their own, and return their number.
-
-    The looked-up rows are written to the shared scratch folder once, so that splitting them repeats
-    neither the joins nor the removal of repeats. Rejected rows stay in staging; a later load takes them
-    once their members have arrived.
-    """
-    with scratch_table(warehouse.spark, rows, name) as found:
-        warehouse.append(facts.accepted(found, name), name)
-        rejects = facts.rejected(found, name).withColumn("load_batch", F.lit(batch_id))
-        warehouse.replace(rejects, f"{name}_rejects")
-        return rejects.count()
-
-
-def load_mart(warehouse: Warehouse, from_month: int | None = None) -> None:
+def load_mart(warehouse: Warehouse, from_month: int | None = None, to_month: int | None = None,
+              loaded_at: str | None = None) -> None:
     """Recompute the mart and replace the months it has rows for.
 
-    With ``from_month`` (e.g. 202410) only rides from that month on are read.
+    With ``from_month`` and ``to_month`` (e.g. 202410) only rides of these months are read. With ``loaded_at``
+    only the months that the load of that time added rides to are; that is enough unless routes changed.
     """
-    rides = warehouse.read("fact_ride", from_month)
+    rides = warehouse.read("fact_ride", from_month, to_month)
+    if loaded_at is not None:
+        month = F.expr("start_date_sk div 100")
+        touched = rides.where(F.col("load_dts") == instant(loaded_at)).select(month.alias("touched")).distinct()
+        first, last = touched.agg(F.min("touched"), F.max("touched")).first()
+        if first is None:
+            return
+        rides = warehouse.read("fact_ride", first, last).join(touched, month == F.col("touched"), "left_semi")
     mart = marts.rides_by_route_hour(rides, warehouse.read("dim_route_scd2"))
     warehouse.overwrite_partitions(mart, "dm_rides_by_route_hour")
 
@@ -170,7 +183,8 @@ def load_all(spark: SparkSession, raw: dict[str, DataFrame], root: str, batch_id
     warehouse = Warehouse(use_utc(spark), root)
     load_staging(warehouse, raw, batch_id, load_dts, lenient)
     load_core(warehouse, batch_id, load_dts, **core_options)
-    load_mart(warehouse)
+    # Closed route versions change what earlier months show.
+    load_mart(warehouse, loaded_at=load_dts if core_options.get("routes", "insert") == "insert" else None)
     return warehouse
 
 
@@ -185,8 +199,11 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--users", default="insert", choices=["insert", "overwrite"])
     parser.add_argument("--routes", default="insert", choices=["insert", "history"])
     parser.add_argument("--route-lookup", default="current", choices=["current", "asof"])
+    parser.add_argument("--no-backdating", action="store_true", help="first versions of routes start at their load")
+    parser.add_argument("--from-month", type=int, help="first month of the mart step, as yyyymm")
+    parser.add_argument("--to-month", type=int, help="last month of the mart step, as yyyymm")
     parser.add_argument("--only-batch", action="store_true",
-                        help="load the core from this batch alone, not from all staged ones")
+                        help="load the core from this batch and earlier rejects, not from all staged batches")
     return parser.parse_args()
 
 
@@ -209,10 +226,11 @@ def main() -> None:
     if args.step in ("core", "all"):
         size_shuffles(spark, input_bytes(spark, f"{args.root}/stg"))
         rejected = load_core(warehouse, batch_id, load_dts, users=args.users, routes=args.routes,
-                             route_lookup=args.route_lookup, only_batch=args.only_batch)
+                             route_lookup=args.route_lookup, only_batch=args.only_batch,
+                             backdate_first_version=not args.no_backdating)
         print("rejected rows:", rejected)
     if args.step in ("mart", "all"):
-        load_mart(warehouse)
+        load_mart(warehouse, args.from_month, args.to_month)
     spark.stop()
 
 

@@ -369,18 +369,59 @@ _SELECTS = {
         SELECT event_id, vehicle_id, route_number, event_time, latitude, longitude, speed_kmh,
                passengers_estimated, raw_json FROM positions""",
     "stream_fact_position": _POSITION,
-    # Hours still open when the events end are not emitted yet.
-    "stream_movement_by_route_hour": f"""
-        SELECT * FROM ({_MOVEMENT}) WHERE hour_start + INTERVAL 1 HOUR
-          <= (SELECT max(event_time) - INTERVAL 1 HOUR FROM positions)""",
+    "stream_stage_positions": """
+        SELECT '00000000000000000000' AS batch_id, TIMESTAMP '2024-02-01' AS ingest_dts, * FROM positions""",
+    "stream_movement_by_route_hour": _MOVEMENT,
+    "dim_route_scd2_backdated": """
+        SELECT f.route_sk, f.route_id, f.route_number, f.vehicle_type, CAST(f.base_fare AS DOUBLE) AS base_fare,
+               TIMESTAMP '1995-01-01' AS valid_from_dts,
+               CASE WHEN vehicle_type = 'PROMO' THEN '1998-01-01 00:00:00' ELSE '9999-12-31 00:00:00' END AS valid_to_dts,
+               vehicle_type <> 'PROMO' AS is_current, TIMESTAMP '1995-01-01' AS updated_dts
+        FROM first_routes f
+        UNION ALL
+        SELECT (SELECT max(route_sk) FROM first_routes) + row_number() OVER (ORDER BY r.route_id), r.route_id,
+               r.route_number, r.vehicle_type, CAST(r.base_fare AS DOUBLE),
+               CASE WHEN f.route_id IS NULL THEN TIMESTAMP '1900-01-01' ELSE TIMESTAMP '2024-02-01' END,
+               '9999-12-31 00:00:00', true, TIMESTAMP '2024-02-01'
+        FROM routes r LEFT JOIN first_routes f ON f.route_id = r.route_id
+        WHERE f.route_id IS NULL OR f.vehicle_type = 'PROMO'""",
+    "fact_payment_rejects": """
+        SELECT id AS payment_id, concat_ws(',', CASE WHEN id IS NULL THEN 'payment_id' END,
+                                                CASE WHEN unknown THEN 'user_sk' END) AS reason
+        FROM (SELECT CASE WHEN payment_method = '1-URGENT' AND status = 'P' THEN NULL ELSE payment_id END AS id,
+                     user_id NOT IN (SELECT user_id FROM first_users) AS unknown FROM payments)
+        WHERE id IS NULL OR unknown""",
+    "fact_position_rejects": """
+        SELECT id AS event_id, concat_ws(',', CASE WHEN id IS NULL THEN 'event_id' END,
+                                              CASE WHEN happened IS NULL THEN 'event_time' END) AS reason
+        FROM broken_positions WHERE id IS NULL OR happened IS NULL""",
+    "load_reconciliation": """
+        SELECT 'fact_ride' AS table_name, kind,
+               CASE kind WHEN 'rejected' THEN 0 ELSE (SELECT count(*) FROM single_rides) END AS n
+        FROM kinds
+        UNION ALL
+        SELECT 'fact_payment', kind, CASE kind WHEN 'staged' THEN n WHEN 'rejected' THEN lost ELSE n - lost END
+        FROM kinds, (SELECT count(*) AS n, count(*) FILTER (payment_method = '1-URGENT' AND status = 'P') AS lost FROM payments)
+        UNION ALL
+        SELECT 'fact_vehicle_position', kind, CASE kind WHEN 'staged' THEN keyed + 2 * lost
+                                                WHEN 'rejected' THEN keyed - good + 2 * lost ELSE good END
+        FROM kinds, (SELECT count(id) AS keyed, count(*) FILTER (id IS NULL) AS lost,
+                            count(*) FILTER (id IS NOT NULL AND happened IS NOT NULL) AS good FROM broken_positions)""",
+    "rides_by_date_range": f"{_RIDE} ride_current WHERE start_date_sk BETWEEN 19970115 AND 19970314",
 }
 
 _BATCH = """,
 batch AS (
   SELECT *, CASE WHEN city = 'MACHINERY' THEN 'BUILDING' ELSE city END AS new_city
-  FROM users WHERE user_id IN (
-    SELECT user_id FROM payments WHERE created_at >= TIMESTAMP '1998-01-01'))
+  FROM users)
+"""
+_BROKEN = """,
+kinds AS (SELECT unnest(['staged', 'loaded', 'rejected']) AS kind),
+broken_positions AS (
+  SELECT CASE WHEN passengers_estimated % 9 <> 4 THEN event_id END AS id,
+         CASE WHEN passengers_estimated % 7 <> 3 THEN event_time END AS happened
+  FROM positions)
 """
+_MORE = {"dim_user_scd1": _BATCH, "fact_position_rejects": _BROKEN, "load_reconciliation": _BROKEN}
 
-ORACLE = {name: _TABLES + (_BATCH if name == "dim_user_scd1" else "") + select
-          for name, select in _SELECTS.items()}
+ORACLE = {name: _TABLES + _MORE.get(name, "") + select for name, select in _SELECTS.items()}

@@ -8,7 +8,7 @@ loaded earlier. Results are cast so that both engines' client libraries show equ
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import partial, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +17,10 @@ from pyspark.sql import types as T
 from headway.functions.calendar import instant
 from headway.operators import dimensions, facts, history, keys, marts, quality, staging
 from headway.plans.load import load_all
-from headway.schemas import STAGING
+from headway.schemas import BEFORE_ALL, CORE, STAGING
 from headway.session import scratch_path, side_by_side, use_utc
 from headway.sources import supplied
+from headway.sources.warehouse import Warehouse
 from headway.streaming import runs
 
 BATCH, LOAD = "20240201000000", "2024-02-01T00:00:00Z"
@@ -183,10 +184,13 @@ class Tables:
         """The core after one load; with ``asof`` over the route history, rejected rides included."""
         routes = self.route_history if asof else self.routes
         side_by_side(self.users, self.vehicles, routes, self.calendar, self.clock)
+        # The audits read facts several times, so these are stored as a load would store them.
+        rides = ("all_rides_asof", self.all_rides_asof) if asof else ("rides", self.rides)
+        side_by_side(partial(self._store, *rides), partial(self._store, "payments", self.payments),
+                     partial(self._store, "positions", self.positions))
         return {"dim_user": self.users(), "dim_vehicle": self.vehicles(), "dim_route_scd2": routes(),
-                "dim_date": self.calendar(), "dim_time": self.clock(),
-                "fact_ride": self.all_rides_asof() if asof else self.rides(),
-                "fact_payment": self.payments(), "fact_vehicle_position": self.positions()}
+                "dim_date": self.calendar(), "dim_time": self.clock(), "fact_ride": self._stored[rides[0]],
+                "fact_payment": self._stored["payments"], "fact_vehicle_position": self._stored["positions"]}
 
 
 # --- staging ---------------------------------------------------------------------------------------
@@ -278,13 +282,10 @@ def dim_route_new(spark, sf_dir):
 
 @query
 def dim_user_scd1(spark, sf_dir):
-    """Early users, then a batch of the users who paid later, in which some changed city."""
+    """Early users, then a batch of all users, in which some changed city."""
     t = Tables(spark, sf_dir)
-    active = t.staged("payments").where(F.col("created_at") >= instant(HISTORY_CHANGE))
     moved = F.when(F.col("city") == "MACHINERY", F.lit("BUILDING")).otherwise(F.col("city"))
-    batch = (t.staged("users").join(active.select("user_id").distinct(), "user_id", "left_semi")
-             .withColumn("city", moved))
-    return dimensions.overwrite_users(t.first_users(), batch, LOAD)
+    return dimensions.overwrite_users(t.first_users(), t.staged("users").withColumn("city", moved), LOAD)
 
 
 @query
@@ -292,6 +293,16 @@ def dim_route_scd2(spark, sf_dir):
     return Tables(spark, sf_dir).merged_routes()
 
 
+@query
+def dim_route_scd2_backdated(spark, sf_dir):
+    """A history in which promo routes have closed versions only, then all routes with backdated first versions."""
+    t = Tables(spark, sf_dir)
+    promo = F.col("vehicle_type") == "PROMO"
+    closed = (t.first_routes().withColumn("is_current", ~promo)
+              .withColumn("valid_to_dts", F.when(promo, instant(HISTORY_CHANGE)).otherwise(F.col("valid_to_dts"))))
+    return history.merge_routes(closed, t.staged("routes"), LOAD, BEFORE_ALL)
+
+
 @query
 def all_event_times(spark, sf_dir):
     return Tables(spark, sf_dir).times()
@@ -348,6 +359,70 @@ def fact_ride_rejects(spark, sf_dir):
     return facts.rejected(Tables(spark, sf_dir).all_rides_asof(), "fact_ride")
 
 
+def _without_some_ids(payments: DataFrame) -> DataFrame:
+    lost = (F.col("payment_method") == "1-URGENT") & (F.col("status") == "P")
+    return payments.withColumn("payment_id", F.when(~lost, F.col("payment_id")))
+
+
+def _without_some_ids_and_times(positions: DataFrame) -> DataFrame:
+    k = F.col("passengers_estimated")
+    return (positions.withColumn("event_id", F.when(k % 9 != 4, F.col("event_id")))
+            .withColumn("event_time", F.when(k % 7 != 3, F.col("event_time"))))
+
+
+@query
+def fact_payment_rejects(spark, sf_dir):
+    """Payments after only the early users were loaded; some lost their id."""
+    t = Tables(spark, sf_dir)
+    found = facts.payment_facts(_without_some_ids(t.staged("payments")), t.first_users(), LOAD)
+    return facts.rejected(found, "fact_payment")
+
+
+@query
+def fact_position_rejects(spark, sf_dir):
+    """Positions of which some lost their id or their time."""
+    t = Tables(spark, sf_dir)
+    found = facts.position_facts(_without_some_ids_and_times(t.staged("vehicle_positions")), t.vehicles(), LOAD)
+    return facts.rejected(found, "fact_vehicle_position")
+
+
+@query
+def load_reconciliation(spark, sf_dir):
+    """Staged keys, loaded rows and rejected rows per fact after two loads of one batch each.
+
+    A row without a key counts as a key of its own. The first batch lacks most users, so its rides and payments
+    are rejected until the second brings them. The positions come in both batches.
+    """
+    raw, t = supplied.raw_tables(spark, sf_dir), Tables(spark, sf_dir)
+    raw["payments"] = _without_some_ids(raw["payments"])
+    raw["vehicle_positions"] = _without_some_ids_and_times(raw["vehicle_positions"])
+    first, second = dict(raw), dict(raw)
+    first["users"] = raw["users"].join(t.early_users().select("user_id"), "user_id", "left_semi")
+    for name, at in (("rides", "start_time"), ("payments", "created_at")):
+        first[name] = raw[name].where(F.col(at) < instant(FACTS_FROM))
+        second[name] = raw[name].where(F.col(at) >= instant(FACTS_FROM))
+    root = scratch_path(spark, "warehouse")
+    load_all(spark, first, root, "20240131000000", "2024-01-31T00:00:00Z", only_batch=True)
+    warehouse = load_all(spark, second, root, BATCH, LOAD, only_batch=True)
+    counts = []
+    for name, fact in (("rides", "fact_ride"), ("payments", "fact_payment"), ("vehicle_positions", "fact_vehicle_position")):
+        key = CORE[fact].key[0]
+        staged = warehouse.read(f"stg.{name}").agg(F.expr(f"count(DISTINCT {key}) + count_if({key} IS NULL) AS n"))
+        loaded = warehouse.read(fact).agg(F.count("*").alias("n"))
+        rejected = warehouse.read(f"{fact}_rejects").agg(F.count("*").alias("n"))
+        counts += [rows.select(F.lit(fact).alias("table_name"), F.lit(kind).alias("kind"), "n")
+                   for kind, rows in (("staged", staged), ("loaded", loaded), ("rejected", rejected))]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def rides_by_date_range(spark, sf_dir):
+    """Rides of two months out of a written warehouse; the folders of other months are not opened."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse.append(Tables(spark, sf_dir).rides(), "fact_ride")
+    return warehouse.read("fact_ride", from_date_sk=19970115, to_date_sk=19970314)
+
+
 @query
 def fact_payment(spark, sf_dir):
     return Tables(spark, sf_dir).payments()
@@ -403,9 +478,9 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query
 def layer_row_counts(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    mart = marts.rides_by_route_hour(t.rides(), t.routes())
-    return marts.row_counts({**t.core(), "dm_rides_by_route_hour": mart})
+    core = Tables(spark, sf_dir).core()
+    mart = marts.rides_by_route_hour(core["fact_ride"], core["dim_route_scd2"])
+    return marts.row_counts({**core, "dm_rides_by_route_hour": mart})
 
 
 # --- integrity -------------------------------------------------------------------------------------
@@ -460,9 +535,14 @@ def stream_fact_position(spark, sf_dir):
     return runs.facts(spark, sf_dir, Tables(spark, sf_dir).vehicles())
 
 
+@query
+def stream_stage_positions(spark, sf_dir):
+    return runs.staged(spark, sf_dir, Tables(spark, sf_dir).vehicles())
+
+
 @query
 def stream_movement_by_route_hour(spark, sf_dir):
-    return _rounded(runs.movement(spark, sf_dir))
+    return _rounded(runs.movement(spark, sf_dir, Tables(spark, sf_dir).vehicles()))
 
 
 # --- the whole load --------------------------------------------------------------------------------

@@ -163,7 +163,7 @@ CORE = {t.name: t for t in [
           sort_by=("route_number", "event_time")),
 ]}
 
-# Staged rows the last load could not resolve.
+# Staged rows that are not loaded, with the batch that first had them; rows leave the list when they load.
 REJECTS = {t.name: t for t in [
     Table("core", f"{name}_rejects", f"{key} STRING, reason STRING, load_batch STRING", (key,),
           sort_by=(key,), versioned=True)
@@ -177,6 +177,11 @@ MARTS = {t.name: t for t in [
           "avg_duration_s DOUBLE",
           ("route_number", "date", "hour"), partition_by=(("month", "year(date) * 100 + month(date)"),),
           sort_by=("route_number", "date", "hour")),
+    Table("mart", "dm_movement_by_route_hour",
+          "route_number STRING, hour_start TIMESTAMP, events_count BIGINT, avg_speed_kmh DOUBLE, avg_passengers DOUBLE",
+          ("route_number", "hour_start"),
+          partition_by=(("day", "CAST(date_format(hour_start, 'yyyyMMdd') AS INT)"),),
+          sort_by=("route_number", "hour_start")),
 ]}
 
 WAREHOUSE = {**{f"stg.{n}": t for n, t in STAGING.items()}, "stg.unreadable": UNREADABLE, **CORE, **REJECTS, **MARTS}

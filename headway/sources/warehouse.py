@@ -19,10 +19,15 @@ class Warehouse:
     A table exists once something was written; until then it reads as empty. Appends go with an
     anti-join on the stored keys in the loaders, which makes a repeated or interrupted load add exactly
     what is missing. One load may run at a time.
+
+    Versioned tables keep their last ``keep_versions`` versions for readers that still use them; older ones are
+    removed when a new one is finished.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 5):
+        if keep_versions < 2:
+            raise ValueError("the version before the current one may still be read: keep two at least")
+        self.spark, self.root, self.keep_versions = spark, root.rstrip("/"), keep_versions
 
     # -- where a table is --
 
@@ -53,15 +58,28 @@ class Warehouse:
 
     # -- reading and writing --
 
-    def read(self, name: str, from_month: int | None = None) -> DataFrame:
-        """The current content; ``from_month`` (e.g. 202410) skips the folders of earlier months."""
+    def read(self, name: str, from_month: int | None = None, to_month: int | None = None, *,
+             from_date_sk: int | None = None, to_date_sk: int | None = None) -> DataFrame:
+        """The current content of a table.
+
+        ``from_month`` and ``to_month`` (e.g. 202410, both included) skip the folders of other months. The date
+        bounds (e.g. 20241027, both included) select rows of a fact by the date it is stored by, and skip the
+        folders of other months too.
+        """
         table, path = WAREHOUSE[name], self.path(name)
         if not self._exists(path):
             return self.spark.createDataFrame([], table.columns)
         derived = [f"{part} INT" for part, source in table.partition_by if part != source]
         stored = self.spark.read.schema(", ".join([table.columns, *derived])).parquet(path)
+        month = F.col("month")
         if from_month is not None:
-            stored = stored.where(F.col("month") >= from_month)
+            stored = stored.where(month >= from_month)
+        if to_month is not None:
+            stored = stored.where(month <= to_month)
+        if from_date_sk is not None:
+            stored = stored.where((month >= from_date_sk // 100) & (F.col(table.cluster_by[0]) >= from_date_sk))
+        if to_date_sk is not None:
+            stored = stored.where((month <= to_date_sk // 100) & (F.col(table.cluster_by[0]) <= to_date_sk))
         return stored.select(*table.column_names)
 
     def _writer(self, rows: DataFrame, table: Table):
@@ -69,8 +87,10 @@ class Warehouse:
         rows = rows.select(*table.column_names).withColumns(
             {part: F.expr(source) for part, source in table.partition_by if part != source})
         # AQE fits the files to the advisory size: it merges small groups and splits very large ones.
-        group = table.cluster_by or tuple(parts)
-        rows = rows.hint("rebalance", *group) if group else rows.hint("rebalance")
+        # A staged batch is written as it was read: shuffling it would only size the files.
+        if table.layer != "stg":
+            group = table.cluster_by or tuple(parts)
+            rows = rows.hint("rebalance", *group) if group else rows.hint("rebalance")
         order = (*parts, *table.cluster_by, *table.sort_by)
         if order:
             rows = rows.sortWithinPartitions(*order)
@@ -88,17 +108,24 @@ class Warehouse:
     def overwrite_batch(self, rows: DataFrame, name: str, batch_id: str) -> None:
         """Replace one batch of a table kept by ``batch_id``, also when there are no rows for it now.
 
-        The stored rows stay in place until the new ones are written in full.
+        The stored rows stay in place until the new ones are written in full. The rows are computed once:
+        whether there were any shows in the folder they leave.
         """
         if not re.fullmatch(r"[\w.-]+", batch_id):
             raise ValueError(f"a batch id consists of letters, digits, '_', '-' and '.', not {batch_id!r}")
-        if not rows.isEmpty():
-            self.overwrite_partitions(rows, name)
-            return
         files, folder = file_system(self.spark, f"{self.path(name)}/batch_id={batch_id}")
-        if files.exists(folder):
+        before = self._files(files, folder)
+        self.overwrite_partitions(rows, name)
+        # Replacing a partition leaves no file of before in it; no rows leave the partition untouched.
+        if before and before == self._files(files, folder):
             files.delete(folder, True)
 
+    @staticmethod
+    def _files(files, folder) -> set[str]:
+        if not files.exists(folder):
+            return set()
+        return {status.getPath().getName() for status in files.listStatus(folder)}
+
     def replace(self, rows: DataFrame, name: str) -> None:
         """Write the whole table as its next version. Readers see it when the write is finished.
 
@@ -109,3 +136,6 @@ class Warehouse:
         last = int(finished[-1].rsplit(_VERSION, 1)[1]) if finished else 0
         (self._writer(rows, table).mode("overwrite")
          .parquet(f"{self._base(table)}/{_VERSION}{last + 1:08d}"))
+        for old in self.versions(name)[:-self.keep_versions]:
+            files, location = file_system(self.spark, old)
+            files.delete(location, True)

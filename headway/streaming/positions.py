@@ -8,42 +8,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from headway.operators.facts import accepted, position_facts
+from headway.functions.calendar import date_sk
+from headway.operators.facts import position_facts
 from headway.operators.keys import stored_among
-from headway.operators.marts import movement_measures
+from headway.operators.marts import movement_by_route_hour, movement_measures
 from headway.operators.staging import stage
+from headway.sources.rejects import append_fact
 from headway.sources.warehouse import Warehouse
 
 # How long a repeat or a late event may lag behind the newest event.
 LATENESS = "1 hour"
 
 
-def read_files(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
-    """Events arriving as Parquet files under ``path`` (a folder or a glob)."""
+# Most input a micro-batch takes, so that its state and its writes stay bounded.
+BYTES_PER_TRIGGER = 4 << 30
+
+
+def read_files(spark: SparkSession, path: str, schema, max_files: int | None = None,
+               max_bytes: int = BYTES_PER_TRIGGER) -> DataFrame:
+    """Events arriving as Parquet files under ``path`` (a folder or a glob); limits are per micro-batch."""
     reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFilesPerTrigger", max_files) if max_files else reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path)
 
 
 def without_repeats(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Each event id once, as long as repeats come within ``lateness``; later rows are dropped.
 
-    The first pass keeps one row per event and input slice, so copies of one event are thinned out where
-    they are read and cannot pile up in the single task that owns the id in the second pass.
+    One shuffle and one state of the ids of the last ``lateness``. Copies of one event within a micro-batch meet
+    in the task that owns its id; the input limit per micro-batch bounds them. Use `append_facts` where late
+    events must not get lost.
     """
-    timely = events.withWatermark("event_time", lateness)
-    sliced = timely.withColumn("__slice", F.spark_partition_id())
-    return (sliced.dropDuplicatesWithinWatermark(["event_id", "__slice"])
-            .dropDuplicatesWithinWatermark(["event_id"])
-            .drop("__slice"))
+    return events.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def movement(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Events, average speed and load per route number and hour, emitted once the hour is closed.
 
     In append mode the hours still open when the input ends stay in the state and come out when later
-    events move the watermark. The batch operator `movement_by_route_hour` covers a finished input.
+    events move the watermark. Events later than ``lateness`` are dropped. Where both matter, let
+    `append_facts` keep the stored table of movements.
     """
     return (events.withWatermark("event_time", lateness)
             .groupBy("route_number", F.window("event_time", "1 hour").alias("__hour"))
@@ -52,30 +56,50 @@ def movement(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
                     "events_count", "avg_speed_kmh", "avg_passengers"))
 
 
-def append_facts(events: DataFrame, vehicles: Callable[[], DataFrame], warehouse: Warehouse,
-                 load_dts: str, checkpoint: str, repeats_keep_time: bool = False) -> StreamingQuery:
-    """Run every micro-batch of raw events through the batch fact builder and append the result.
+def append_facts(events: DataFrame, vehicles: Callable[[], DataFrame], warehouse: Warehouse, load_dts: str,
+                 checkpoint: str, repeats_keep_time: bool = True, movements: bool = False) -> StreamingQuery:
+    """Stage every micro-batch of raw events, run it through the batch fact builder and append the result.
+
+    The batch id is the epoch. A micro-batch is staged first and read back from there, so it is computed once
+    and can be loaded again; a replay overwrites its staged rows. Rows already in the fact are left out, so a
+    batch that is replayed after a failure, whole or in part, adds only what is missing. Events without an id
+    or a time are listed as rejected. Late events are loaded like any other.
 
-    Rows already in the fact are left out, so a batch that is replayed after a failure, whole or in part,
-    adds only what is missing. The batch id is the epoch. The stored event ids are scanned, not shuffled.
-    Where a repeated event always carries its first time (``repeats_keep_time``), only the months from the
-    batch's first event on are scanned.
+    The stored event ids are scanned, not shuffled, and only those of the months the batch has events of. That
+    rests on a repeated event carrying its first time; set ``repeats_keep_time`` to false where it may not.
+
+    With ``movements`` the stored table of hourly movements is kept up to date: the days that a micro-batch
+    has events of are computed anew from the fact and replaced.
     """
     name = "fact_vehicle_position"
 
     def load(batch: DataFrame, epoch: int) -> None:
-        staged = stage(batch, "vehicle_positions", f"{epoch:020d}", load_dts)
-        month = None
-        if repeats_keep_time:
-            month = staged.agg(F.expr("year(min(event_time)) * 100 + month(min(event_time))")).first()[0]
-        known = stored_among(warehouse.read(name, month), staged, "event_id")
-        warehouse.append(accepted(position_facts(staged, vehicles(), load_dts, known), name), name)
+        batch_id = f"{epoch:020d}"
+        warehouse.overwrite_batch(stage(batch, "vehicle_positions", batch_id, load_dts), "stg.vehicle_positions", batch_id)
+        staged = warehouse.read("stg.vehicle_positions").where(F.col("batch_id") == batch_id)
+        month = "year({0}(event_time)) * 100 + month({0}(event_time))"
+        months = staged.agg(F.expr(month.format("min")), F.expr(month.format("max"))).first()
+        stored = warehouse.read(name, *months) if repeats_keep_time else warehouse.read(name)
+        known = stored_among(stored, staged, "event_id")
+        append_fact(warehouse, position_facts(staged, vehicles(), load_dts, known), name, batch_id, only_batch=True)
+        if movements and months[0] is not None:
+            refresh_movements(warehouse, staged, *months)
 
     return (events.writeStream.foreachBatch(load)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def refresh_movements(warehouse: Warehouse, changed: DataFrame, from_month: int, to_month: int) -> None:
+    """Compute the movements of the days that ``changed`` has events of from the whole fact, and replace them."""
+    days = changed.select(date_sk(F.col("event_time")).alias("event_date_sk")).where("event_date_sk IS NOT NULL").distinct()
+    positions = warehouse.read("fact_vehicle_position", from_month, to_month).join(days, "event_date_sk", "left_semi")
+    # Speeds as decimals: the last bits of a sum of doubles depend on the order of addition.
+    exact = positions.withColumn("speed_kmh", F.col("speed_kmh").cast("decimal(10,2)"))
+    rows = movement_by_route_hour(exact).withColumn("avg_speed_kmh", F.col("avg_speed_kmh").cast("double"))
+    warehouse.overwrite_partitions(rows, "dm_movement_by_route_hour")
+
+
 def write_files(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to Parquet files, exactly once, until the input present now is used up."""
     return (rows.writeStream.format("parquet").outputMode("append")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.session import scratch_path
+from headway.session import DEFAULTS, scratch_path
 from headway.sources import supplied
 from headway.sources.warehouse import Warehouse
 from headway.streaming import positions
@@ -13,6 +13,8 @@ LOAD = "2024-02-01T00:00:00Z"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(state, DEFAULTS[state])
     # A glob, because the source must accept a single file as well as a folder of files.
     files = f"{sf_dir}/events.parque[t]"
     return supplied.as_positions(positions.read_files(spark, files, supplied.SCHEMAS["events"]))
@@ -33,12 +35,20 @@ def with_exact_speed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("speed_kmh", rows.speed_kmh.cast("decimal(10,2)"))
 
 
-def movement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _to_files(spark, positions.movement(with_exact_speed(_events(spark, sf_dir))), "movement")
+def _loaded(spark: SparkSession, sf_dir: str, vehicles: DataFrame, movements: bool = False) -> Warehouse:
+    warehouse = Warehouse(spark, scratch_path(spark, "facts"))
+    positions.append_facts(_events(spark, sf_dir), lambda: vehicles, warehouse, LOAD, f"{warehouse.root}/progress",
+                           movements=movements).awaitTermination()
+    return warehouse
+
+
+def movement(spark: SparkSession, sf_dir: str, vehicles: DataFrame) -> DataFrame:
+    return _loaded(spark, sf_dir, vehicles, movements=True).read("dm_movement_by_route_hour")
+
+
+def staged(spark: SparkSession, sf_dir: str, vehicles: DataFrame) -> DataFrame:
+    return _loaded(spark, sf_dir, vehicles).read("stg.vehicle_positions")
 
 
 def facts(spark: SparkSession, sf_dir: str, vehicles: DataFrame) -> DataFrame:
-    warehouse = Warehouse(spark, scratch_path(spark, "facts"))
-    positions.append_facts(_events(spark, sf_dir), lambda: vehicles, warehouse, LOAD,
-                           f"{warehouse.root}/progress").awaitTermination()
-    return warehouse.read("fact_vehicle_position")
+    return _loaded(spark, sf_dir, vehicles).read("fact_vehicle_position")
