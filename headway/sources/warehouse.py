@@ -82,7 +82,8 @@ class Warehouse:
             stored = stored.where((month <= to_date_sk // 100) & (F.col(table.cluster_by[0]) <= to_date_sk))
         return stored.select(*table.column_names)
 
-    def _writer(self, rows: DataFrame, table: Table):
+    def _laid_out(self, rows: DataFrame, table: Table) -> DataFrame:
+        """The rows as they are written: with their partition columns, gathered and sorted for later reads."""
         parts = [part for part, _ in table.partition_by]
         rows = rows.select(*table.column_names).withColumns(
             {part: F.expr(source) for part, source in table.partition_by if part != source})
@@ -92,9 +93,11 @@ class Warehouse:
             group = table.cluster_by or tuple(parts)
             rows = rows.hint("rebalance", *group) if group else rows.hint("rebalance")
         order = (*parts, *table.cluster_by, *table.sort_by)
-        if order:
-            rows = rows.sortWithinPartitions(*order)
-        writer = rows.write.option("compression", "zstd")
+        return rows.sortWithinPartitions(*order) if order else rows
+
+    def _writer(self, rows: DataFrame, table: Table):
+        parts = [part for part, _ in table.partition_by]
+        writer = self._laid_out(rows, table).write.option("compression", "zstd")
         return writer.partitionBy(*parts) if parts else writer
 
     def append(self, rows: DataFrame, name: str) -> None:

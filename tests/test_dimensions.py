@@ -1,6 +1,8 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
+
 from headway.operators.dimensions import (calendar, clock, event_times, new_routes, new_users, new_vehicles,
                                           overwrite_users)
 
@@ -12,13 +14,25 @@ def test_only_new_users_are_inserted(stg, core, rows):
     staged = stg("users", dict(batch_id="b1", extract_dts="2024-01-01", user_id=1, city="A"),
                  dict(batch_id="b1", extract_dts="2024-01-01", user_id=3, city="old"),
                  dict(batch_id="b2", extract_dts="2024-01-02", user_id=3, city="new"),
-                 dict(batch_id="b2", extract_dts="2024-01-02", user_id=2, city="B"),
-                 dict(batch_id="b2", extract_dts="2024-01-02"))
+                 dict(batch_id="b2", extract_dts="2024-01-02", user_id=2, city="B"))
     stored = core("dim_user", dict(user_sk=5, user_id=1, city="Z"))
     assert rows(new_users(staged, stored, LOAD), "user_sk", "user_id", "city", "updated_dts") == [
         (6, 2, "B", LOADED), (7, 3, "new", LOADED)]
 
 
+@pytest.mark.parametrize("table, build", [("users", new_users), ("vehicles", new_vehicles), ("routes", new_routes)])
+def test_a_member_without_a_key_fails_the_load(stg, table, build):
+    with pytest.raises(Exception, match=f"a row has no {table[:-1]}_id"):
+        build(stg(table, dict(batch_id="b")), None, LOAD).collect()
+
+
+def test_only_unseen_routes_are_backdated(stg, core, rows):
+    stored = core("dim_route_scd2", dict(route_sk=1, route_id=1, valid_from_dts="2023-01-01", valid_to_dts="2024-01-01",
+                                         is_current=False))
+    got = new_routes(stg("routes", dict(route_id=1), dict(route_id=2)), stored, LOAD, "1900-01-01T00:00:00Z")
+    assert rows(got.selectExpr("route_id", "year(valid_from_dts)")) == [(1, LOADED.year), (2, 1900)]
+
+
 def test_only_new_vehicles_are_inserted(stg, core, rows):
     staged = stg("vehicles", dict(vehicle_id=101, route_id=1, capacity=40), dict(vehicle_id=102))
     stored = core("dim_vehicle", dict(vehicle_sk=1, vehicle_id=101))

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -62,7 +63,20 @@ def test_repeats_and_loaded_rides_are_left_out(stg, core, dims, rows):
                 _ride("a", batch_id="b2", extract_dts="2024-01-12", fare_amount=2), _ride("b"),
                 _ride(None))
     loaded = core("fact_ride", dict(ride_id="b"), dict(ride_id="z"))
-    assert rows(ride_facts(rides, *dims, LOAD, loaded), "ride_id", "fare_amount") == [("a", Decimal("2.00"))]
+    got = ride_facts(rides.unionByName(stg("rides", _ride(None))), *dims, LOAD, loaded)
+    assert rows(got, "ride_id", "fare_amount") == [("a", Decimal("2.00")), (None, Decimal("50.00")), (None, Decimal("50.00"))]
+    assert rows(rejected(got, "fact_ride")) == [(None, "ride_id")] * 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_row_is_accepted_or_rejected(stg, dims, seed):
+    rng = random.Random(seed)
+    some = lambda *values: rng.choice(values)
+    ids = [some(None, f"r{rng.randrange(12)}") for _ in range(30)]
+    rides = stg("rides", *[_ride(i, user_id=some(10, 99, None), route_id=some(30, 31), start_time=some(AT, None)) for i in ids])
+    facts = ride_facts(rides, *dims, LOAD)
+    distinct = len({i for i in ids if i}) + ids.count(None)
+    assert accepted(facts, "fact_ride").count() + rejected(facts, "fact_ride").count() == distinct
 
 
 def test_payments(stg, core, dims, rows):

@@ -1,4 +1,5 @@
 import os
+import re
 import subprocess
 import sys
 from decimal import Decimal
@@ -133,6 +134,55 @@ def test_loading_one_batch_alone(spark, raw, rows, folder):
     assert warehouse.read("fact_vehicle_position").count() == 3
 
 
+def test_one_batch_takes_earlier_rejects_along(spark, raw, rows, folder):
+    source, root = folder
+    _write_raw(raw, source, rides=(("r1", 1), (None, 1), ("r3", 7)))
+    load_all(spark, read_raw(spark, source), root, "b1", DAY1, only_batch=True)
+    _write_raw(raw, source, users=(7,), rides=(("r8", 8), (None, 7)))
+    warehouse = load_all(spark, read_raw(spark, source), root, "b2", DAY2, only_batch=True)
+    assert rows(warehouse.read("fact_ride"), "ride_id") == [("r1",), ("r3",)]
+    want = sorted([("r8", "user_sk", "b2"), (None, "ride_id", "b1"), (None, "ride_id", "b2")], key=repr)
+    assert rows(warehouse.read("fact_ride_rejects")) == want
+    # A third load of a batch without rides keeps the list.
+    _write_raw(raw, source, users=(1,), rides=())
+    warehouse = load_all(spark, read_raw(spark, source), root, "b3", DAY2, only_batch=True)
+    assert rows(warehouse.read("fact_ride_rejects")) == want
+
+
+def test_only_the_last_versions_stay(spark, core, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), keep_versions=2)
+    for i in range(4):
+        warehouse.replace(core("dim_user", dict(user_sk=i, user_id=i)), "dim_user")
+    assert len(warehouse.versions("dim_user")) == 2 and warehouse.read("dim_user").first().user_sk == 3
+    with pytest.raises(ValueError, match="two"):
+        Warehouse(spark, str(tmp_path), keep_versions=1)
+
+
+def test_date_bounds_prune_months_on_both_sides(spark, core, rows, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    warehouse.append(core("fact_ride", *[dict(ride_id=str(m), start_date_sk=20240015 + 100 * m) for m in range(1, 7)]), "fact_ride")
+    got = warehouse.read("fact_ride", from_date_sk=20240215, to_date_sk=20240414)
+    assert rows(got, "ride_id") == [("2",), ("3",)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*month[^]]*>= 202402[^]]*<= 202404", plan)
+
+
+def test_untouched_months_of_the_mart_keep_their_files(spark, raw, folder):
+    source, root = folder
+    _write_raw(raw, source)
+    warehouse = load_all(spark, read_raw(spark, source), root, "b1", DAY1)
+    before = sorted(p.name for p in Path(warehouse.path("dm_rides_by_route_hour")).rglob("*.parquet"))
+    load_all(spark, read_raw(spark, source), root, "b2", DAY2)
+    assert sorted(p.name for p in Path(warehouse.path("dm_rides_by_route_hour")).rglob("*.parquet")) == before
+
+
+def test_staging_is_written_without_a_shuffle(spark, stg, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    rows, table = stg("users", dict(batch_id="b", user_id=1)), WAREHOUSE["stg.users"]
+    plan = warehouse._laid_out(rows, table)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_history_and_overwritten_users(spark, raw, rows, folder):
     source, root = folder
     options = dict(users="overwrite", routes="history", route_lookup="asof")

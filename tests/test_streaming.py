@@ -66,6 +66,32 @@ def test_hours_come_out_when_closed(spark, feed, rows, tmp_path):
 
 
 @pytest.mark.parametrize("keep_time", [False, True])
+def _load(spark, folder, warehouse, vehicles, progress, **options):
+    events = positions.read_files(spark, folder, SCHEMA, max_files=1)
+    positions.append_facts(events, lambda: vehicles, warehouse, "2024-02-01T00:00:00Z", progress, **options).awaitTermination()
+
+
+def test_every_streamed_event_is_staged_and_loaded_or_rejected(spark, feed, core, rows, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    folder = feed(("a", 1, "2024-01-01 10:00:00", 1.0), (None, 1, "2024-01-01 10:00:00", 1.0), ("b", 1, None, 1.0))
+    feed((None, 1, "2024-03-01 10:00:00", 1.0), ("c", 1, "2024-03-01 10:00:00", 1.0), ("late", 1, "2023-12-01 10:00:00", 1.0))
+    for progress in ("p1", "p2"):  # everything again after progress was lost
+        _load(spark, folder, warehouse, core("dim_vehicle"), f"{tmp_path}/{progress}")
+        assert rows(warehouse.read("fact_vehicle_position"), "event_id") == [("a",), ("c",), ("late",)]
+        assert rows(warehouse.read("fact_vehicle_position_rejects")) == sorted([
+            ("b", "event_time", f"{0:020d}"), (None, "event_id", f"{0:020d}"), (None, "event_id", f"{1:020d}")], key=repr)
+        assert rows(warehouse.read("stg.vehicle_positions").groupBy("batch_id").count()) == [(f"{0:020d}", 3), (f"{1:020d}", 3)]
+
+
+def test_movements_count_late_events(spark, feed, core, rows, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    folder = feed(("a", 1, "2024-01-02 10:00:00", 10.0), ("b", 1, "2024-01-05 10:59:59", 20.0))
+    feed(("c", 1, "2024-01-02 10:30:00", 20.0), ("a", 1, "2024-01-02 10:00:00", 10.0))
+    _load(spark, folder, warehouse, core("dim_vehicle"), f"{tmp_path}/p", movements=True)
+    assert rows(warehouse.read("dm_movement_by_route_hour")) == [
+        ("B-1", datetime(2024, 1, 2, 10), 2, 15.0, 1.0), ("B-1", datetime(2024, 1, 5, 10), 1, 20.0, 1.0)]
+
+
 def test_facts_are_appended_once_even_when_a_batch_is_replayed(spark, feed, core, rows, tmp_path, keep_time):
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
     vehicles = core("dim_vehicle", dict(vehicle_sk=5, vehicle_id=1))
