@@ -108,32 +108,39 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys, np.bincount(places, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
 
 
-def _asked(batches: Iterator[pa.RecordBatch], depth: int, words: bool) -> Iterator[pa.RecordBatch]:
-    """Per chunk each different key once, with its count in the training texts of the chunk, maybe 0."""
+def _asked_words(held: dict[str, list]) -> tuple[np.ndarray, np.ndarray]:
+    counts: Counter = Counter()
+    seen: set[bytes] = set()
+    for held_out, body in zip(held["held_out"], held["body"], strict=True):
+        (seen if held_out else counts).update(_tokens(body))
+    found = list(counts) + [word for word in seen if word not in counts]
+    return (np.array([word_key(word) for word in found], np.int64),
+            np.array([counts.get(word, 0) for word in found], np.int64))
+
+
+def _asked_grams(held: dict[str, list], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    parts, ready = [], []
+    for held_out, before, body in zip(held["held_out"], held["before"], held["body"], strict=True):
+        values = grams(before, body, depth)
+        ready.append((values, np.full(len(values), 0 if held_out else 1)))
+        if sum(len(v) for v, _ in ready) >= PIECE_BYTES:
+            parts, ready = parts + [_merged(ready)], []
+    return _merged(parts + ready)
+
+
+def _asked(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
+    """Per chunk each different gram (kind 0) and word (kind 1) once, with its count in the training texts of the
+    chunk, maybe 0."""
     for batch in batches:
         for number, payload in zip(batch.column(0), batch.column(1), strict=True):
             held = _unpacked(payload)
-            if words:
-                counts: Counter = Counter()
-                seen: set[bytes] = set()
-                for held_out, body in zip(held["held_out"], held["body"], strict=True):
-                    (seen if held_out else counts).update(_tokens(body))
-                found = list(counts) + [word for word in seen if word not in counts]
-                keys = np.array([word_key(word) for word in found], np.int64)
-                n = np.array([counts.get(word, 0) for word in found], np.int64)
-            else:
-                parts, ready = [], []
-                for held_out, before, body in zip(held["held_out"], held["before"], held["body"], strict=True):
-                    values = grams(before, body, depth)
-                    ready.append((values, np.full(len(values), 0 if held_out else 1)))
-                    if sum(len(v) for v, _ in ready) >= PIECE_BYTES:
-                        parts, ready = parts + [_merged(ready)], []
-                keys, n = _merged(parts + ready)
-            for at in range(0, len(keys), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys[part]), number.as_py())), pa.array(keys[part]), pa.array(n[part])],
-                    ["chunk", "key", "n"])
+            for kind, (keys, n) in enumerate((_asked_grams(held, depth), _asked_words(held))):
+                for at in range(0, len(keys), 1 << 16):
+                    part = slice(at, at + (1 << 16))
+                    size = len(keys[part])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(size, number.as_py())), pa.array(np.full(size, kind, np.int32)),
+                         pa.array(keys[part]), pa.array(n[part])], ["chunk", "kind", "key", "n"])
 
 
 def _log_gamma(x: str) -> str:
@@ -244,17 +251,16 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out:
         "doc_id", f"coalesce({held_out}, false) AS held_out", "text")
     chunks = keep(rows.mapInArrow(lambda b: _chunks(b, depth), "chunk long, payload binary"), "text-chunks")
 
-    def asked(words: bool) -> DataFrame:
-        return chunks.mapInArrow(lambda b: _asked(b, depth, words), "chunk long, key long, n long")
+    asked = keep(chunks.mapInArrow(lambda b: _asked(b, depth), "chunk long, kind int, key long, n long"), "asked")
+    asked_grams, asked_words = asked.where("kind = 0"), asked.where("kind = 1")
 
-    words = keep(asked(True).groupBy("key").agg(F.sum("n").alias("n")), "word-counts")
+    words = keep(asked_words.groupBy("key").agg(F.sum("n").alias("n")), "word-counts")
     totals = words.where("n > 0").agg(F.sum("n"), F.count("*")).first()
     total, distinct = totals[0] or 0, totals[1]
-    gram_counts = keep(asked(False).groupBy("key").agg(F.sum("n").alias("n")), "gram-counts")
-    log10p = keep(model(gram_counts, depth), "gram-values")
-    answers = (asked(False).select("chunk", "key").join(log10p, "key").selectExpr("chunk", "0 AS kind", "key", "log10p AS value")
-               .unionByName(asked(True).select("chunk", "key").join(words, "key")
-                            .selectExpr("chunk", "1 AS kind", "key", "CAST(n AS DOUBLE) AS value")))
+    log10p = keep(model(keep(asked_grams.groupBy("key").agg(F.sum("n").alias("n")), "gram-counts"), depth), "gram-values")
+    answers = (asked_grams.select("chunk", "kind", "key").join(log10p, "key").selectExpr("chunk", "kind", "key", "log10p AS value")
+               .unionByName(asked_words.select("chunk", "kind", "key").join(words, "key")
+                            .selectExpr("chunk", "kind", "key", "CAST(n AS DOUBLE) AS value")))
     parts = answers.groupBy("chunk").cogroup(chunks.groupBy("chunk")).applyInArrow(
         lambda a, c: _scored(a, c, depth, total, distinct),
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
