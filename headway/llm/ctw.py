@@ -22,7 +22,7 @@ from headway.llm.tables import keep, ship, text_of
 
 DEPTH = 4
 # Texts scored together: a chunk asks for each different byte sequence and word it holds once.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 # Texts are cut at white space into pieces of about this size, which bounds the arrays of a task.
 PIECE_BYTES = 1 << 20
 _END = b"\n"
@@ -125,6 +125,8 @@ def _asked_grams(held: dict[str, list], depth: int) -> tuple[np.ndarray, np.ndar
         ready.append((values, np.full(len(values), 0 if held_out else 1)))
         if sum(len(v) for v, _ in ready) >= PIECE_BYTES:
             parts, ready = parts + [_merged(ready)], []
+        if len(parts) == 4:
+            parts = [_merged(parts)]
     return _merged(parts + ready)
 
 
