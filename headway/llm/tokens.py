@@ -11,7 +11,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 
 # Words remembered and words encoded at once. They bound memory and decide nothing about the ids.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 AT_ONCE = 500
 
 _encoders: dict[str, Encoder] = {}
@@ -55,15 +55,8 @@ class Encoder:
         if len(self._known) > REMEMBERED:
             self._known.clear()
         known = self._known
-        out = []
-        for of_text in words:
-            try:
-                ids = b"".join([known[word] for word in of_text])
-            except KeyError:
-                self._learn([word for word in dict.fromkeys(of_text) if word not in known])
-                ids = b"".join([known[word] for word in of_text])
-            out.append(ids + end)
-        return out
+        self._learn([word for word in set().union(*words) if word not in known])
+        return [b"".join([known[word] for word in of_text]) + end for of_text in words]
 
     def _learn(self, words: list[bytes]) -> None:
         for at in range(0, len(words), AT_ONCE):
