@@ -138,10 +138,12 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     A null doc_id counts as larger than any other. Of rows that agree in doc_id and text one stays.
     """
     found = near_duplicates(docs, doc_id, text, shingle, radius)
-    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "content")
-    chosen = found.groupBy("component").agg(F.min(order).alias("best")).select(
-        F.col("best.doc_id").alias("__id"), F.col("best.content").alias("__content"))
-    rows = docs.withColumns({"__own": F.col(doc_id).cast("long"), "__hash": F.xxhash64(text_of(text))})
-    kept = rows.join(keep(chosen, "near-dedup-kept"), F.expr("__own <=> __id AND __hash = __content"), "left_semi")
-    rank = F.expr("row_number() OVER (PARTITION BY __own, __hash ORDER BY __hash)")
-    return kept.withColumn("__rank", rank).where("__rank = 1").drop("__own", "__hash", "__rank")
+    # Three key columns without nulls, so that the join and the choice among equal rows share one shuffle of the
+    # texts.
+    key = lambda own, content: {"__n": F.isnull(own), "__d": F.coalesce(own, F.lit(0)), "__c": content}
+    marked = F.struct(*[c.alias(name) for name, c in key(F.col("doc_id"), F.col("content")).items()])
+    chosen = keep(found.groupBy("component").agg(F.min(marked).alias("best")).select("best.*"), "near-dedup-kept")
+    rows = docs.withColumns(key(F.col(doc_id).cast("long"), F.xxhash64(text_of(text))))
+    kept = rows.join(chosen, ["__n", "__d", "__c"], "left_semi")
+    rank = F.expr("row_number() OVER (PARTITION BY __n, __d, __c ORDER BY __c)")
+    return kept.withColumn("__rank", rank).where("__rank = 1").select(*docs.columns)
