@@ -137,7 +137,11 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
 
     A null doc_id counts as larger than any other. Of rows that agree in doc_id and text one stays.
     """
-    found = near_duplicates(docs, doc_id, text, shingle, radius)
+    return one_of_each(docs, near_duplicates(docs, doc_id, text, shingle, radius), doc_id, text)
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row with the smallest doc_id of each ``component`` in ``found`` (doc_id, content, component)."""
     # Three key columns without nulls, so that the join and the choice among equal rows share one shuffle of the
     # texts.
     key = lambda own, content: {"__n": F.isnull(own), "__d": F.coalesce(own, F.lit(0)), "__c": content}
