@@ -25,11 +25,24 @@ NEVER_TEXT = frozenset(
     "option script select style svg template textarea title video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-NOT_CONTENT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert(?:s|isement|ising|orial)?|aside|banner|breadcrumbs?|byline-share|comments?|consent|cookies?|"
-    r"disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|"
-    r"related|replies|reply|respond|share|sharing|sidebar|sidenav|signup|site-header|social|sponsor(?:ed)?|subscribe|"
-    r"toolbar|topbar|widget)(?:[\s_-]|\d*$)", re.IGNORECASE)
+# Whole class tokens and ids, such as sidebar, left-sidebar or sidebar-2; layout names such as has-sidebar, no-sidebar,
+# content-with-header, comments-open and article-header are none of these.
+_BEFORE = "site|global|top|bottom|left|right|primary|secondary|main|mobile|post|entry"
+_AFTER = ("box|bar|list|links|buttons|items?|container|block|form|section|area|slot|unit|left|right|top|bottom|posts|"
+          "articles|stories|inner|outer")
+_COMMENTS = "comments?|disqus|replies|reply|respond"
+_OTHERS = ("ads?|advert(?:s|isement|ising|orial)?|aside|banner|breadcrumbs?|byline-share|consent|cookies?|footer|gdpr|"
+           "masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|related|share|sharing|"
+           "sidebar|sidenav|signup|social|sponsor(?:ed)?|subscribe|toolbar|topbar|widget")
+
+
+def _names(words: str, before: str = _BEFORE) -> re.Pattern:
+    return re.compile(rf"(?:(?:{before})[_-])?(?:{words})(?:[_-](?:{words}|{_AFTER}))*(?:[_-]?\d+)?", re.IGNORECASE)
+
+
+COMMENTS = _names(_COMMENTS)
+# The header of a post or an entry is its own.
+NOT_CONTENT = (_names(f"{_COMMENTS}|{_OTHERS}"), _names("header", "site|global|top|bottom|mobile"))
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 SIGMA = 1.0
@@ -49,6 +62,8 @@ class _Open:
     tag: str
     skipped: bool
     number: int | None = None
+    named: bool = False
+    inside: bool = False
 
 
 @dataclass
@@ -59,16 +74,18 @@ class _Page(HTMLParser):
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
         self._open: list[_Open] = []
-        self._text: list[str] = []
+        # Text with the elements around it that are named as something else, which is judged at the end.
+        self._text: list[tuple[str, tuple[int, ...]]] = []
+        self._read: list[tuple[list[tuple[str, tuple[int, ...]]], int, tuple[int, ...]]] = []
+        self._enclosing: set[int] = set()
+        self._free = False
         self._tags = 0
         self._numbers = 0
 
     def _flush(self) -> None:
-        text = " ".join("".join(self._text).split())
-        if text:
-            self.blocks.append(Block(text, self._tags, tuple(x.number for x in self._open if x.number is not None)))
-            self._tags = 0
-        self._text = []
+        if self._text:
+            self._read.append((self._text, self._tags, tuple(x.number for x in self._open if x.number is not None)))
+            self._text, self._tags = [], 0
 
     def _is_content(self, tag: str, attrs: dict[str, str | None]) -> bool:
         if tag in NEVER_TEXT or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
@@ -77,25 +94,40 @@ class _Page(HTMLParser):
             return False
         if (attrs.get("role") or "").lower() in ROLES or HIDDEN.search(attrs.get("style") or ""):
             return False
-        if tag in ("html", "body"):
-            return True
-        return not any(NOT_CONTENT.search(attrs.get(name) or "") for name in ("class", "id"))
+        return True
+
+    def _named(self, tag: str, attrs: dict[str, str | None]) -> tuple[bool, bool]:
+        """Whether the names of an element say that it is no content, and whether they say comments."""
+        if tag in ("html", "body", "main"):
+            return False, False
+        names = [token for name in ("class", "id") for token in (attrs.get(name) or "").split()]
+        comments = any(COMMENTS.fullmatch(token) for token in names)
+        return comments or (tag != "article" and any(p.fullmatch(t) for t in names for p in NOT_CONTENT)), comments
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self._flush()
         elif tag == "br":
-            self._text.append(" ")
+            self._text.append((" ", ()))
         self._tags += 1
         if tag in VOID:
             return
-        nested = bool(self._open) and self._open[-1].skipped and self._open[-1].tag == tag
+        last = self._open[-1] if self._open else None
+        nested = last is not None and last.tag == tag and (last.skipped or last.named or last.inside)
         if nested and tag in ("p", "li"):
             self._open.pop()  # a new paragraph or item ends one that was left open
             nested = False
-        content = self._is_content(tag, dict(attrs))
-        if nested or tag in CONTAINERS or not content:
-            self._open.append(_Open(tag, nested or not content, self._numbers if tag in CONTAINERS else None))
+        held = dict(attrs)
+        content = self._is_content(tag, held)
+        named, comments = self._named(tag, held)
+        # Comments stay out whatever they enclose; the rest is judged when the whole page is read.
+        skipped, named = nested and last.skipped or not content or comments, named and not comments
+        if tag in ("article", "main") and not skipped and not any(x.skipped for x in self._open):
+            around = {x.number for x in self._open if x.named}
+            self._enclosing |= around
+            self._free = self._free or not around
+        if nested or tag in CONTAINERS or skipped or named:
+            self._open.append(_Open(tag, skipped, self._numbers if tag in CONTAINERS or named else None, named, nested))
             if tag in ("article", "main"):
                 self.semantic.add(self._numbers)
             self._numbers += 1
@@ -116,11 +148,20 @@ class _Page(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if not any(x.skipped for x in self._open):
-            self._text.append(data)
+            self._text.append((data, tuple(x.number for x in self._open if x.named)))
 
     def close(self) -> None:
         super().close()
         self._flush()
+        # An article or main stays with what encloses it; teasers in a named part go where another stands outside.
+        stay = set() if self._free else self._enclosing
+        tags = 0
+        for parts, more, within in self._read:
+            tags += more
+            text = " ".join("".join(data for data, around in parts if stay.issuperset(around)).split())
+            if text:
+                self.blocks.append(Block(text, tags, within))
+                tags = 0
 
 
 def ratios(blocks: list[Block], sigma: float = SIGMA) -> np.ndarray:

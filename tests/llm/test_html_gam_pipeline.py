@@ -42,6 +42,23 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<div class='has-sidebar'>", "</div>"), ("<div class='no-sidebar'>", "</div>"),
+    ("<main class='content-with-header'>", "</main>"), ("<article class='post comments-open'>", "</article>"),
+    ("<div class='elementor-widget elementor-widget-text-editor'>", "</div>"), ("<main class=widget>", "</main>"),
+    ("<div class=sidebar><article>", "</article></div>"), ("<div class=widget><div>x</div><main>", "</main></div>"),
+    ("<article class=post><div class=related><article>x</article></div>", "</article>"),
+])
+def test_layout_names_keep_what_they_hold(start, end):
+    page = f"<body>{start}<h1 class='article-header'>T</h1><p>{LONG}</p><div class='left-sidebar'>no</div>{end}"
+    assert html.main_text(page) == f"T\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("name", ["sidebar", "site-header", "cookie-notice", "nav-menu", "ad-1", "comments-area", "widget_area"])
+def test_names_of_other_parts_go(name):
+    assert html.main_text(f"<article><p>{LONG}</p><div class='x {name}'><div>no</div>no</div><p>y</article>") == f"{LONG.strip()}\ny"
+
+
 def test_pages_with_nulls_and_clashing_columns(spark):
     rows = [(1, "u", "<p>a</p>", "x", 5), (None, None, None, "x", 5), (1, "u", "<p>a</p>", "x", 5), (2, None, "", None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
