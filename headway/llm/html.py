@@ -177,8 +177,8 @@ def main_text(html: str) -> str:
 
     Parser events give the lines of the page. Lines whose smoothed text-to-tag ratio reaches the standard
     deviation of all ratios form the content cluster. The container that holds most of the cluster's text is the
-    region: an article or main element if one holds any, else the innermost that holds nine tenths of it, cut to
-    the lines from the first of the cluster to the last. A region is kept whole, so its short paragraphs stay,
+    region: an article or main element if there is one, of several that stand side by side the innermost container
+    of them all, else the innermost that holds nine tenths of the cluster. A region is kept whole, so its short paragraphs stay,
     without what its own markup names as something else: menus, notices, forms, comments and the like.
     """
     page = _Page()
@@ -193,17 +193,20 @@ def main_text(html: str) -> str:
     for block, inside in zip(lines, cluster, strict=True):
         for number in block.within:
             held[number] = held.get(number, 0) + len(block.text) * bool(inside)
-    semantic = [number for number in held if number in page.semantic]
-    if semantic:
+    # Articles and mains that stand in no other; comments are gone by now.
+    tops = {next(number for number in block.within if number in page.semantic): block.within
+            for block in lines if page.semantic.intersection(block.within)}
+    if len(tops) > 1:
+        paths = [within[:within.index(number)] for number, within in tops.items()]
+        common = [step[0] for step in zip(*paths, strict=False) if len(set(step)) == 1]
+        region = max(common, default=None)
+    elif tops:
         # The largest; of nested ones of the same size, the inner.
-        region = max(semantic, key=lambda number: (held[number], number))
-        return "\n".join(block.text for block in lines if region in block.within)
-    total = sum(len(block.text) for block, inside in zip(lines, cluster, strict=True) if inside)
-    enough = [number for number in held if held[number] >= 0.9 * total]
-    region = max(enough, default=None)
-    places = [i for i, block in enumerate(lines) if region is None or region in block.within]
-    inside = [i for i in places if cluster[i]]
-    return "\n".join(lines[i].text for i in places if not inside or inside[0] <= i <= inside[-1])
+        region = max((number for number in held if number in page.semantic), key=lambda number: (held[number], number))
+    else:
+        total = sum(len(block.text) for block, inside in zip(lines, cluster, strict=True) if inside)
+        region = max((number for number in held if held[number] >= 0.9 * total), default=None)
+    return "\n".join(block.text for block in lines if region is None or region in block.within)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

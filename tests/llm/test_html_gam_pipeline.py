@@ -59,6 +59,19 @@ def test_names_of_other_parts_go(name):
     assert html.main_text(f"<article><p>{LONG}</p><div class='x {name}'><div>no</div>no</div><p>y</article>") == f"{LONG.strip()}\ny"
 
 
+def test_a_page_without_article_keeps_its_closing_list():
+    items = "".join(f"<li>{'item ' * 4}</li>" for _ in range(4))
+    page = f"<body><nav>Home</nav><div><h1>T</h1>{f'<p>{LONG}</p>' * 3}<ul>{items}</ul><p>End.</p></div>"
+    assert html.main_text(page).split("\n") == ["T", *[LONG.strip()] * 3, *["item item item item"] * 4, "End."]
+
+
+def test_articles_side_by_side_all_stay():
+    one, two = f"<article><p>{LONG}</p></article>", f"<article><p>{LONG}{LONG}</p></article>"
+    page = f"<body><p>out</p><div><h2>H</h2>{one}<p>between</p>{two}<div class=comments><article>c</article></div></div>"
+    assert html.main_text(page).split("\n") == ["H", LONG.strip(), "between", (LONG + LONG).strip()]
+    assert html.main_text(one + two).split("\n") == [LONG.strip(), (LONG + LONG).strip()]
+
+
 def test_pages_with_nulls_and_clashing_columns(spark):
     rows = [(1, "u", "<p>a</p>", "x", 5), (None, None, None, "x", 5), (1, "u", "<p>a</p>", "x", 5), (2, None, "", None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
