@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from headway.llm import ctw, exact, gam, html, lines, mixing, packing, records, rules, simhash
-from headway.llm.tables import keep, table
+from headway.llm import ctw, exact, gam, html, lines, mixing, packing, records, repeats, rules, simhash
+from headway.llm.tables import keep, table, text_of, words_of
 from headway.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,6 +160,24 @@ def op10_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
 
 
+@query
+def op11_periodic_runs(spark, sf_dir):
+    # In a tenth of the documents a part is repeated, so that runs of all lengths occur.
+    docs = documents(spark, sf_dir).select("doc_id", text_of().alias("text"), F.expr("crc32(CAST(doc_id AS STRING))").alias("h"))
+    planted = (docs.withColumn("w", F.when(F.expr("h % 10 = 0"), words_of(F.col("text"))))
+               .withColumn("a", F.expr("CASE WHEN size(w) > 0 THEN CAST((h div 10) % size(w) AS INT) END"))
+               .withColumn("p", F.expr("CAST(1 + (size(w) - a) div (3 + (h div 10) % 8) AS INT)"))
+               .withColumn("text", F.expr("CASE WHEN a IS NULL THEN text ELSE array_join(transform("
+                                          "w, (x, i) -> IF(i < a, x, get(w, a + (i - a) % p))), ' ') END")))
+    found = repeats.periodic_runs(planted.select("doc_id", "text"))
+    longest = "array_min(transform(runs, r -> named_struct('l', -r.length, 'start', r.start, 'period', r.period)))"
+    listed = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return found.withColumn("b", F.expr(longest)).selectExpr(
+        "doc_id", "CAST(size(runs) AS BIGINT) AS n_runs", "b.start AS start", "-b.l AS length", "b.period AS period",
+        "1000 * -b.l div b.period AS exponent_milli", f"sha2({listed}, 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256")
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
