@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from headway.llm import ctw, exact, gam, html, lines, mixing, packing, records, repeats, rules, simhash
+from headway.llm import ctw, exact, gam, html, jaccard, lines, mixing, packing, phrases, records, repeats, rules, simhash
 from headway.llm.tables import keep, table, text_of, words_of
 from headway.session import scratch_path
 
@@ -178,6 +178,65 @@ def op11_periodic_runs(spark, sf_dir):
         "sha2(collapsed, 256) AS collapsed_sha256")
 
 
+@query
+def op12_ngram_jaccard(spark, sf_dir):
+    return jaccard.similar_documents(documents(spark, sf_dir))
+
+
+ORACLE["op12_ngram_jaccard"] = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS i, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT i, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+    range(1, greatest(len(w) - 2, 1) + 1), lambda k: array_to_string(w[k:k + 2], ' '))) END AS s FROM d),
+shingles AS (SELECT i, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT x.i AS a, y.i AS b FROM shingles x JOIN shingles y USING (shingle)
+  JOIN sets p ON p.i = x.i JOIN sets q ON q.i = y.i WHERE x.i <> y.i
+  GROUP BY x.i, y.i HAVING 100 * count(*) >= 90 * (any_value(len(p.s)) + any_value(len(q.s)) - count(*))),
+reach AS (SELECT i, i AS j FROM sets UNION SELECT r.i, l.b FROM reach r JOIN links l ON l.a = r.j)
+SELECT any_value(s.doc_id) AS doc_id, any_value(len(s.s))::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM reach r JOIN sets s ON s.i = r.i JOIN sets o ON o.i = r.j GROUP BY r.i
+"""
+
+
+@query
+def op13_phrases(spark, sf_dir):
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+ORACLE["op13_phrases"] = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p
+  FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, p, count(*) AS f FROM grams GROUP BY lang, k, p HAVING count(*) >= 10),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+cuts AS (SELECT lang, k, p, f AS a, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+scored AS (
+  SELECT c.*, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = c.p[:cut] JOIN f y ON y.lang = c.lang AND y.p = c.p[cut + 1:]),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+around AS (
+  SELECT lang, p, max(a) AS a FROM (
+    SELECT lang, f AS a, unnest([p[:2], p[2:]]) AS p FROM f WHERE k = 3) GROUP BY lang, p),
+kept AS (
+  SELECT l.*, array_to_string(l.p, ' ') AS phrase FROM lowest l LEFT JOIN around o ON o.lang = l.lang AND o.p = l.p
+  WHERE o.a IS NULL OR 100 * o.a < 50 * l.a),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
