@@ -203,10 +203,11 @@ def _count(docs: DataFrame, least: int, most: int, shards: int, slots: int) -> t
     step = 0
     # Words are counted in the first cycle, longer phrases up to a cycle after the last that made one active.
     while step < shards or any(step <= at + shards for at in last[:-1]):
-        shared = spark.sparkContext.broadcast(reached[:-1])
+        shared = spark.sparkContext.broadcast([pa.compress(of.tobytes(), "zstd", asbytes=True) for of in reached[:-1]])
 
         def scan(batches: Iterator[pa.RecordBatch], step: int = step, shared=shared) -> Iterator[pa.RecordBatch]:
-            task, waiting, held = _Scan(step, shards, most, least, slots, shared.value), [], 0
+            active = [np.frombuffer(pa.decompress(of, slots, "zstd", asbytes=True), np.uint8) for of in shared.value]
+            task, waiting, held = _Scan(step, shards, most, least, slots, active), [], 0
             for batch in batches:
                 for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
                     waiting.append(_tokens(lang.as_py(), text.as_py(), task.known, task.hashes, task.names))
@@ -238,7 +239,7 @@ def _count(docs: DataFrame, least: int, most: int, shards: int, slots: int) -> t
             if now.any():
                 part[now] = step
                 last[row["size"] - 1] = step
-        shared.unpersist()
+        shared.destroy()
         step += 1
     return counted, reached
 
