@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import lines, mixing, packing, rules, similar
+from headway.llm import lines, mixing, packing, rules, simhash
 from headway.llm.tables import keep, table
 
 
@@ -20,8 +20,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that share 0.8 of their five-word shingles that with the smallest id stays."""
-    return similar.drop_near_duplicates(docs).select(*docs.columns)
+    """Of each group whose fingerprints of three-word shingles link at two bits or fewer the smallest id stays."""
+    return simhash.drop_near_duplicates(docs, shingle=simhash.SHINGLE, radius=simhash.RADIUS).select(*docs.columns)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
