@@ -50,47 +50,70 @@ SIGMA = 1.0
 
 @dataclass
 class Block:
-    """A line of the page: its text, the tags met in it, its containers from the outside in."""
+    """A line of the page: its text, the tags met in it, the innermost container around it (-1: none)."""
 
     text: str
     tags: int
-    within: tuple[int, ...]
+    within: int
 
 
 @dataclass
 class _Open:
+    """An open element, and what holds for all inside it: whether it is hidden, its container, its named elements."""
+
     tag: str
     skipped: bool
-    number: int | None = None
-    named: bool = False
-    inside: bool = False
+    named: bool
+    inside: bool
+    hidden: bool
+    within: int
+    chain: int
+
+
+_ROOT = _Open("", False, False, False, False, -1, -1)
 
 
 @dataclass
 class _Page(HTMLParser):
+    """The lines of a page. Every event costs the same however deep the page is nested."""
+
     blocks: list[Block] = field(default_factory=list)
     semantic: set[int] = field(default_factory=set)
+    parents: list[int] = field(default_factory=list)
 
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
         self._open: list[_Open] = []
-        # Text with the elements around it that are named as something else, which is judged at the end.
-        self._text: list[tuple[str, tuple[int, ...]]] = []
-        self._read: list[tuple[list[tuple[str, tuple[int, ...]]], int, tuple[int, ...]]] = []
-        self._enclosing: set[int] = set()
+        # Where in the stack the open elements of each tag are.
+        self._at: dict[str, list[int]] = {}
+        # Elements named as something else: the one around each, and whether an article or main is inside.
+        self._around: list[int] = []
+        self._encloses: list[bool] = []
+        # Text with the innermost such element around it, which is judged at the end.
+        self._text: list[tuple[str, int]] = []
+        self._read: list[tuple[list[tuple[str, int]], int, int]] = []
         self._free = False
         self._tags = 0
-        self._numbers = 0
+
+    def _top(self) -> _Open:
+        return self._open[-1] if self._open else _ROOT
+
+    def _within(self, *tags: str) -> int:
+        """The place in the stack of the innermost open element with one of the tags, -1 if there is none."""
+        return max((self._at[tag][-1] for tag in tags if self._at.get(tag)), default=-1)
+
+    def _pop(self) -> None:
+        self._at[self._open.pop().tag].pop()
 
     def _flush(self) -> None:
         if self._text:
-            self._read.append((self._text, self._tags, tuple(x.number for x in self._open if x.number is not None)))
+            self._read.append((self._text, self._tags, self._top().within))
             self._text, self._tags = [], 0
 
     def _is_content(self, tag: str, attrs: dict[str, str | None]) -> bool:
         if tag in NEVER_TEXT or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
             return False
-        if tag == "header" and not any(x.tag in ("article", "main") for x in self._open):
+        if tag == "header" and self._within("article", "main") < 0:
             return False
         if (attrs.get("role") or "").lower() in ROLES or HIDDEN.search(attrs.get("style") or ""):
             return False
@@ -108,29 +131,40 @@ class _Page(HTMLParser):
         if tag in BLOCKS:
             self._flush()
         elif tag == "br":
-            self._text.append((" ", ()))
+            self._text.append((" ", -1))
         self._tags += 1
         if tag in VOID:
             return
-        last = self._open[-1] if self._open else None
-        nested = last is not None and last.tag == tag and (last.skipped or last.named or last.inside)
+        last = self._top()
+        nested = last.tag == tag and (last.skipped or last.named or last.inside)
         if nested and tag in ("p", "li"):
-            self._open.pop()  # a new paragraph or item ends one that was left open
+            self._pop()  # a new paragraph or item ends one that was left open
             nested = False
         held = dict(attrs)
         content = self._is_content(tag, held)
         named, comments = self._named(tag, held)
         # Comments stay out whatever they enclose; the rest is judged when the whole page is read.
         skipped, named = nested and last.skipped or not content or comments, named and not comments
-        if tag in ("article", "main") and not skipped and not any(x.skipped for x in self._open):
-            around = {x.number for x in self._open if x.named}
-            self._enclosing |= around
-            self._free = self._free or not around
+        around = self._top()
+        if tag in ("article", "main") and not skipped and not around.hidden:
+            self._free = self._free or around.chain < 0
+            chain = around.chain
+            while chain >= 0 and not self._encloses[chain]:
+                self._encloses[chain] = True
+                chain = self._around[chain]
         if nested or tag in CONTAINERS or skipped or named:
-            self._open.append(_Open(tag, skipped, self._numbers if tag in CONTAINERS or named else None, named, nested))
+            within, chain = around.within, around.chain
+            if tag in CONTAINERS or named:
+                self.parents.append(within)
+                within = len(self.parents) - 1
+            if named:
+                self._around.append(chain)
+                self._encloses.append(False)
+                chain = len(self._around) - 1
             if tag in ("article", "main"):
-                self.semantic.add(self._numbers)
-            self._numbers += 1
+                self.semantic.add(within)
+            self._at.setdefault(tag, []).append(len(self._open))
+            self._open.append(_Open(tag, skipped, named, nested, around.hidden or skipped, within, chain))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # Outside foreign elements a closing slash means nothing: <div/> opens a div.
@@ -140,25 +174,28 @@ class _Page(HTMLParser):
         if tag in BLOCKS:
             self._flush()
         self._tags += 1
-        at = next((i for i in reversed(range(len(self._open))) if self._open[i].tag == tag), None)
-        if at is not None and tag not in ("body", "html"):
-            # What a closing tag leaves open inside it ends with it, unless it would end the article.
-            if not any(x.tag in ("article", "main") for x in self._open[at + 1:]):
-                del self._open[at:]
+        at = self._within(tag)
+        # What a closing tag leaves open inside it ends with it, unless it would end the article.
+        if at >= 0 and tag not in ("body", "html") and self._within("article", "main") <= at:
+            while len(self._open) > at:
+                self._pop()
 
     def handle_data(self, data: str) -> None:
-        if not any(x.skipped for x in self._open):
-            self._text.append((data, tuple(x.number for x in self._open if x.named)))
+        last = self._top()
+        if not last.hidden:
+            self._text.append((data, last.chain))
 
     def close(self) -> None:
         super().close()
         self._flush()
         # An article or main stays with what encloses it; teasers in a named part go where another stands outside.
-        stay = set() if self._free else self._enclosing
+        stays = []
+        for encloses, around in zip(self._encloses, self._around, strict=True):
+            stays.append(encloses and not self._free and (around < 0 or stays[around]))
         tags = 0
         for parts, more, within in self._read:
             tags += more
-            text = " ".join("".join(data for data, around in parts if stay.issuperset(around)).split())
+            text = " ".join("".join(data for data, chain in parts if chain < 0 or stays[chain]).split())
             if text:
                 self.blocks.append(Block(text, tags, within))
                 tags = 0
@@ -176,10 +213,10 @@ def main_text(html: str) -> str:
     """The blocks of the main region of a page, one a line; empty if there is none.
 
     Parser events give the lines of the page. Lines whose smoothed text-to-tag ratio reaches the standard
-    deviation of all ratios form the content cluster. The container that holds most of the cluster's text is the
-    region: an article or main element if there is one, of several that stand side by side the innermost container
-    of them all, else the innermost that holds nine tenths of the cluster. A region is kept whole, so its short paragraphs stay,
-    without what its own markup names as something else: menus, notices, forms, comments and the like.
+    deviation of all ratios form the content cluster. The region is the innermost container that holds nine tenths
+    of the cluster's text; of the containers that do, an article or main element is taken first, as its title belongs
+    to it. A region is kept whole, so its short paragraphs stay, without what its own markup names as something
+    else: menus, notices, forms, comments and the like.
     """
     page = _Page()
     page.feed(html)
@@ -189,24 +226,24 @@ def main_text(html: str) -> str:
         return ""
     smoothed = ratios(lines)
     cluster = smoothed >= min(smoothed.std(), smoothed.max())
-    held: dict[int, int] = {}
-    for block, inside in zip(lines, cluster, strict=True):
-        for number in block.within:
-            held[number] = held.get(number, 0) + len(block.text) * bool(inside)
-    # Articles and mains that stand in no other; comments are gone by now.
-    tops = {next(number for number in block.within if number in page.semantic): block.within
-            for block in lines if page.semantic.intersection(block.within)}
-    if len(tops) > 1:
-        paths = [within[:within.index(number)] for number, within in tops.items()]
-        common = [step[0] for step in zip(*paths, strict=False) if len(set(step)) == 1]
-        region = max(common, default=None)
-    elif tops:
-        # The largest; of nested ones of the same size, the inner.
-        region = max((number for number in held if number in page.semantic), key=lambda number: (held[number], number))
-    else:
-        total = sum(len(block.text) for block, inside in zip(lines, cluster, strict=True) if inside)
-        region = max((number for number in held if held[number] >= 0.9 * total), default=None)
-    return "\n".join(block.text for block in lines if region is None or region in block.within)
+    held, total = [0] * len(page.parents), 0
+    for block, inside in zip(lines, cluster.tolist(), strict=True):
+        if inside:
+            total += len(block.text)
+            if block.within >= 0:
+                held[block.within] += len(block.text)
+    # A container has a higher number than the one around it.
+    for number in range(len(held) - 1, 0, -1):
+        if page.parents[number] >= 0:
+            held[page.parents[number]] += held[number]
+    most = [number for number, size in enumerate(held) if 10 * size >= 9 * total]
+    region = max((number for number in most if number in page.semantic), default=max(most, default=None))
+    if region is None:
+        return "\n".join(block.text for block in lines)
+    within = [False] * len(held)
+    for number, parent in enumerate(page.parents):
+        within[number] = number == region or parent >= 0 and within[parent]
+    return "\n".join(block.text for block in lines if block.within >= 0 and within[block.within])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +261,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
     A null or empty html gives an empty text, as does a page without content; null ids and urls stay null;
     repeated rows each get a row; an empty table gives an empty result. Broken markup is read as browsers do
-    it, by ignoring it. Other columns are ignored. A page is worked off in its row; nothing is shuffled.
+    it, by ignoring it. Other columns are ignored. A page is worked off in its row, in time and memory in proportion
+    to its length however deep its elements are nested; nothing is shuffled.
     """
     ship(pages.sparkSession)
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
