@@ -17,35 +17,48 @@ MOST = 2.0
 FAN_IN = 64
 
 
+def ranked(sizes: DataFrame) -> DataFrame:
+    """Add ``place``, from 0, to one row per ``source``: its place in code point order, null last.
+
+    Sources are sorted over all tasks and stored; each sorted part is then numbered by itself, behind the parts before
+    it. Only one row per part meets in one task.
+    """
+    sorted_parts = keep(sizes.orderBy(F.col("source").asc_nulls_last()).withColumn("__part", F.spark_partition_id()), "mix-sources")
+    parts = sorted_parts.groupBy("__part").count().selectExpr(
+        "__part AS __of", "coalesce(sum(count) OVER (ORDER BY __part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __before")
+    inside = sorted_parts.selectExpr("*", "row_number() OVER (PARTITION BY __part ORDER BY source ASC NULLS LAST) - 1 AS __inside")
+    return (inside.join(F.broadcast(parts), F.expr("__part = __of"))
+            .selectExpr(*sizes.columns, "__before + __inside AS place"))
+
+
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
             most: float = MOST) -> DataFrame:
     """Add ``target`` to one row per source with ``source`` and ``source_size``.
 
     Sources in code point order, null last, take the weights in turn and split ``share`` times the sum of all
     sizes by weight. A target stops at ``most`` times the size of its source; what is over goes to the others
-    by weight until none is above. That ends where every open target is its weight times one level, so the
-    level is computed from the running sums over sources ordered by the level at which they stop.
+    by weight until none is above. That ends where every open target is its weight times one level.
 
-    One row per source passes through one task: sources are the recipe of a mix, not its documents.
+    The level is found by raising it: sources that it fills stop, and what they leave raises it for the others,
+    until it fills no other. Each step adds up sizes and counts of sources, in whole numbers, so reruns agree, and
+    one row comes to the driver. No source waits for another in one task, as a mix of hosts may have very many.
     """
-    ranked = sizes.selectExpr("*", "row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS place")
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    capped = (ranked.withColumn("weight", F.get(cycle, F.expr(f"CAST(place % {len(weights)} AS INT)")))
-              .withColumn("cap", F.col("source_size") * F.lit(float(most)))
-              .withColumn("stops_at", F.col("cap") / F.col("weight")))
-    upto = "OVER (ORDER BY stops_at, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    levels = capped.selectExpr(
-        "*", f"coalesce(sum(cap) {upto}, 0D) AS stopped", f"coalesce(sum(weight) {upto}, 0D) AS gone",
-        "sum(weight) OVER () AS all_weights", f"sum(source_size) OVER () * {float(share)}D AS total")
-    # The first source, in this order, that the level of those from it on does not fill stays open, and so
-    # do all after it.
-    opened = levels.withColumn("level", F.expr("(total - stopped) / (all_weights - gone)"))
-    last = opened.selectExpr("*", "min(CASE WHEN level <= stops_at THEN struct(stops_at, place, level) END) "
-                                  "OVER () AS first_open")
-    return last.selectExpr(
-        "source", "source_size",
-        "CASE WHEN first_open IS NULL OR struct(stops_at, place) < struct(first_open.stops_at, first_open.place) "
-        "THEN cap ELSE weight * first_open.level END AS target")
+    weighed = keep(ranked(sizes).withColumn("turn", F.expr(f"CAST(place % {len(weights)} AS INT)"))
+                   .withColumn("weight", F.get(cycle, F.col("turn"))).drop("place"), "mix-weights")
+    level = 0.0
+    while True:
+        stops = F.col("source_size") * F.lit(float(most)) <= F.col("weight") * F.lit(level)
+        sums = weighed.groupBy("turn", stops.alias("stops")).agg(F.count("*").alias("n"), F.sum("source_size").alias("size")).collect()
+        total = sum(r.size for r in sums)
+        stopped = sum(r.size for r in sums if r.stops)
+        gone = sum(weights[r.turn] * r.n for r in sums if not r.stops)
+        raised = (share * total - most * stopped) / gone if gone else level
+        if raised <= level:
+            break
+        level = raised
+    return weighed.select("source", "source_size", F.least(
+        F.col("source_size") * F.lit(float(most)), F.col("weight") * F.lit(level)).alias("target"))
 
 
 _ITEM = "STRUCT<size: BIGINT, id: STRUCT<id: BIGINT, size: BIGINT>, x: DOUBLE, u: DOUBLE>"
@@ -81,26 +94,15 @@ def _pivot(items: str) -> str:
     return f"aggregate({items}, {start}, (acc, item) -> {step})"
 
 
-def _settle(items: str) -> str:
-    """SQL that rounds items one by one, each to the side that keeps the words so far nearer to their due."""
-    take = "(item.x * item.size + acc.due >= item.size / 2D)"
-    step = (f"named_struct('due', acc.due + item.x * item.size - IF({take}, item.size, 0), "
-            f"'done', array_append(acc.done, {_item('item', f'IF({take}, 1D, 0D)')}))")
-    start = f"named_struct('due', 0D, 'done', CAST(array() AS ARRAY<{_ITEM}>))"
-    return f"aggregate({items}, {start}, (acc, item) -> {step}, acc -> acc.done)"
-
-
 def round_shares(items: DataFrame, seed: int = 42, fan_in: int = FAN_IN) -> DataFrame:
     """``source``, ``doc_id``, ``size`` and ``extra`` (0 or 1) for items with a fractional share ``x``.
 
     Pivotal dependent rounding. Two open items of a source meet, and words move at random from one to the
     other until one of them is taken whole or not at all; the chances are such that no item's expectation
     changes, and the words of the two together stay the same. Nodes of a tree do this for about ``fan_in``
-    items each, longest first, and hand one open item up; the next level pairs those.
-
-    The items of one lowest node wait for the root, where they and the last open items are rounded longest
-    first, each to the side that keeps the running total nearer. So a source ends about half a short document
-    from its target, not half a long one. A source that fits one node is rounded in that way altogether.
+    items each, longest first, and hand one open item up; the next level pairs those. The last open item of a
+    source, as a rule a short one, is taken with the chance that its share has come to. A source's words so miss
+    their target by that item at most.
 
     An item's node depends on a hash of its id, so reruns agree and no source is too large: it has nodes in
     proportion to its items. Each level is stored, and has about 1 / ``fan_in`` of the rows of the one below.
@@ -108,37 +110,26 @@ def round_shares(items: DataFrame, seed: int = 42, fan_in: int = FAN_IN) -> Data
     is_open = "x > 0 AND x < 1 AND size > 0"
     done = [items.where(f"NOT ({is_open})").selectExpr(
         "source", "doc_id", "size", "CAST(IF(x >= 1, 1, 0) AS INT) AS extra")]
-
-    def decided(rows: DataFrame, array: str) -> DataFrame:
-        return rows.select("source", F.explode(array).alias("i")).selectExpr(
-            "source", "i.id AS doc_id", "i.size AS size", "CAST(i.x AS INT) AS extra")
-
-    def grouped(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy("source", *keys).agg(F.expr(
-            "sort_array(collect_list(named_struct('size', size, 'id', doc_id, 'x', x, 'u', u)), false)").alias("items"))
-
     open_items = keep(items.where(is_open).selectExpr("source", "doc_id", "size", "x", f"{_uniform(seed, 0)} AS u"),
                       "mix-open")
-    waiting, level = None, 0
-    while True:
+    level, last = 0, False
+    while not last:
         counts = keep(open_items.groupBy("source").agg(
             F.expr(f"CAST(ceil(count(*) / {fan_in}) AS BIGINT)").alias("nodes")).withColumnRenamed("source", "of"),
             "mix-nodes")
-        if waiting is not None and (counts.agg(F.max("nodes")).first()[0] or 0) <= 1:
-            break
+        last = (counts.agg(F.max("nodes")).first()[0] or 0) <= 1
         placed = open_items.join(counts, F.expr("source <=> of")).selectExpr(
             "source", "doc_id", "size", "x", "u", f"pmod(xxhash64(doc_id, size, {seed + level}), nodes) AS node")
-        if waiting is None:
-            waiting, placed = placed.where("node = 0").drop("node"), placed.where("node > 0")
+        items_of = F.expr("sort_array(collect_list(named_struct('size', size, 'id', doc_id, 'x', x, 'u', u)), false)").alias("items")
+        folded = keep(placed.groupBy("source", "node").agg(items_of).select("source", F.expr(_pivot("items")).alias("r")),
+                      f"mix-level-{level}")
         level += 1
-        folded = keep(grouped(placed, "node").select("source", F.expr(_pivot("items")).alias("r")), f"mix-level-{level}")
-        done.append(decided(folded, "r.done"))
+        done.append(folded.select("source", F.explode("r.done").alias("i")).selectExpr(
+            "source", "i.id AS doc_id", "i.size AS size", "CAST(i.x AS INT) AS extra"))
         open_items = folded.where("r.open IS NOT NULL").selectExpr(
             "source", "r.open.id AS doc_id", "r.open.size AS size", "r.open.x AS x",
             f"{_uniform(seed, level, 'r.open.id', 'r.open.size')} AS u")
-
-    root = grouped(open_items.unionByName(waiting)).select("source", F.expr(_settle("items")).alias("done"))
-    done.append(decided(root, "done"))
+    done.append(open_items.selectExpr("source", "doc_id", "size", "CAST(u < x AS INT) AS extra"))
     return reduce(DataFrame.unionByName, done)
 
 

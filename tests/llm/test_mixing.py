@@ -90,3 +90,25 @@ def test_edge_rows_keep_their_columns(edges):
 def test_nothing_and_nothing_but_empty_texts(docs):
     assert _mixed(docs()) == []
     assert [(r.taken, r.target) for r in _mixed(docs((1, "", "a"), (2, None, None)))] == [(0, 0.0), (0, 0.0)]
+
+
+def test_every_share_is_its_expectation_whatever_the_size_of_the_source(spark):
+    """Over 200 seeds each item of sources of 2, 40 and 4,000 items is taken as often as its share says."""
+    items = (spark.range(4042).selectExpr("id", "CASE WHEN id < 2 THEN 'a' WHEN id < 42 THEN 'b' ELSE 'c' END AS source")
+             .selectExpr("source", "struct(id AS id, id AS size) AS doc_id", "id % 7 * 20 + 5 AS size", "(1 + id % 9) / 10D AS x"))
+    # Seeds are told apart by a source of their own, so that one run rounds for all of them.
+    many = items.crossJoin(spark.range(200).withColumnRenamed("id", "seed")).selectExpr(
+        "concat(source, '-', seed) AS source", "struct(doc_id.id * 1000 + seed AS id, doc_id.id AS size) AS doc_id", "size", "x")
+    found = mixing.round_shares(many.where("source NOT LIKE 'c%' OR CAST(split(source, '-')[1] AS INT) < 40")).selectExpr(
+        "left(source, 1) AS s", "doc_id.size AS id", "extra", "size")
+    rates = found.groupBy("s", "id").agg({"extra": "avg", "*": "count"}).collect()
+    for r in rates:
+        share, n = (1 + r["id"] % 9) / 10, r["count(1)"]
+        assert abs(r["avg(extra)"] - share) < 5.2 * (share * (1 - share) / n) ** 0.5 + 1e-9, r
+
+
+def test_sources_are_ranked_over_many_parts(spark):
+    names = [f"host{i:05d}" for i in range(3000)] + [None]
+    df = spark.createDataFrame([(n, 10) for n in reversed(names)], "source string, source_size long").repartition(5)
+    got = {r.source: r.place for r in mixing.ranked(df).collect()}
+    assert [got[n] for n in names] == list(range(3001))
