@@ -30,7 +30,7 @@ SLOTS = 1 << 24
 # Bounds of what a task holds: words looked at together, rows before they are summed, words remembered.
 _WINDOW = 1 << 19
 _ROWS = 1 << 20
-_REMEMBERED = 1 << 21
+_REMEMBERED = 1 << 20
 _CHUNK = 1 << 18
 _NEVER = 255
 
@@ -60,11 +60,15 @@ def _mixed(before: np.ndarray | None, word: np.ndarray) -> np.ndarray:
     return (value ^ value >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def _slots(columns: list[np.ndarray], slots: int) -> np.ndarray:
+def _value(columns: list[np.ndarray]) -> np.ndarray:
     value = None
     for column in columns:
         value = _mixed(value, column)
-    return (value >> np.uint64(64 - slots.bit_length() + 1)).astype(np.int64)
+    return value
+
+
+def _slot(value: np.ndarray, slots: int) -> np.ndarray:
+    return (value >> np.uint64(65 - slots.bit_length())).astype(np.int64)
 
 
 def _tokens(lang: str, text: str, known: dict, hashes: array, names: list) -> np.ndarray:
@@ -79,13 +83,13 @@ def _tokens(lang: str, text: str, known: dict, hashes: array, names: list) -> np
 class _Scan:
     """What one task counts of a shard."""
 
-    def __init__(self, step: int, shards: int, most: int, least: int, slots: int, reached: list[np.ndarray]):
-        self.step, self.shards, self.most, self.least, self.slots = step, shards, most, least, slots
+    def __init__(self, step: int, shards: int, most: int, least: int, slots: int, parts: int, reached: list[np.ndarray]):
+        self.step, self.shards, self.most, self.least, self.slots, self.parts = step, shards, most, least, slots, parts
         self.reached = reached
         self.counters = [np.zeros(slots, np.uint16) for _ in range(most)]
-        self.forget()
-        self.found: list[list[list[np.ndarray]]] = [[] for _ in range(most + 1)]
+        self.found: list[list[np.ndarray]] = [[] for _ in range(most + 1)]
         self.held = 0
+        self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, _Words] = {}
@@ -100,7 +104,7 @@ class _Scan:
                 yield from self.flush()
 
     def _window(self, ids: np.ndarray, own: int, hashes: np.ndarray) -> None:
-        """Count the active phrases that start at the first ``own`` places."""
+        """Note the active phrases that start at the first ``own`` places."""
         if self.step < self.shards:
             times = np.bincount(ids[:own], minlength=len(hashes))
             times[:len(self.times)] += self.times
@@ -108,92 +112,116 @@ class _Scan:
         words, is_word = hashes[ids], ids > 0
         whole, mixed = is_word, _mixed(None, words)
         for k in range(2, self.most + 1):
-            shorter = np.where(whole, self.reached[k - 2][(mixed >> np.uint64(64 - self.slots.bit_length() + 1)).astype(np.int64)], _NEVER)
+            shorter = np.where(whole, self.reached[k - 2][_slot(mixed, self.slots)], _NEVER)
             if len(shorter) < 2 or shorter.min() == _NEVER:
                 return
-            since = np.maximum(shorter[:-1], shorter[1:]).astype(np.int64)
+            since = np.maximum(shorter[:-1], shorter[1:]).astype(np.int16)
             whole = whole[:-1] & is_word[k - 1:]
             active = whole & (since < self.step) & (self.step <= since + self.shards)
             at = np.flatnonzero(active[:own])
             if len(at):
-                self.found[k].append([words[at + j] for j in range(k)])
+                self.found[k].append(np.stack([ids[at + j] for j in range(k)]).astype(np.int32))
                 self.held += len(at)
             mixed = _mixed(mixed[:-1], words[k - 1:])
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        """The counts so far as rows, one per phrase."""
+        """The counts so far: a row per size and part, phrases as the hashes of their words."""
+        hashes = np.array(self.hashes)
         at = np.flatnonzero(self.times)
         at = at[at > 0]
         if len(at):
-            words = np.array(self.hashes)[at]
-            names = [self.names[i] for i in at.tolist()]
-            yield self._rows([words], self.times[at], [n[0] for n in names], [n[1].decode() for n in names])
-        self.times = np.zeros(len(self.hashes), np.int64)
+            langs = sorted({self.names[i][0] for i in at.tolist()})
+            number = {lang: i for i, lang in enumerate(langs)}
+            of = np.array([number[self.names[i][0]] for i in at.tolist()])
+            for lang, n in zip(langs, np.bincount(of, self.times[at]).astype(np.int64).tolist(), strict=True):
+                yield _row(size=0, n=n, langs=[lang])
+            words = [self.names[i][1] for i in at.tolist()]
+            yield from self._blocks([hashes[at]], self.times[at], of, words, langs)
+        self.times = np.zeros(len(hashes), np.int64)
         for k in range(2, self.most + 1):
-            if not self.found[k]:
-                continue
-            columns = [np.concatenate([part[j] for part in self.found[k]]) for j in range(k)]
-            self.found[k] = []
-            order = np.lexsort(columns[::-1])
-            columns = [c[order] for c in columns]
-            first = np.flatnonzero(np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])])
-            yield self._rows([c[first] for c in columns], np.diff(np.r_[first, len(order)]))
+            if self.found[k]:
+                ids, times = _counted(np.concatenate(self.found[k], axis=1), len(hashes))
+                self.found[k] = []
+                yield from self._blocks([hashes[column] for column in ids], times)
         self.held = 0
 
-    def _rows(self, columns: list[np.ndarray], times: np.ndarray, langs: list | None = None,
-              words: list | None = None) -> pa.RecordBatch:
+    def _blocks(self, columns: list[np.ndarray], times: np.ndarray, of: np.ndarray | None = None,
+                words: list[bytes] | None = None, langs: list[str] | None = None) -> Iterator[pa.RecordBatch]:
+        value = _value(columns)
         counter = self.counters[len(columns) - 1]
-        np.add.at(counter, _slots(columns, self.slots), np.minimum(times, self.least).astype(np.uint16))
+        np.add.at(counter, _slot(value, self.slots), np.minimum(times, self.least).astype(np.uint16))
         np.minimum(counter, self.least, out=counter)
-        n = len(times)
-        padded = [pa.array(c) for c in columns] + [pa.nulls(n, pa.int64())] * (self.most - len(columns))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()) if langs else pa.nulls(n, pa.string()),
-             pa.array(words, pa.string()) if words else pa.nulls(n, pa.string()), *padded,
-             pa.array(times.astype(np.int64)), pa.array(np.full(n, len(columns), np.int32)),
-             pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], _names(self.most))
+        part = (value % np.uint64(self.parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        cuts = np.r_[0, np.flatnonzero(np.diff(part[order])) + 1, len(order)]
+        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            at = order[first:last]
+            held = [c[at] for c in (*columns, times, *([] if of is None else [of]))]
+            yield _row(size=len(columns), part=int(part[at[0]]), n=len(at), payload=_packed(*held), langs=langs,
+                       names=None if words is None else _squeezed(b"\n".join([words[i] for i in at.tolist()])))
 
     def totals(self) -> Iterator[pa.RecordBatch]:
         """The counters, in compressed chunks; a chunk of zeros is left out."""
         for k, counter in enumerate(self.counters, 1):
             for chunk, values in enumerate(counter.reshape(-1, min(_CHUNK, self.slots)).astype(np.uint8)):
                 if values.any():
-                    packed = pa.compress(values.tobytes(), "zstd", asbytes=True)
-                    yield pa.RecordBatch.from_pylist([{"size": k, "chunk": chunk, "counts": packed}], _schema(self.most))
+                    yield _row(size=k, chunk=chunk, payload=_squeezed(values.tobytes()))
+
+
+def _counted(ids: np.ndarray, numbers: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different columns of ``ids``, sorted, and how often each occurs."""
+    k, width = len(ids), max(1, (numbers - 1).bit_length())
+    if k * width > 63:
+        order = np.lexsort(ids[::-1])
+        ids = ids[:, order]
+        first = np.flatnonzero(np.r_[True, (ids[:, 1:] != ids[:, :-1]).any(axis=0)])
+        return ids[:, first], np.diff(np.r_[first, ids.shape[1]])
+    packed = np.zeros(ids.shape[1], np.int64)
+    for column in ids:
+        packed = packed << width | column
+    packed, times = np.unique(packed, return_counts=True)
+    return np.stack([packed >> width * (k - 1 - j) & (1 << width) - 1 for j in range(k)]), times
+
+
+_ROW = pa.schema([("size", pa.int32()), ("part", pa.int32()), ("chunk", pa.int32()), ("n", pa.int64()),
+                  ("payload", pa.binary()), ("names", pa.binary()), ("langs", pa.list_(pa.string()))])
+_DDL = "size int, part int, chunk int, n long, payload binary, names binary, langs array<string>"
+
 
+def _row(**values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([values], _ROW)
 
-def _names(most: int) -> list[str]:
-    return ["lang", "word", *[f"x{j}" for j in range(1, most + 1)], "times", "size", "chunk", "counts"]
 
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
-def _schema(most: int) -> pa.Schema:
-    kinds = [pa.string(), pa.string(), *[pa.int64()] * most, pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    return pa.schema(list(zip(_names(most), kinds, strict=True)))
 
+def _loosened(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
 
-def _ddl(most: int) -> str:
-    return ("lang string, word string, " + "".join(f"x{j} long, " for j in range(1, most + 1))
-            + "times long, size int, chunk int, counts binary")
 
+def _packed(*columns: np.ndarray) -> bytes:
+    return _squeezed(b"".join([c.astype(np.int64).tobytes() for c in columns]))
 
-_MERGED = pa.schema([("size", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary()), ("full", pa.binary())])
 
+def _columns(payload: bytes, n: int) -> list[np.ndarray]:
+    return list(np.frombuffer(_loosened(payload), np.int64).reshape(-1, n))
 
-def _merge(batches: Iterator[pa.RecordBatch], least: int, width: int) -> Iterator[pa.RecordBatch]:
-    """Chunks of counters with the same place summed, up to the threshold."""
+
+def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Chunks of counters with the same place summed, up to the threshold, with a bit for each that has reached it."""
     sums: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
         for row in batch.to_pylist():
-            values = np.frombuffer(pa.decompress(row["counts"], width, "zstd", asbytes=True), np.uint8)
+            values = np.frombuffer(_loosened(row["payload"]), np.uint8)
             at = row["size"], row["chunk"]
             sums[at] = np.minimum(sums[at] + values, least) if at in sums else values
     for (size, chunk), values in sums.items():
-        yield pa.RecordBatch.from_pylist([{
-            "size": size, "chunk": chunk, "counts": pa.compress(values.tobytes(), "zstd", asbytes=True),
-            "full": np.packbits(values >= least).tobytes()}], _MERGED)
+        yield _row(size=size, chunk=chunk, payload=_squeezed(values.tobytes()), names=np.packbits(values >= least).tobytes())
 
 
-def _count(docs: DataFrame, least: int, most: int, shards: int, slots: int) -> tuple[DataFrame, list[np.ndarray]]:
+def _count(docs: DataFrame, least: int, most: int, shards: int, slots: int,
+           parts: int) -> tuple[DataFrame, list[np.ndarray]]:
     """Stored partial counts of all phrases that were active, and the counters that reached the threshold."""
     spark = docs.sparkSession
     width = min(_CHUNK, slots)
@@ -203,11 +231,11 @@ def _count(docs: DataFrame, least: int, most: int, shards: int, slots: int) -> t
     step = 0
     # Words are counted in the first cycle, longer phrases up to a cycle after the last that made one active.
     while step < shards or any(step <= at + shards for at in last[:-1]):
-        shared = spark.sparkContext.broadcast([pa.compress(of.tobytes(), "zstd", asbytes=True) for of in reached[:-1]])
+        shared = spark.sparkContext.broadcast([_squeezed(of.tobytes()) for of in reached[:-1]])
 
         def scan(batches: Iterator[pa.RecordBatch], step: int = step, shared=shared) -> Iterator[pa.RecordBatch]:
-            active = [np.frombuffer(pa.decompress(of, slots, "zstd", asbytes=True), np.uint8) for of in shared.value]
-            task, waiting, held = _Scan(step, shards, most, least, slots, active), [], 0
+            active = [np.frombuffer(_loosened(of), np.uint8) for of in shared.value]
+            task, waiting, held = _Scan(step, shards, most, least, slots, parts, active), [], 0
             for batch in batches:
                 for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
                     waiting.append(_tokens(lang.as_py(), text.as_py(), task.known, task.hashes, task.names))
@@ -224,18 +252,17 @@ def _count(docs: DataFrame, least: int, most: int, shards: int, slots: int) -> t
             yield from task.totals()
 
         shard = docs.where(F.pmod(F.xxhash64("lang", "text"), F.lit(shards)) == step % shards)
-        rows = keep(shard.mapInArrow(scan, _ddl(most)), f"phrase-counts-{step}")
+        rows = keep(shard.mapInArrow(scan, _DDL), f"phrase-counts-{step}")
         counted = rows if counted is None else counted.unionByName(rows)
-        chunks = rows.where("chunk IS NOT NULL").select("size", "chunk", "counts")
+        chunks = rows.where("chunk IS NOT NULL")
         if counters is not None:
-            chunks = chunks.unionByName(counters.select("size", "chunk", "counts"))
-        counters = keep(chunks.repartition("size", "chunk").mapInArrow(
-            lambda batches: _merge(batches, least, width), "size int, chunk int, counts binary, full binary"),
-            f"phrase-counters-{step}")
+            chunks = chunks.unionByName(counters)
+        counters = keep(chunks.repartition("size", "chunk").mapInArrow(lambda batches: _merge(batches, least), _DDL),
+                        f"phrase-counters-{step}")
         # One bit per counter comes to the driver, whatever the input.
-        for row in counters.select("size", "chunk", "full").collect():
+        for row in counters.select("size", "chunk", "names").collect():
             part = reached[row["size"] - 1][row["chunk"] * width:(row["chunk"] + 1) * width]
-            now = np.unpackbits(np.frombuffer(row["full"], np.uint8))[:width].astype(bool) & (part == _NEVER)
+            now = np.unpackbits(np.frombuffer(row["names"], np.uint8))[:width].astype(bool) & (part == _NEVER)
             if now.any():
                 part[now] = step
                 last[row["size"] - 1] = step
@@ -244,23 +271,61 @@ def _count(docs: DataFrame, least: int, most: int, shards: int, slots: int) -> t
     return counted, reached
 
 
-def _possible(counted: DataFrame, reached: list[np.ndarray], most: int, slots: int) -> DataFrame:
-    """The counts of phrases whose counter reached the threshold; all others are below it."""
-    bits = counted.sparkSession.sparkContext.broadcast([np.packbits(of != _NEVER) for of in reached])
+def _added(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Phrases with their counts, from blocks in the order of size and part; those below the threshold are left out."""
+    at, columns, names, langs = None, [], [], []
+
+    def rows() -> pa.RecordBatch | None:
+        size = at[0]
+        merged = [np.concatenate(c) for c in zip(*[c[:size + 1] for c in columns], strict=True)]
+        order = np.lexsort(merged[size - 1::-1])
+        merged = [c[order] for c in merged]
+        first = np.flatnonzero(np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in merged[:size]])])
+        times = np.add.reduceat(merged[size], first)
+        kept = np.flatnonzero(times >= least)
+        n = len(kept)
+        out = [pa.array(c[first[kept]]) for c in merged[:size]] + [pa.nulls(n, pa.int64())] * (most - size)
+        text = [names[i] for i in order[first[kept]].tolist()] if size == 1 else [None] * n
+        of = [langs[i] for i in order[first[kept]].tolist()] if size == 1 else [None] * n
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, size, np.int32)), pa.array(of, pa.string()), pa.array(text, pa.string()), *out, pa.array(times[kept])],
+            ["size", "lang", "word", *[f"x{j}" for j in range(1, most + 1)], "a"])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if at != (row["size"], row["part"]):
+                if columns:
+                    yield rows()
+                at, columns, names, langs = (row["size"], row["part"]), [], [], []
+            columns.append(_columns(row["payload"], row["n"]))
+            if row["size"] == 1:
+                names += _loosened(row["names"]).decode().split("\n")
+                langs += [row["langs"][i] for i in columns[-1][2].tolist()]
+    if columns:
+        yield rows()
+
+
+def _possible(batches: Iterator[pa.RecordBatch], bits: list[np.ndarray], slots: int) -> Iterator[pa.RecordBatch]:
+    """Blocks without the phrases whose counter stayed below the threshold: they are below it, too."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            columns = _columns(row["payload"], row["n"])
+            slot = _slot(_value(columns[:row["size"]]), slots)
+            at = np.flatnonzero(bits[row["size"] - 1][slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1)
+            if len(at):
+                if row["size"] == 1:
+                    names = _loosened(row["names"]).split(b"\n")
+                    row["names"] = _squeezed(b"\n".join([names[i] for i in at.tolist()]))
+                yield _row(**{**row, "n": len(at), "payload": _packed(*[c[at] for c in columns])})
 
-    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = batch.column("size").to_numpy()
-            for k in range(1, most + 1):
-                part = batch.filter(pa.array(sizes == k)) if (sizes == k).any() else None
-                if part is None:
-                    continue
-                at = _slots([part.column(f"x{j}").to_numpy() for j in range(1, k + 1)], slots)
-                yield part.filter(pa.array((bits.value[k - 1][at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
 
-    columns = [c for c in _names(most) if c not in ("chunk", "counts")]
-    ddl = ", ".join(f"{c} {dict(counted.dtypes)[c]}" for c in columns)
-    return counted.where("chunk IS NULL").select(*columns).mapInArrow(prune, ddl)
+def _frequent(counted: DataFrame, reached: list[np.ndarray], most: int, least: int, slots: int, parts: int) -> DataFrame:
+    """Stored: size, lang and word of single words, x1, x2, ..., and ``a`` of all phrases at or above the threshold."""
+    bits = counted.sparkSession.sparkContext.broadcast([np.packbits(of != _NEVER) for of in reached])
+    possible = counted.where("size > 0 AND chunk IS NULL").mapInArrow(lambda b: _possible(b, bits.value, slots), _DDL)
+    dealt = possible.repartition(parts, "part").sortWithinPartitions("size", "part")
+    ddl = "size int, lang string, word string, " + "".join(f"x{j} long, " for j in range(1, most + 1)) + "a long"
+    return keep(dealt.mapInArrow(lambda b: _added(b, most, least), ddl), "phrase-frequent")
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = MIN_COUNT,
@@ -277,8 +342,9 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     A null text counts as empty, a null language as ``und``; other columns are ignored, repeated rows count each
     time, an empty table gives an empty result. Very long texts are counted window by window.
 
-    Tasks ship sums, not places, and a phrase takes numbers of its words instead of text. Only counters and marks
-    of a fixed size (``slots`` bytes per length) are broadcast or come to the driver. All counts are exact.
+    Tasks ship sums, not places, and a phrase takes hashes of its words instead of text. Sums travel in blocks, dealt
+    over as many parts as a shuffle has partitions. Only counters and marks of a fixed size (``slots`` bytes per
+    length) are broadcast or come to the driver. All counts are exact; words of equal hash fail the job.
     """
     if most < 2 or least < 1 or least > 250 or slots & (slots - 1) or slots < 8:
         raise ValueError("two words at least, a threshold of 1 to 250, and a power of two of 8 or more as slots")
@@ -286,23 +352,22 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
         raise ValueError("too many shards")
     ship(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), text_of(text).alias("text"))
-    counted, reached = _count(rows, least, most, shards, slots)
-    totals = counted.where("size = 1 AND chunk IS NULL").groupBy("lang").agg(F.sum("times").alias("n"))
-    possible = keep(_possible(counted, reached, most, slots), "phrase-possible")
-    words = keep(possible.where("size = 1").groupBy("lang", "word", "x1").agg(F.sum("times").alias("f"))
-                 .where(F.col("f") >= least), "phrase-words")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted, reached = _count(rows, least, most, shards, slots, parts)
+    totals = counted.where("size = 0").select(F.col("langs")[0].alias("lang"), "n").groupBy("lang").agg(F.sum("n").alias("n"))
+    frequent = _frequent(counted, reached, most, least, slots, parts)
+    words = frequent.where("size = 1").select("lang", "word", "x1", F.col("a").alias("f"))
     if not words.groupBy("x1").count().where("count > 1").isEmpty():
         raise ValueError("two words have the same number")
     xs = [f"x{j}" for j in range(1, most + 1)]
-    grams = keep(possible.where("size > 1").groupBy("size", *xs).agg(F.sum("times").alias("a"))
-                 .where(F.col("a") >= least), "phrase-candidates")
+    grams = frequent.where("size > 1").select("size", *xs, "a")
 
     def frequency(of: list[str], label: str) -> DataFrame:
         """Counts of phrases as long as ``of``, with columns to join those of a candidate by."""
         table = words.withColumnRenamed("f", "a") if len(of) == 1 else grams.where(F.col("size") == len(of))
         return table.select(*[F.col(f"x{j}").alias(c) for j, c in enumerate(of, 1)], F.col("a").alias(label))
 
-    parts = []
+    scores = []
     for k in range(2, most + 1):
         rows = grams.where(F.col("size") == k)
         for cut in range(1, k):
@@ -310,7 +375,7 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
         wide = lambda c: f"CAST({c} AS DECIMAL(13,0))"  # noqa: E731  a million squares of it fit 38 digits
         scored = [f"named_struct('score', CAST(1000000 AS DECIMAL(7,0)) * {wide('a')} * {wide('a')} div "
                   f"({wide(f'l{cut}')} * {wide(f'r{cut}')}), 'cut', {cut}, 'l', l{cut}, 'r', r{cut})" for cut in range(1, k)]
-        parts.append(rows.withColumn("best", F.expr(f"array_min(array({', '.join(scored)}))"))
+        scores.append(rows.withColumn("best", F.expr(f"array_min(array({', '.join(scored)}))"))
                      .select("size", *xs, "a", "best.score", "best.l", "best.r"))
         if k < most:
             inner = [F.struct(*[F.col(xs[at + j]) for j in range(k)]) for longer in range(k + 1, most + 1)
@@ -321,10 +386,10 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
                 for size, part in zip(sizes, inner, strict=True)])).alias("y")).where("y IS NOT NULL")
             around = (around.select("a", *[F.col(f"y.y{j}").alias(xs[j]) for j in range(k)])
                       .groupBy(*xs[:k]).agg(F.max("a").alias("__around")))
-            parts[-1] = (parts[-1].join(around, xs[:k], "left")
+            scores[-1] = (scores[-1].join(around, xs[:k], "left")
                          .where(f"__around IS NULL OR 100 * __around < {covered} * a").drop("__around"))
-    left = parts[0]
-    for part in parts[1:]:
+    left = scores[0]
+    for part in scores[1:]:
         left = left.unionByName(part)
     for j, x in enumerate(xs, 1):
         names = words.select(F.col("x1").alias(f"__{x}"), F.col("word").alias(f"__w{j}"), *([F.col("lang")] if j == 1 else []))
