@@ -75,7 +75,7 @@ counts AS (
   WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY source, line),
 bad AS (
   SELECT c.source, c.line FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
-  WHERE n >= {lines.PAGES} AND n > {lines.RATIO}::DOUBLE * total),
+  WHERE n - 1 > {lines.RATIO}::DOUBLE * (total - 1)),
 marked AS (
   SELECT page, l.line, place, b.line IS NOT NULL AS dropped FROM lines l
   LEFT JOIN bad b ON b.source IS NOT DISTINCT FROM l.source AND b.line = l.line),

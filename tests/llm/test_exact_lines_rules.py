@@ -59,7 +59,7 @@ def test_exact_by_hand(docs, texts):
 
 def test_lines_of_many_pages_go_and_the_rest_stays(docs):
     rows = [(i, f"menu\nown {i}\n\nfooter {i % 2}\nmenu", "a") for i in range(10)] + [(99, "menu\nx", "b"), (100, None, None)]
-    got = {r.doc_id: r for r in lines.drop_boilerplate(docs(*rows), ratio=0.5, pages=3).collect()}
+    got = {r.doc_id: r for r in lines.drop_boilerplate(docs(*rows), ratio=0.5).collect()}
     assert got[4].text == "own 4\n\nfooter 0" and (got[4].n_lines, got[4].n_dropped) == (5, 2)
     assert got[99].text == "menu\nx" and got[99].n_dropped == 0
     assert got[100].text is None and got[100].n_lines == 0
@@ -67,12 +67,24 @@ def test_lines_of_many_pages_go_and_the_rest_stays(docs):
 
 def test_copies_of_a_page_are_one_page(docs):
     rows = [(i, "copied line\nsecond", "a") for i in range(50)] + [(100 + i, f"own {i}", "a") for i in range(5)]
-    got = lines.drop_boilerplate(docs(*rows), ratio=0.1, pages=3)
+    got = lines.drop_boilerplate(docs(*rows), ratio=0.1)
     assert all(r.n_dropped == 0 for r in got.collect())
 
 
+def test_small_sites_lose_what_their_pages_share_and_nothing_else(docs):
+    rows = [(1, "menu\none", "a"), (2, "menu\ntwo", "a"), (3, "menu\nalone", "b"), (4, "menu", None)]
+    got = {r.doc_id: r.text for r in lines.drop_boilerplate(docs(*rows)).collect()}
+    assert got == {1: "one", 2: "two", 3: "menu\nalone", 4: "menu"}
+
+
+def test_a_line_at_the_ratio_stays(docs):
+    rows = [(i, f"own {i}" + "\nmore" * (i < 5) + "\nless" * (i < 6), "a") for i in range(81)]
+    got = {r.doc_id: r.text for r in lines.drop_boilerplate(docs(*rows), ratio=0.05).collect()}  # 4 and 5 of 80 others
+    assert got[0] == "own 0\nmore" and got[5] == "own 5"
+
+
 def test_lines_keep_every_row_and_column(edges):
-    out = lines.drop_boilerplate(edges, ratio=0.0, pages=1)
+    out = lines.drop_boilerplate(edges, ratio=0.0)
     assert set(out.columns) == set(edges.columns) | {"n_lines", "n_dropped"}
     got = out.collect()
     assert len(got) == edges.count() and all(r.site == "extra" for r in got)
