@@ -43,7 +43,7 @@ STAGES = [
     ("packing", packing_sequences),
 ]
 
-# Fingerprints and tokens have no counterpart in SQL; tests compare with a brute-force version.
+# Fingerprints and tokens have no counterpart in SQL; tests/llm/test_pipeline.py compares with plain versions of the stages.
 ORACLE_SQL = None
 
 
