@@ -55,9 +55,12 @@ def highest(existing: DataFrame, sk: str) -> Column:
 _PAGE_BITS, _BOOK_BITS = 16, 24
 
 
-def number_rows(rows: DataFrame, key: str, sk: str, after: Column | int = 0) -> DataFrame:
+def number_rows(rows: DataFrame, key: str, sk: str, after: Column | int = 0, first: str | None = None) -> DataFrame:
     """Add ``sk`` = ``after`` + position of the row in ``key`` order, 1, 2, 3, ... without gaps.
 
+    With ``first``, an integer column of few values without nulls, rows are numbered by it and then by ``key``, which
+    must be unique among rows that agree on it.
+
     ``key`` must be an integer and unique in ``rows``. A global ``row_number`` would sort everything in
     one task. Here rows are numbered inside pages of consecutive keys, and the page starts come from
     running sums over page sizes. As keys are unique, a page holds at most 65,536 rows and a book at
@@ -68,18 +71,20 @@ def number_rows(rows: DataFrame, key: str, sk: str, after: Column | int = 0) ->
     # page sizes share one scan and exchange.
     page = f"coalesce(shiftright(CAST({key} AS BIGINT), {_PAGE_BITS}), 0)"
     earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    lead = [] if first is None else [first]
+    of = "".join(f"{c}, " for c in lead)
     paged = rows.selectExpr("*", f"{page} AS __page")
-    pages = (paged.groupBy("__page").agg(F.count(F.lit(1)).alias("__n"))
+    pages = (paged.groupBy(*lead, "__page").agg(F.count(F.lit(1)).alias("__n"))
              .selectExpr("*", f"shiftright(__page, {_BOOK_BITS}) AS __book")
-             .selectExpr("*", f"coalesce(sum(__n) OVER (PARTITION BY __book ORDER BY __page {earlier}), 0)"
+             .selectExpr("*", f"coalesce(sum(__n) OVER (PARTITION BY {of}__book ORDER BY __page {earlier}), 0)"
                               " AS __in_book"))
-    books = (pages.groupBy("__book").agg(F.sum("__n").alias("__n"))
-             .selectExpr("__book", f"coalesce(sum(__n) OVER (PARTITION BY 0 ORDER BY __book {earlier}), 0)"
-                                   " AS __in_shelf"))
-    starts = pages.join(books, "__book").selectExpr("__page", "__in_book + __in_shelf AS __start")
+    books = (pages.groupBy(*lead, "__book").agg(F.sum("__n").alias("__n"))
+             .selectExpr(*lead, "__book", f"coalesce(sum(__n) OVER (PARTITION BY 0 ORDER BY {of}__book {earlier}), 0)"
+                                          " AS __in_shelf"))
+    starts = pages.join(books, [*lead, "__book"]).selectExpr(*lead, "__page", "__in_book + __in_shelf AS __start")
     after = F.lit(after) if isinstance(after, int) else after
-    return (paged.selectExpr("*", f"row_number() OVER (PARTITION BY __page ORDER BY {key}) AS __place")
-            .join(starts, "__page")
+    return (paged.selectExpr("*", f"row_number() OVER (PARTITION BY {of}__page ORDER BY {key}) AS __place")
+            .join(starts, [*lead, "__page"])
             .select((F.expr("__place + __start") + after).cast("bigint").alias(sk), *rows.columns))
 
 

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from headway.operators import quality
 from headway.operators.dimensions import new_routes
-from headway.operators.history import merge_routes, version_at
+from headway.operators.history import merge_routes, merge_snapshots, version_at, version_at_ordered
 from headway.schemas import BEFORE_ALL
 
 OPEN = datetime(9999, 12, 31)
@@ -108,3 +108,83 @@ def test_any_sequence_of_states_keeps_a_sound_history(spark, stg, core, rows, st
 def test_inserting_only_ignores_changes(stg, core, rows):
     stored = core("dim_route_scd2", _version(1, 1, 10))
     assert rows(new_routes(stg("routes", dict(route_id=1, base_fare=99)), stored, "2024-02-01T00:00:00Z")) == []
+
+
+def _states(stg, *batches):
+    """Staged routes from (batch, day of January, {route: fare})."""
+    return stg("routes", *[dict(batch_id=b, extract_dts=f"2024-01-{day:02d}", route_id=r, route_number="A", base_fare=fare)
+                           for b, day, fares in batches for r, fare in fares.items()])
+
+
+def test_several_snapshots_at_once(stg, core, rows):
+    staged = _states(stg, ("b1", 1, {1: 10, 2: 20}), ("b2", 2, {1: 11, 2: 20, 3: 30}), ("b3", 3, {1: 12}), ("b4", 4, {1: 11, 2: None}))
+    got = merge_snapshots(core("dim_route_scd2"), staged, BEFORE_ALL)
+    day = lambda d: datetime(2024, 1, d)
+    first = datetime(1900, 1, 1)
+    fare = lambda x: None if x is None else Decimal(f"{x}.00")
+    assert rows(got, "route_sk", *COLUMNS, "updated_dts") == [(sk, r, fare(f), a, b, c, u) for sk, r, f, a, b, c, u in [
+        (1, 1, 10, first, day(2), False, day(2)), (2, 2, 20, first, day(4), False, day(4)),
+        (3, 1, 11, day(2), day(3), False, day(3)), (4, 3, 30, first, OPEN, True, day(2)),
+        (5, 1, 12, day(3), day(4), False, day(4)), (6, 1, 11, day(4), OPEN, True, day(4)),
+        (7, 2, None, day(4), OPEN, True, day(4))]]
+    assert rows(merge_snapshots(got, staged, BEFORE_ALL)) == rows(got)
+
+
+def test_snapshots_out_of_order_fail(stg, core):
+    stored = core("dim_route_scd2", _version(1, 1, 10, start="2024-01-05", route_number="A"))
+    with pytest.raises(Exception, match="not newer"):
+        merge_snapshots(stored, _states(stg, ("b", 4, {1: 11}))).collect()
+    with pytest.raises(Exception, match="same time"):
+        merge_snapshots(stored, _states(stg, ("b", 6, {1: 11}), ("c", 6, {1: 12}))).collect()
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.dictionaries(st.integers(1, 4), st.one_of(st.none(), st.integers(1, 2)), max_size=4), min_size=1, max_size=4),
+       st.integers(0, 3), st.booleans())
+def test_snapshots_equal_loads_one_by_one(stg, core, rows, spark, states, cut, backdate):
+    first = BEFORE_ALL if backdate else None
+    batches = [(f"b{i}", i + 1, state) for i, state in enumerate(states)]
+    single = core("dim_route_scd2")
+    for batch in batches:
+        single = merge_routes(single, _states(stg, batch), f"2024-01-{batch[1]:02d}T00:00:00Z", first)
+        single = spark.createDataFrame(single.collect(), single.schema)
+    split = core("dim_route_scd2")
+    for part in (batches[:cut], batches):  # the first states come a second time
+        split = merge_snapshots(split, _states(stg, *part), first)
+        split = spark.createDataFrame(split.collect(), split.schema)
+    assert rows(split) == rows(single)
+    assert rows(quality.overlapping_versions(split), "violations") == [(0,)]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(1, 120), st.integers(1, 60)), max_size=8),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 4)), st.one_of(st.none(), st.integers(1, 200))), max_size=20),
+       st.integers(1, 3))
+def test_versions_by_order_equal_versions_by_join(spark, core, rows, versions, rides, spread):
+    held, until = [], {}
+    for sk, (route, gap, length) in enumerate(versions, 1):
+        start = until.get(route, 0) + gap
+        until[route] = start + length
+        held.append(_version(sk, route, 1, start=f"2024-01-01 00:00:00 +{start}", end=f"2024-01-01 00:00:00 +{start + length}"))
+    day = lambda n: f"timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, {n})"
+    dimension = core("dim_route_scd2").unionByName(spark.sql(" UNION ALL ".join(
+        f"SELECT {v['route_sk']}L AS route_sk, {v['route_id']}L AS route_id, 'A' AS route_number, 'b' AS vehicle_type, "
+        f"CAST(1 AS DECIMAL(10,2)) AS base_fare, {day(v['valid_from_dts'].split('+')[1])} AS valid_from_dts, "
+        f"{day(v['valid_to_dts'].split('+')[1])} AS valid_to_dts, true AS is_current, {day(0)} AS updated_dts" for v in held))) if held else core("dim_route_scd2")
+    made = spark.createDataFrame([(i, r, d) for i, (r, d) in enumerate(rides)], "id INT, route_id BIGINT, d INT").selectExpr(
+        "id", "route_id", "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, d) AS start_time")
+    want = version_at(made, dimension, "start_time")
+    assert rows(version_at_ordered(made, dimension, "start_time", spread), "id", "route_sk") == rows(want, "id", "route_sk")
+
+
+def test_a_route_with_very_many_versions_costs_rows_not_pairs(spark):
+    versions = spark.range(10_000).selectExpr(
+        "id AS route_sk", "1L AS route_id", "timestamp'2000-01-01' + make_interval(0, 0, 0, id) AS valid_from_dts",
+        "timestamp'2000-01-01' + make_interval(0, 0, 0, id + 1) AS valid_to_dts")
+    rides = spark.range(20_000).selectExpr("id", "1L AS route_id", "timestamp'2000-01-01' + make_interval(0, 0, 0, id div 2, 1) AS start_time")
+    found = version_at_ordered(rides, versions, "start_time")
+    assert found.where("route_sk = id div 2").count() == 20_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    # Joins are on route and month, of which each side that is not a row has one row, so no join multiplies rows.
+    assert plan.count("Join") <= 3
