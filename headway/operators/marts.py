@@ -32,6 +32,32 @@ def rides_by_route_version(rides: DataFrame, routes: DataFrame) -> DataFrame:
                    F.avg("base_fare").cast("double").alias("avg_base_fare"))
 
 
+def partial_rides(rides: DataFrame) -> DataFrame:
+    """Counts and sums of rides per route version, date and hour; sums of more rides are sums of these."""
+    return (rides.groupBy("route_sk", F.to_date("start_time").alias("date"), F.hour("start_time").alias("hour"))
+            .agg(F.count(F.lit(1)).alias("trips"), F.count("fare_amount").alias("fares"),
+                 F.sum("fare_amount").cast("decimal(24,2)").alias("fare_sum"),
+                 F.count("duration_s").alias("durations"), F.sum("duration_s").alias("duration_sum")))
+
+
+_SUMS = ("trips", "fares", "fare_sum", "durations", "duration_sum")
+
+
+def add_partials(partials: DataFrame, *by: str) -> DataFrame:
+    """Partial sums added up per route version, date and hour, or per the columns named."""
+    kinds = dict(partials.dtypes)
+    return partials.groupBy(*(by or ("route_sk", "date", "hour"))).agg(
+        *[F.sum(c).cast(kinds[c]).alias(c) for c in _SUMS])
+
+
+def mart_of_partials(partials: DataFrame, shows: DataFrame) -> DataFrame:
+    """The same as `rides_by_route_hour` of the rides summed up; ``shows`` has route_sk and route_number."""
+    summed = add_partials(add_partials(partials).join(shows, "route_sk", "left"), "route_number", "date", "hour")
+    return summed.select("route_number", "date", "hour", F.col("trips").cast("int").alias("trips_count"),
+                         F.expr("CAST(fare_sum / CAST(nullif(fares, 0) AS DECIMAL(12,0)) AS DECIMAL(14,6))").cast("double").alias("avg_fare"),
+                         F.expr("CAST(duration_sum AS DOUBLE) / nullif(durations, 0)").alias("avg_duration_s"))
+
+
 def first_rows(mart: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` mart rows by date, hour and route number: a top-k, not a full sort."""
     return mart.orderBy("date", "hour", "route_number").limit(n)

@@ -333,6 +333,9 @@ _SELECTS = {
     "fact_ride_asof_route": f"{_RIDE} ride_asof",
     "fact_ride_incremental": f"""{_RIDE} ride_current WHERE ride_id NOT IN (
         SELECT ride_id FROM rides WHERE start_time < TIMESTAMP '1998-01-01')""",
+    "fact_ride_asof_ordered": f"{_RIDE} ride_asof",
+    "fact_ride_bucketed_incremental": f"""{_RIDE} ride_current WHERE ride_id NOT IN (
+        SELECT ride_id FROM rides WHERE start_time < TIMESTAMP '1998-01-01')""",
     "fact_ride_rejects": """
         SELECT ride_id, concat_ws(',', CASE WHEN user_sk IS NULL THEN 'user_sk' END,
                                        CASE WHEN route_sk IS NULL THEN 'route_sk' END,
@@ -353,6 +356,13 @@ _SELECTS = {
                {_mean('d.base_fare')} AS avg_base_fare
         FROM ride_asof r LEFT JOIN route_history d ON d.route_sk = r.route_sk
         GROUP BY d.route_number, CAST(r.start_time AS DATE), hour(r.start_time)""",
+    "mart_incremental": f"""
+        SELECT CASE WHEN d.vehicle_type <> 'PROMO' THEN d.route_number END AS route_number,
+               CAST(CAST(r.start_time AS DATE) AS VARCHAR) AS date, CAST(hour(r.start_time) AS INTEGER) AS hour,
+               CAST(count(*) AS INTEGER) AS trips_count, {_mean('r.fare_amount')} AS avg_fare,
+               round(CAST(sum(r.duration_s) AS DOUBLE) / count(r.duration_s), 6) AS avg_duration_s
+        FROM ride_current r JOIN dim_route d ON d.route_sk = r.route_sk
+        GROUP BY 1, CAST(r.start_time AS DATE), hour(r.start_time)""",
     "warehouse_load": _MART,
     "mart_top20": f"{_MART} ORDER BY date, hour, route_number LIMIT 20",
     "movement_by_route_hour": _MOVEMENT,
@@ -407,6 +417,31 @@ _SELECTS = {
                                                 WHEN 'rejected' THEN keyed - good + 2 * lost ELSE good END
         FROM kinds, (SELECT count(id) AS keyed, count(*) FILTER (id IS NULL) AS lost,
                             count(*) FILTER (id IS NOT NULL AND happened IS NOT NULL) AS good FROM broken_positions)""",
+    "dim_route_scd2_snapshots": """
+        SELECT row_number() OVER (ORDER BY no, route_id) AS route_sk, route_id, route_number, vehicle_type,
+               CAST(base_fare AS DOUBLE) AS base_fare, at AS valid_from_dts,
+               strftime(coalesce(next_at, TIMESTAMP '9999-12-31'), '%Y-%m-%d %H:%M:%S') AS valid_to_dts,
+               next_at IS NULL AS is_current, coalesce(next_at, at) AS updated_dts
+        FROM (SELECT *, lead(at) OVER (PARTITION BY route_id ORDER BY no) AS next_at FROM (
+          SELECT *, lag(base_fare) OVER (PARTITION BY route_id ORDER BY no) AS before FROM route_states)
+          WHERE before IS NULL OR before <> base_fare)""",
+    "ledger_load": """
+        SELECT 'fact_ride' AS table_name, kind, CASE kind WHEN 'batches' THEN 3 WHEN 'rejected' THEN 0
+               ELSE (SELECT count(*) FROM single_rides) END AS n FROM steps
+        UNION ALL
+        SELECT 'fact_payment', kind, CASE kind WHEN 'batches' THEN 3 WHEN 'rejected' THEN 0
+               ELSE (SELECT count(*) FROM payments) END FROM steps
+        UNION ALL
+        SELECT 'fact_vehicle_position', kind, CASE kind WHEN 'batches' THEN 3 WHEN 'rejected' THEN 0
+               ELSE (SELECT count(*) FROM positions) END FROM steps""",
+    "stream_late_events": """
+        SELECT epoch, events_in, count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept AND NOT late) AS repeated,
+               count(*) FILTER (late) AS late, 0::BIGINT AS rejected, newest, watermark
+        FROM firsts JOIN marks USING (epoch) GROUP BY epoch, events_in, newest, watermark""",
+    "stream_two_sources_reconciliation": """
+        SELECT kind, CASE kind WHEN 'staged' THEN count(*) WHEN 'loaded' THEN count(*) FILTER (good)
+                     ELSE count(*) FILTER (NOT good) END AS n
+        FROM kinds, (SELECT id IS NOT NULL AND happened IS NOT NULL AS good FROM broken_positions) GROUP BY kind""",
     "rides_by_date_range": f"{_RIDE} ride_current WHERE start_date_sk BETWEEN 19970115 AND 19970314",
 }
 
@@ -422,6 +457,30 @@ broken_positions AS (
          CASE WHEN passengers_estimated % 7 <> 3 THEN event_time END AS happened
   FROM positions)
 """
-_MORE = {"dim_user_scd1": _BATCH, "fact_position_rejects": _BROKEN, "load_reconciliation": _BROKEN}
+_DEALT = """,
+dealt AS (
+  SELECT unnest(CASE WHEN day(ts) <= 8 THEN [0] WHEN day(ts) < 12 THEN [2] WHEN day(ts) < 18 THEN [1]
+                     WHEN day(ts) < 20 THEN [1, 2] WHEN day(ts) = 20 THEN [1, 3] ELSE [3] END) AS epoch, event_id, ts
+  FROM events),
+newest AS (
+  SELECT epoch, count(*) AS events_in, max(max(ts)) OVER (ORDER BY epoch) AS newest FROM dealt GROUP BY epoch),
+marks AS (SELECT *, lag(newest) OVER (ORDER BY epoch) - INTERVAL 2 DAY AS watermark FROM newest),
+judged AS (
+  SELECT d.epoch, coalesce(ts < watermark, false) AS late, event_id FROM dealt d JOIN marks USING (epoch)),
+firsts AS (
+  SELECT *, NOT late AND row_number() OVER (PARTITION BY event_id, late ORDER BY epoch) = 1 AS kept FROM judged)
+"""
+_STATES = """,
+steps AS (SELECT unnest(['batches', 'loaded', 'rejected']) AS kind),
+route_states AS (
+  SELECT 0 AS no, TIMESTAMP '1995-01-01' AS at, * FROM early_routes
+  UNION ALL
+  SELECT no, make_timestamp(1996 + no, 1, 1, 0, 0, 0), route_id, route_number, vehicle_type,
+         CASE WHEN (no IN (2, 3) AND vehicle_type = 'PROMO') OR (no IN (3, 4) AND vehicle_type = 'STANDARD')
+              THEN CAST(base_fare + 5 AS DECIMAL(10,2)) ELSE base_fare END
+  FROM routes, (SELECT unnest([1, 2, 3, 4]) AS no) WHERE no <> 2 OR route_id % 10 <> 3)
+"""
+_MORE = {"dim_route_scd2_snapshots": _STATES, "ledger_load": _STATES, "stream_late_events": _DEALT, "stream_two_sources_reconciliation": _BROKEN,
+         "dim_user_scd1": _BATCH, "fact_position_rejects": _BROKEN, "load_reconciliation": _BROKEN}
 
 ORACLE = {name: _TABLES + _MORE.get(name, "") + select for name, select in _SELECTS.items()}

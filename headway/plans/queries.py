@@ -16,10 +16,12 @@ from pyspark.sql import types as T
 
 from headway.functions.calendar import instant
 from headway.operators import dimensions, facts, history, keys, marts, quality, staging
-from headway.plans.load import load_all
+from headway.plans import mart
+from headway.plans.load import load_all, load_core, load_staging
 from headway.schemas import BEFORE_ALL, CORE, STAGING
 from headway.session import scratch_path, side_by_side, use_utc
 from headway.sources import supplied
+from headway.sources.keystore import KeyStore
 from headway.sources.warehouse import Warehouse
 from headway.streaming import runs
 
@@ -303,6 +305,24 @@ def dim_route_scd2_backdated(spark, sf_dir):
     return history.merge_routes(closed, t.staged("routes"), LOAD, BEFORE_ALL)
 
 
+def _route_states(t: Tables) -> DataFrame:
+    """Four later states of the routes, each a batch: as they are, promo dearer, standard too, promo as before."""
+    kind, fare = F.col("vehicle_type"), F.col("base_fare")
+    dearer = {1: F.lit(False), 2: kind == "PROMO", 3: kind.isin("PROMO", "STANDARD"), 4: kind == "STANDARD"}
+    states = [t.staged("routes").where("route_id % 10 <> 3" if n == 2 else "true")
+              .withColumn("batch_id", F.lit(f"b{n}")).withColumn("extract_dts", instant(f"{1996 + n}-01-01T00:00:00Z"))
+              .withColumn("base_fare", F.when(changed, fare + 5).otherwise(fare).cast("decimal(10,2)"))
+              for n, changed in dearer.items()]
+    return reduce(DataFrame.unionByName, states)
+
+
+@query
+def dim_route_scd2_snapshots(spark, sf_dir):
+    """The early routes, then four states of the routes merged at once; the second lacks every tenth route."""
+    t = Tables(spark, sf_dir)
+    return history.merge_snapshots(t.first_routes(), _route_states(t))
+
+
 @query
 def all_event_times(spark, sf_dir):
     return Tables(spark, sf_dir).times()
@@ -342,6 +362,25 @@ def fact_ride_asof_route(spark, sf_dir):
     return Tables(spark, sf_dir).rides_asof()
 
 
+@query
+def fact_ride_asof_ordered(spark, sf_dir):
+    """The same rides, with versions found by the order of time instead of a join."""
+    t = Tables(spark, sf_dir)
+    side_by_side(t.users, t.vehicles, t.route_history)
+    rides = facts.ride_facts(t.staged("rides"), t.users(), t.vehicles(), t.route_history(), LOAD, route_lookup="asof_ordered")
+    return facts.accepted(rides, "fact_ride")
+
+
+@query
+def fact_ride_bucketed_incremental(spark, sf_dir):
+    """The rides that are new beside a bucketed store of the keys of earlier ones."""
+    t = Tables(spark, sf_dir)
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    store = KeyStore(warehouse, "fact_ride", buckets=8)
+    store.add(_keys_before(t.staged("rides"), "ride_id", "start_time", FACTS_FROM))
+    return facts.accepted(t.all_rides(store.table()), "fact_ride")
+
+
 def _keys_before(staged: DataFrame, key: str, at: str, until: str) -> DataFrame:
     """Keys an earlier load had brought; distinct, so that copies of one key do not meet in a join task."""
     return staged.where(F.col(at) < instant(until)).select(key).distinct()
@@ -415,6 +454,32 @@ def load_reconciliation(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def ledger_load(spark, sf_dir):
+    """Batches, loaded and rejected rows per fact after three staged batches went through two loads of what was unloaded.
+
+    The first batch lacks most users, so its rides and payments wait; the second load takes the other two batches.
+    """
+    raw, t = supplied.raw_tables(spark, sf_dir), Tables(spark, sf_dir)
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    bounds = ["1900-01-01T00:00:00Z", "1997-01-01T00:00:00Z", FACTS_FROM, "2100-01-01T00:00:00Z"]
+    for n, (since, until) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), 1):
+        batch = dict(raw)
+        for name, at in (("rides", "start_time"), ("payments", "created_at")):
+            batch[name] = raw[name].where((F.col(at) >= instant(since)) & (F.col(at) < instant(until)))
+        if n == 1:
+            batch["users"] = raw["users"].join(t.early_users().select("user_id"), "user_id", "left_semi")
+        load_staging(warehouse, batch, f"b{n}", f"2024-02-0{n}T00:00:00Z")
+        if n != 2:
+            load_core(warehouse, f"b{n}", f"2024-02-0{n}T00:00:00Z", unloaded=True)
+    counts = []
+    for name, fact in (("rides", "fact_ride"), ("payments", "fact_payment"), ("vehicle_positions", "fact_vehicle_position")):
+        for kind, rows in (("batches", warehouse.read("stg.loaded").where(F.col("table_name") == name)),
+                           ("loaded", warehouse.read(fact)), ("rejected", warehouse.read(f"{fact}_rejects"))):
+            counts.append(rows.agg(F.count("*").alias("n")).select(F.lit(fact).alias("table_name"), F.lit(kind).alias("kind"), "n"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def rides_by_date_range(spark, sf_dir):
     """Rides of two months out of a written warehouse; the folders of other months are not opened."""
@@ -459,6 +524,25 @@ def mart_rides_by_route_version(spark, sf_dir):
     return _rounded(marts.rides_by_route_version(t.rides_asof(), t.route_history()))
 
 
+@query
+def mart_incremental(spark, sf_dir):
+    """The mart after three loads of rides, the last with a route state that closes versions; kept from partial sums."""
+    t = Tables(spark, sf_dir)
+    rides, routes = t._store("rides", t.rides), t.routes()
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse.replace(routes, "dim_route_scd2")
+    bounds = ["1900-01-01T00:00:00Z", "1997-01-01T00:00:00Z", FACTS_FROM, "2100-01-01T00:00:00Z"]
+    for n, (since, until) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), 1):
+        at = f"2024-02-0{n + 1}T00:00:00Z"
+        mart.announce(warehouse, at)
+        added = rides.where((F.col("start_time") >= instant(since)) & (F.col("start_time") < instant(until)))
+        warehouse.append(added.withColumn("load_dts", instant(at)), "fact_ride")
+        if n == 3:
+            warehouse.replace(history.merge_routes(routes, t.repriced_routes(), at), "dim_route_scd2")
+        mart.refresh(warehouse)
+    return _rounded(warehouse.read("dm_rides_by_route_hour"))
+
+
 @query
 def mart_top20(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -540,6 +624,23 @@ def stream_stage_positions(spark, sf_dir):
     return runs.staged(spark, sf_dir, Tables(spark, sf_dir).vehicles())
 
 
+@query
+def stream_late_events(spark, sf_dir):
+    """What became of the events of each micro-batch, four files out of order and with repeats."""
+    warehouse = runs.accounted(spark, sf_dir, Tables(spark, sf_dir).vehicles())
+    return warehouse.read("stg.stream_account").drop("batch_id")
+
+
+@query
+def stream_two_sources_reconciliation(spark, sf_dir):
+    """Staged, loaded and rejected events of two streams, each with its own checkpoint; some events lost id or time."""
+    warehouse = runs.two_sources(spark, sf_dir, Tables(spark, sf_dir).vehicles(), _without_some_ids_and_times)
+    name = "fact_vehicle_position"
+    counts = [warehouse.read(table).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
+              for kind, table in (("staged", "stg.vehicle_positions"), ("loaded", name), ("rejected", f"{name}_rejects"))]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def stream_movement_by_route_hour(spark, sf_dir):
     return _rounded(runs.movement(spark, sf_dir, Tables(spark, sf_dir).vehicles()))

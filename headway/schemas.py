@@ -101,6 +101,17 @@ STAGING = {t.name: t for t in [
 UNREADABLE = Table("stg", "unreadable", "batch_id STRING, table_name STRING, row_key STRING, "
                    "broken_columns STRING", partition_by=(("batch_id", "batch_id"),))
 
+# The staged batches of each staging table that a load has finished with.
+LEDGER = Table("stg", "loaded", "table_name STRING, batch_id STRING, load_dts TIMESTAMP", ("table_name", "batch_id"),
+               versioned=True)
+
+# What became of the events of every micro-batch, and those that came too late to be loaded.
+ACCOUNT = Table("stg", "stream_account", "batch_id STRING, epoch BIGINT, events_in BIGINT, kept BIGINT, repeated BIGINT, "
+                "late BIGINT, rejected BIGINT, newest TIMESTAMP, watermark TIMESTAMP", ("batch_id",),
+                partition_by=(("batch_id", "batch_id"),))
+LATE = Table("stg", "late_events", "batch_id STRING, event_id STRING, vehicle_id BIGINT, route_number STRING, event_time TIMESTAMP, "
+             "watermark TIMESTAMP", ("batch_id", "event_id"), partition_by=(("batch_id", "batch_id"),))
+
 CORE = {t.name: t for t in [
     Table("core", "dim_date",
           "date_sk INT, date_value DATE, year INT, quarter INT, month INT, day INT, day_of_week INT, "
@@ -163,10 +174,10 @@ CORE = {t.name: t for t in [
           sort_by=("route_number", "event_time")),
 ]}
 
-# Staged rows that are not loaded, with the batch that first had them; rows leave the list when they load.
+# Staged rows that are not loaded, with the batch they were staged in; rows leave the list when they load.
 REJECTS = {t.name: t for t in [
     Table("core", f"{name}_rejects", f"{key} STRING, reason STRING, load_batch STRING", (key,),
-          sort_by=(key,), versioned=True)
+          partition_by=(("load_batch", "load_batch"),), sort_by=(key,))
     for name, key in [("fact_ride", "ride_id"), ("fact_payment", "payment_id"),
                       ("fact_vehicle_position", "event_id")]
 ]}
@@ -177,6 +188,14 @@ MARTS = {t.name: t for t in [
           "avg_duration_s DOUBLE",
           ("route_number", "date", "hour"), partition_by=(("month", "year(date) * 100 + month(date)"),),
           sort_by=("route_number", "date", "hour")),
+    # Counts and sums per load that the mart is made of, the loads not summed up yet, and the numbers last shown.
+    Table("mart", "rides_partial",
+          "route_sk BIGINT, date DATE, hour INT, trips BIGINT, fares BIGINT, fare_sum DECIMAL(24,2), durations BIGINT, "
+          "duration_sum BIGINT, load STRING", ("load", "route_sk", "date", "hour"),
+          partition_by=(("load", "load"), ("month", "year(date) * 100 + month(date)")), sort_by=("date", "route_sk"),
+          versioned=True),
+    Table("mart", "rides_pending", "load_dts TIMESTAMP", ("load_dts",), versioned=True),
+    Table("mart", "rides_shown", "route_sk BIGINT, route_number STRING", ("route_sk",), sort_by=("route_sk",), versioned=True),
     Table("mart", "dm_movement_by_route_hour",
           "route_number STRING, hour_start TIMESTAMP, events_count BIGINT, avg_speed_kmh DOUBLE, avg_passengers DOUBLE",
           ("route_number", "hour_start"),
@@ -184,4 +203,6 @@ MARTS = {t.name: t for t in [
           sort_by=("route_number", "hour_start")),
 ]}
 
-WAREHOUSE = {**{f"stg.{n}": t for n, t in STAGING.items()}, "stg.unreadable": UNREADABLE, **CORE, **REJECTS, **MARTS}
+WAREHOUSE = {**{f"stg.{n}": t for n, t in STAGING.items()}, "stg.unreadable": UNREADABLE, "stg.loaded": LEDGER,
+             "stg.stream_account": ACCOUNT, "stg.late_events": LATE,
+             **CORE, **REJECTS, **MARTS}

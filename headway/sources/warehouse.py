@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,8 +70,15 @@ class Warehouse:
         table, path = WAREHOUSE[name], self.path(name)
         if not self._exists(path):
             return self.spark.createDataFrame([], table.columns)
+        return self._bounded(self._stored(table, path, path), table, from_month, to_month, from_date_sk, to_date_sk)
+
+    def _stored(self, table: Table, base: str, *paths: str) -> DataFrame:
         derived = [f"{part} INT" for part, source in table.partition_by if part != source]
-        stored = self.spark.read.schema(", ".join([table.columns, *derived])).parquet(path)
+        return self.spark.read.schema(", ".join([table.columns, *derived])).option("basePath", base).parquet(*paths)
+
+    @staticmethod
+    def _bounded(stored: DataFrame, table: Table, from_month: int | None, to_month: int | None,
+                 from_date_sk: int | None, to_date_sk: int | None) -> DataFrame:
         month = F.col("month")
         if from_month is not None:
             stored = stored.where(month >= from_month)
@@ -82,6 +90,26 @@ class Warehouse:
             stored = stored.where((month <= to_date_sk // 100) & (F.col(table.cluster_by[0]) <= to_date_sk))
         return stored.select(*table.column_names)
 
+    def batches(self, name: str) -> list[str]:
+        """The batches of a table kept by batch, in order, as its folders name them."""
+        table = WAREHOUSE[name]
+        prefix = f"{table.partition_by[0][0]}="
+        files, location = file_system(self.spark, self.path(name))
+        if not files.exists(location):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(location)]
+        return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+
+    def read_batches(self, name: str, batches: Sequence[str]) -> DataFrame:
+        """The rows of some batches of a table kept by batch. No other folder is listed or opened."""
+        table, path = WAREHOUSE[name], self.path(name)
+        part = table.partition_by[0][0]
+        folders = [f"{path}/{part}={b}" for b in sorted(set(batches))]
+        folders = [f for f in folders if self._exists(f)]
+        if not folders:
+            return self.spark.createDataFrame([], table.columns)
+        return self._stored(table, path, *folders).where(F.col(part).isin(*batches)).select(*table.column_names)
+
     def _laid_out(self, rows: DataFrame, table: Table) -> DataFrame:
         """The rows as they are written: with their partition columns, gathered and sorted for later reads."""
         parts = [part for part, _ in table.partition_by]
@@ -123,6 +151,15 @@ class Warehouse:
         if before and before == self._files(files, folder):
             files.delete(folder, True)
 
+    def replace_batches(self, rows: DataFrame, name: str, batches: Iterable[str]) -> None:
+        """Replace the batches that ``rows`` has rows of, and remove those of ``batches`` that it has none of."""
+        part = WAREHOUSE[name].partition_by[0][0]
+        present = {r[0] for r in rows.select(part).distinct().collect()}
+        self.overwrite_partitions(rows, name)
+        for batch in set(batches) - present:
+            files, folder = file_system(self.spark, f"{self.path(name)}/{part}={batch}")
+            files.delete(folder, True)
+
     @staticmethod
     def _files(files, folder) -> set[str]:
         if not files.exists(folder):

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from datetime import datetime
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.functions.calendar import date_sk
-from headway.operators.facts import position_facts
+from headway.operators.facts import accepted, position_facts
 from headway.operators.keys import stored_among
 from headway.operators.marts import movement_by_route_hour, movement_measures
 from headway.operators.staging import stage
@@ -56,14 +59,28 @@ def movement(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
                     "events_count", "avg_speed_kmh", "avg_passengers"))
 
 
+def _identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query keeps in its checkpoint from its first start on."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"].replace("-", "")
+
+
 def append_facts(events: DataFrame, vehicles: Callable[[], DataFrame], warehouse: Warehouse, load_dts: str,
-                 checkpoint: str, repeats_keep_time: bool = True, movements: bool = False) -> StreamingQuery:
+                 checkpoint: str, repeats_keep_time: bool = True, movements: bool = False,
+                 stream: str | None = None, lateness: str | None = None) -> StreamingQuery:
     """Stage every micro-batch of raw events, run it through the batch fact builder and append the result.
 
-    The batch id is the epoch. A micro-batch is staged first and read back from there, so it is computed once
-    and can be loaded again; a replay overwrites its staged rows. Rows already in the fact are left out, so a
-    batch that is replayed after a failure, whole or in part, adds only what is missing. Events without an id
-    or a time are listed as rejected. Late events are loaded like any other.
+    The batch id is the name of the stream and the epoch. The name is ``stream``, or else the id in the checkpoint,
+    so that streams never touch what others staged or had rejected. A stream that has lost its checkpoint and
+    starts over should keep its name: else what it reads again is staged a second time.
+
+    A micro-batch is staged first and read back from its folder, so it is computed once and can be loaded again; a
+    replay overwrites its staged rows. Rows already in the fact are left out, so a batch that is replayed after a
+    failure, whole or in part, adds only what is missing. Events without an id or a time are listed as rejected.
+    Late events are loaded like any other, unless ``lateness`` bounds how far (e.g. "1 hour") an event may lag behind
+    the newest one of earlier micro-batches: older ones are listed in `stg.late_events` instead. `stg.stream_account`
+    then tells of each micro-batch how many events came in and were kept, repeated, late or rejected, which add up,
+    and the newest event so far, from which the next batch takes its watermark. It is written once, before anything
+    is appended, so a replay leaves it as it is. Late comes before repeated, rejected before both.
 
     The stored event ids are scanned, not shuffled, and only those of the months the batch has events of. That
     rests on a repeated event carrying its first time; set ``repeats_keep_time`` to false where it may not.
@@ -74,14 +91,22 @@ def append_facts(events: DataFrame, vehicles: Callable[[], DataFrame], warehouse
     name = "fact_vehicle_position"
 
     def load(batch: DataFrame, epoch: int) -> None:
-        batch_id = f"{epoch:020d}"
+        batch_id = f"{stream or _identity(warehouse.spark, checkpoint)}-{epoch:020d}"
         warehouse.overwrite_batch(stage(batch, "vehicle_positions", batch_id, load_dts), "stg.vehicle_positions", batch_id)
-        staged = warehouse.read("stg.vehicle_positions").where(F.col("batch_id") == batch_id)
+        staged = warehouse.read_batches("stg.vehicle_positions", [batch_id])
         month = "year({0}(event_time)) * 100 + month({0}(event_time))"
         months = staged.agg(F.expr(month.format("min")), F.expr(month.format("max"))).first()
         stored = warehouse.read(name, *months) if repeats_keep_time else warehouse.read(name)
         known = stored_among(stored, staged, "event_id")
-        append_fact(warehouse, position_facts(staged, vehicles(), load_dts, known), name, batch_id, only_batch=True)
+        timely, account = staged, None
+        if lateness is not None:
+            watermark = _watermark(warehouse, batch_id, epoch, lateness)
+            late = F.col("event_id").isNotNull() & (F.col("event_time") < F.lit(watermark).cast("timestamp"))
+            timely = staged.where(~F.coalesce(late, F.lit(False)))
+            overdue = staged.where(late).withColumn("watermark", F.lit(watermark).cast("timestamp"))
+            warehouse.overwrite_batch(overdue, "stg.late_events", batch_id)
+            account = partial(_enter, warehouse, staged, late, batch_id, epoch, watermark)
+        append_fact(warehouse, position_facts(timely, vehicles(), load_dts, known, ("batch_id",)), name, [batch_id], account)
         if movements and months[0] is not None:
             refresh_movements(warehouse, staged, *months)
 
@@ -90,6 +115,35 @@ def append_facts(events: DataFrame, vehicles: Callable[[], DataFrame], warehouse
             .trigger(availableNow=True).start())
 
 
+def _previous(batch_id: str, epoch: int) -> str:
+    return f"{batch_id.rsplit('-', 1)[0]}-{epoch - 1:020d}"
+
+
+def _watermark(warehouse: Warehouse, batch_id: str, epoch: int, lateness: str) -> datetime | None:
+    """The time before which events of a micro-batch are late; None for the first."""
+    before = warehouse.read_batches("stg.stream_account", [_previous(batch_id, epoch)])
+    row = before.select(F.expr(f"newest - INTERVAL {lateness}").alias("at")).first()
+    return row and row.at
+
+
+def _enter(warehouse: Warehouse, staged: DataFrame, late: Column, batch_id: str, epoch: int, watermark: datetime | None,
+           found: DataFrame) -> None:
+    """Write the account of a micro-batch, unless an attempt before this one has."""
+    table = "stg.stream_account"
+    if batch_id in warehouse.batches(table):
+        return
+    unusable = F.col("event_id").isNull() | F.col("event_time").isNull()
+    before = warehouse.read_batches(table, [_previous(batch_id, epoch)]).agg(F.max("newest").alias("newest")).first()
+    kept = accepted(found, "fact_vehicle_position").count()
+    counts = staged.agg(F.count("*").alias("events_in"), F.count_if(unusable).alias("rejected"), F.count_if(late).alias("late"),
+                        F.max(F.when(~unusable, F.col("event_time"))).alias("__now"))
+    rows = counts.select(
+        F.lit(batch_id).alias("batch_id"), F.lit(epoch).cast("bigint").alias("epoch"), "events_in",
+        F.lit(kept).cast("bigint").alias("kept"), F.expr(f"events_in - {kept} - late - rejected").alias("repeated"), "late",
+        "rejected", F.greatest("__now", F.lit(before.newest).cast("timestamp")).alias("newest"), F.lit(watermark).cast("timestamp").alias("watermark"))
+    warehouse.overwrite_partitions(rows, table)
+
+
 def refresh_movements(warehouse: Warehouse, changed: DataFrame, from_month: int, to_month: int) -> None:
     """Compute the movements of the days that ``changed`` has events of from the whole fact, and replace them."""
     days = changed.select(date_sk(F.col("event_time")).alias("event_date_sk")).where("event_date_sk IS NOT NULL").distinct()

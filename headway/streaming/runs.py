@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.session import DEFAULTS, scratch_path
 from headway.sources import supplied
@@ -47,8 +50,34 @@ def movement(spark: SparkSession, sf_dir: str, vehicles: DataFrame) -> DataFrame
 
 
 def staged(spark: SparkSession, sf_dir: str, vehicles: DataFrame) -> DataFrame:
-    return _loaded(spark, sf_dir, vehicles).read("stg.vehicle_positions")
+    """The staged events, with the epoch as batch: the name of the stream before it is another at every start."""
+    rows = _loaded(spark, sf_dir, vehicles).read("stg.vehicle_positions")
+    return rows.withColumn("batch_id", F.substring_index("batch_id", "-", -1))
 
 
 def facts(spark: SparkSession, sf_dir: str, vehicles: DataFrame) -> DataFrame:
     return _loaded(spark, sf_dir, vehicles).read("fact_vehicle_position")
+
+
+def two_sources(spark: SparkSession, sf_dir: str, vehicles: DataFrame,
+                broken: Callable[[DataFrame], DataFrame]) -> Warehouse:
+    """Two streams, each with its own half of the events and its own checkpoint, into one warehouse."""
+    warehouse = Warehouse(spark, scratch_path(spark, "facts"))
+    events = _events(spark, sf_dir)
+    for n in range(2):
+        half = broken(events.where(F.expr(f"CAST(event_id AS BIGINT) % 2 = {n}")))
+        positions.append_facts(half, lambda: vehicles, warehouse, LOAD, f"{warehouse.root}/progress-{n}").awaitTermination()
+    return warehouse
+
+
+def accounted(spark: SparkSession, sf_dir: str, vehicles: DataFrame) -> Warehouse:
+    """The events in four files that are out of order and overlap, one a micro-batch, with two days of lateness."""
+    warehouse = Warehouse(spark, scratch_path(spark, "facts"))
+    source = supplied.table(spark, sf_dir, "events").withColumn("day", F.dayofmonth("ts"))
+    folder = scratch_path(spark, "events")
+    for days in ("day <= 8", "day BETWEEN 12 AND 20", "day BETWEEN 9 AND 11 OR day BETWEEN 18 AND 19", "day >= 20"):
+        source.where(days).drop("day").coalesce(1).write.mode("append").parquet(folder)
+    events = supplied.as_positions(positions.read_files(spark, folder, supplied.SCHEMAS["events"], max_files=1))
+    positions.append_facts(events, lambda: vehicles, warehouse, LOAD, f"{warehouse.root}/progress",
+                           lateness="2 days").awaitTermination()
+    return warehouse

@@ -6,10 +6,14 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
-from headway.plans.load import load_all, load_core, load_mart, load_staging
+from headway.plans import mart
+from headway.plans.load import _Staged, load_all, load_core, load_mart, load_staging
 from headway.schemas import RAW, WAREHOUSE
 from headway.session import input_bytes, scratch_path, size_shuffles
+from headway.sources import ledger
 from headway.sources.raw import raw_path, raw_root, read_raw
 from headway.sources.warehouse import Warehouse
 
@@ -109,6 +113,9 @@ def test_an_interrupted_fact_append_is_completed(spark, raw, rows, folder):
     broken.append(part, "fact_ride")
     load_core(broken, "b1", DAY1)
     load_mart(broken)
+    by_rides = rows(broken.read("dm_rides_by_route_hour"))
+    mart.refresh(broken)
+    assert rows(broken.read("dm_rides_by_route_hour")) == by_rides
     assert _contents(broken, rows) == _contents(other, rows)
 
 
@@ -149,6 +156,76 @@ def test_one_batch_takes_earlier_rejects_along(spark, raw, rows, folder):
     assert rows(warehouse.read("fact_ride_rejects")) == want
 
 
+def _offered(warehouse, name, fact, key):
+    staged = warehouse.read(f"stg.{name}").selectExpr(f"count(DISTINCT {key}) + count_if({key} IS NULL) AS n").first().n
+    return staged, warehouse.read(fact).count() + warehouse.read(f"{fact}_rejects").count()
+
+
+def test_unloaded_batches_are_loaded_together_and_once(spark, raw, rows, folder):
+    source, root = folder
+    warehouse = Warehouse(spark, root)
+    _write_raw(raw, source)
+    load_staging(warehouse, read_raw(spark, source), "b1", DAY1)
+    load_core(warehouse, "b1", DAY1, unloaded=True)
+    assert rows(warehouse.read("fact_ride"), "ride_id") == [("r1",), ("r2",)]
+    for batch, at, users, rides in (("b2", DAY2, (3,), (("r4", 3), ("r5", 9))), ("b3", "2024-01-13T00:00:00Z", (7,), (("r6", 7),))):
+        _write_raw(raw, source, users=users, rides=rides, fare=20.0 if batch == "b2" else 30.0)
+        load_staging(warehouse, read_raw(spark, source), batch, at)
+    assert ledger.unloaded(warehouse)["rides"] == ["b2", "b3"]
+    load_core(warehouse, "", "2024-01-13T00:00:00Z", unloaded=True, routes="history")
+    assert rows(warehouse.read("fact_ride"), "ride_id") == [("r1",), ("r2",), ("r3",), ("r4",), ("r6",)]
+    assert rows(warehouse.read("fact_ride_rejects")) == [("r5", "user_sk", "b2")]
+    # Both states of the route became versions.
+    assert rows(warehouse.read("dim_route_scd2").where("route_id = 1"), "base_fare", "is_current") == [
+        (Decimal("10.00"), False), (Decimal("20.00"), False), (Decimal("30.00"), True)]
+    assert not any(ledger.unloaded(warehouse).values())
+    mart.refresh(warehouse)
+    before = _contents(warehouse, rows)
+    load_core(warehouse, "", "2024-01-14T00:00:00Z", unloaded=True, routes="history")
+    mart.refresh(warehouse)
+    assert _contents(warehouse, rows) == before
+    # A batch that is staged anew is loaded anew.
+    _write_raw(raw, source, users=(9,), rides=(("r6", 7), ("r7", 7)))
+    load_staging(warehouse, read_raw(spark, source), "b3", "2024-01-13T00:00:00Z")
+    assert ledger.unloaded(warehouse)["rides"] == ["b3"]
+    load_core(warehouse, "", "2024-01-15T00:00:00Z", unloaded=True)
+    assert rows(warehouse.read("fact_ride"), "ride_id") == [("r1",), ("r2",), ("r3",), ("r4",), ("r5",), ("r6",), ("r7",)]
+    with pytest.raises(ValueError, match="either"):
+        load_core(warehouse, "b3", DAY2, unloaded=True, only_batch=True)
+
+
+def test_only_the_folders_of_unloaded_batches_are_read(spark, raw, folder):
+    source, root = folder
+    warehouse = Warehouse(spark, root)
+    _write_raw(raw, source)
+    for batch in ("b1", "b2", "b3"):
+        load_staging(warehouse, read_raw(spark, source), batch, DAY1)
+    ledger.record(warehouse, {"rides": ["b1", "b2"]}, DAY1)
+    chosen = _Staged(warehouse, ledger.unloaded(warehouse)).rows("rides")
+    assert all("batch_id=b3" in f for f in chosen.inputFiles()) and chosen.count() == 3
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan or "PartitionFilters: [(batch_id" in plan
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.permutations(["b1", "b2", "b3"]), st.lists(st.sampled_from(["only", "all", "unloaded"]), min_size=3, max_size=3))
+def test_nothing_staged_is_lost_in_any_order_of_loads(spark, raw, tmp_path_factory, order, ways):
+    source, root = str(tmp_path_factory.mktemp("raw")), str(tmp_path_factory.mktemp("warehouse"))
+    warehouse = Warehouse(spark, root)
+    contents = {"b1": dict(users=(1,), rides=(("r1", 1), (None, 1), ("r3", 7))),
+                "b2": dict(users=(2,), rides=(("r2", 2), (None, 2), ("r3", 7), ("r8", 8))),
+                "b3": dict(users=(7,), rides=(("r9", 9), (None, 7)))}
+    for batch, way in zip(order, ways, strict=True):
+        _write_raw(raw, source, **contents[batch])
+        load_staging(warehouse, read_raw(spark, source), batch, DAY1)
+        load_core(warehouse, batch, DAY1, only_batch=way == "only", unloaded=way == "unloaded")
+        for name, fact, key in (("rides", "fact_ride", "ride_id"), ("payments", "fact_payment", "payment_id")):
+            staged, found = _offered(warehouse, name, fact, key)
+            assert staged == found, (order, ways, batch, name)
+    load_core(warehouse, order[-1], DAY2, only_batch=True)
+    assert _offered(warehouse, "rides", "fact_ride", "ride_id") == (8, 8)
+
+
 def test_only_the_last_versions_stay(spark, core, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path), keep_versions=2)
     for i in range(4):

@@ -65,7 +65,6 @@ def test_hours_come_out_when_closed(spark, feed, rows, tmp_path):
         (datetime(2024, 1, 1, 10), 2), (datetime(2024, 1, 1, 11), 1)]
 
 
-@pytest.mark.parametrize("keep_time", [False, True])
 def _load(spark, folder, warehouse, vehicles, progress, **options):
     events = positions.read_files(spark, folder, SCHEMA, max_files=1)
     positions.append_facts(events, lambda: vehicles, warehouse, "2024-02-01T00:00:00Z", progress, **options).awaitTermination()
@@ -76,11 +75,43 @@ def test_every_streamed_event_is_staged_and_loaded_or_rejected(spark, feed, core
     folder = feed(("a", 1, "2024-01-01 10:00:00", 1.0), (None, 1, "2024-01-01 10:00:00", 1.0), ("b", 1, None, 1.0))
     feed((None, 1, "2024-03-01 10:00:00", 1.0), ("c", 1, "2024-03-01 10:00:00", 1.0), ("late", 1, "2023-12-01 10:00:00", 1.0))
     for progress in ("p1", "p2"):  # everything again after progress was lost
-        _load(spark, folder, warehouse, core("dim_vehicle"), f"{tmp_path}/{progress}")
+        _load(spark, folder, warehouse, core("dim_vehicle"), f"{tmp_path}/{progress}", stream="gps")
         assert rows(warehouse.read("fact_vehicle_position"), "event_id") == [("a",), ("c",), ("late",)]
         assert rows(warehouse.read("fact_vehicle_position_rejects")) == sorted([
-            ("b", "event_time", f"{0:020d}"), (None, "event_id", f"{0:020d}"), (None, "event_id", f"{1:020d}")], key=repr)
-        assert rows(warehouse.read("stg.vehicle_positions").groupBy("batch_id").count()) == [(f"{0:020d}", 3), (f"{1:020d}", 3)]
+            ("b", "event_time", f"gps-{0:020d}"), (None, "event_id", f"gps-{0:020d}"), (None, "event_id", f"gps-{1:020d}")], key=repr)
+        assert rows(warehouse.read("stg.vehicle_positions").groupBy("batch_id").count()) == [(f"gps-{0:020d}", 3), (f"gps-{1:020d}", 3)]
+
+
+def test_streams_with_checkpoints_of_their_own_leave_each_other_alone(spark, feed, core, rows, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    folder = feed(("a", 1, "2024-01-01 10:00:00", 1.0), (None, 1, "2024-01-01 10:00:00", 1.0), ("b", 1, None, 1.0))
+    _load(spark, folder, warehouse, core("dim_vehicle"), f"{tmp_path}/p1")
+    other = str(tmp_path / "other")
+    spark.read.parquet(folder).limit(1).selectExpr(
+        "'c' AS event_id", "vehicle_id", "route_number", "timestamp'2024-01-01 10:00:00' AS event_time", "latitude",
+        "longitude", "speed_kmh", "passengers_estimated").write.parquet(other)
+    _load(spark, other, warehouse, core("dim_vehicle"), f"{tmp_path}/p2")
+    assert rows(warehouse.read("fact_vehicle_position"), "event_id") == [("a",), ("c",)]
+    assert rows(warehouse.read("fact_vehicle_position_rejects"), "event_id", "reason") == sorted(
+        [("b", "event_time"), (None, "event_id")], key=repr)
+    assert warehouse.read("stg.vehicle_positions").count() == 4
+    # A later event brings the missing time, and leaves what has no id on the list.
+    feed(("b", 1, "2024-01-01 11:00:00", 1.0))
+    _load(spark, folder, warehouse, core("dim_vehicle"), f"{tmp_path}/p1")
+    assert rows(warehouse.read("fact_vehicle_position"), "event_id") == [("a",), ("b",), ("c",)]
+    assert rows(warehouse.read("fact_vehicle_position_rejects"), "event_id") == [(None,)]
+
+
+def test_a_micro_batch_lists_its_own_folder(spark, feed, core, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    for day in range(1, 4):
+        folder = feed((f"e{day}", 1, f"2024-01-0{day} 10:00:00", 1.0))
+    _load(spark, folder, warehouse, core("dim_vehicle"), f"{tmp_path}/p", stream="gps")
+    batches = warehouse.batches("stg.vehicle_positions")
+    assert batches == [f"gps-{i:020d}" for i in range(3)]
+    one = warehouse.read_batches("stg.vehicle_positions", batches[1:2])
+    assert len(one.inputFiles()) == 1 and one.count() == 1
+    assert warehouse.read_batches("stg.vehicle_positions", ["none"]).count() == 0
 
 
 def test_movements_count_late_events(spark, feed, core, rows, tmp_path):
@@ -92,6 +123,7 @@ def test_movements_count_late_events(spark, feed, core, rows, tmp_path):
         ("B-1", datetime(2024, 1, 2, 10), 2, 15.0, 1.0), ("B-1", datetime(2024, 1, 5, 10), 1, 20.0, 1.0)]
 
 
+@pytest.mark.parametrize("keep_time", [False, True])
 def test_facts_are_appended_once_even_when_a_batch_is_replayed(spark, feed, core, rows, tmp_path, keep_time):
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
     vehicles = core("dim_vehicle", dict(vehicle_sk=5, vehicle_id=1))
