@@ -102,10 +102,22 @@ def _unpacked(payload: pa.Scalar) -> dict[str, list]:
     return pa.ipc.open_stream(payload.as_buffer()).read_all().to_pydict()
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted different keys of all parts, and their counts added up."""
-    keys, places = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return keys, np.bincount(places, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different values and how often each occurs; ``values`` is sorted in place, the fastest way there is."""
+    values.sort()
+    first = np.flatnonzero(np.diff(values, prepend=values[0] - 1)) if len(values) else np.empty(0, np.int64)
+    return values[first], np.diff(np.r_[first, len(values)])
+
+
+def _grams_of(held: dict[str, list], depth: int, wanted: bool) -> np.ndarray:
+    """The grams of all pieces of a chunk that are held out, or of all that are not."""
+    chosen = [(before, body) for held_out, before, body in zip(held["held_out"], held["before"], held["body"], strict=True)
+              if bool(held_out) == wanted]
+    values, at = np.empty(sum(len(body) for _, body in chosen), np.int64), 0
+    for before, body in chosen:
+        values[at:at + len(body)] = grams(before, body, depth)
+        at += len(body)
+    return values
 
 
 def _asked_words(held: dict[str, list]) -> tuple[np.ndarray, np.ndarray]:
@@ -119,15 +131,12 @@ def _asked_words(held: dict[str, list]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _asked_grams(held: dict[str, list], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    parts, ready = [], []
-    for held_out, before, body in zip(held["held_out"], held["before"], held["body"], strict=True):
-        values = grams(before, body, depth)
-        ready.append((values, np.full(len(values), 0 if held_out else 1)))
-        if sum(len(v) for v, _ in ready) >= PIECE_BYTES:
-            parts, ready = parts + [_merged(ready)], []
-        if len(parts) == 4:
-            parts = [_merged(parts)]
-    return _merged(parts + ready)
+    keys, n = _distinct(_grams_of(held, depth, False))
+    others, _ = _distinct(_grams_of(held, depth, True))
+    every, _ = _distinct(np.concatenate([keys, others]))
+    counts = np.zeros(len(every), np.int64)
+    counts[np.searchsorted(every, keys)] = n
+    return every, counts
 
 
 def _asked(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
@@ -196,6 +205,39 @@ def model(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
             .agg(F.expr("sum(log10(IF(bit = 1, one, 1 - one)))").alias("log10p")))
 
 
+def _sums(pieces: list[tuple[bytes, bytes]], depth: int, keys: np.ndarray, values: np.ndarray) -> list[float]:
+    """The sum of the values of its grams for each piece (bytes before, bytes).
+
+    Grams are sorted with the number of their piece below them, so that each different one is looked up once and in
+    order. Deep contexts leave no room for that number; then every place is looked up.
+    """
+    spare = 63 - 8 * (depth + 1)
+    if spare < 4:
+        return [float(values[np.searchsorted(keys, grams(before, body, depth))].sum()) for before, body in pieces]
+    sums: list[float] = []
+    part: list[np.ndarray] = []
+    held = 0
+
+    def flush() -> None:
+        nonlocal part, held
+        packed = np.concatenate(part)
+        packed.sort()
+        found = packed >> spare
+        first = np.flatnonzero(np.diff(found, prepend=-1))
+        value = np.repeat(values[np.searchsorted(keys, found[first])], np.diff(np.r_[first, len(found)]))
+        sums.extend(np.bincount(packed & (1 << spare) - 1, value, len(part)).tolist())
+        part, held = [], 0
+
+    for before, body in pieces:
+        part.append(grams(before, body, depth) << spare | len(part))
+        held += len(body)
+        if held >= PIECE_BYTES or len(part) == 1 << spare:
+            flush()
+    if part:
+        flush()
+    return sums
+
+
 def _scored(asked: pa.Table, chunks: pa.Table, depth: int, total: int, distinct: int) -> pa.Table:
     """Sums per piece of the chunk; ``asked`` holds what the chunk asked for (kind, key, value)."""
     kinds, keys, values = (asked.column(c).to_numpy() for c in ("kind", "key", "value"))
@@ -208,21 +250,19 @@ def _scored(asked: pa.Table, chunks: pa.Table, depth: int, total: int, distinct:
     known: dict[bytes, int] = {}
     for payload in chunks.column("payload"):
         held = _unpacked(payload)
-        for row, doc_id, held_out, before, body in zip(*(held[c] for c in ("row", "doc_id", "held_out", "before", "body")),
-                                                       strict=True):
+        out["score"] += _sums(list(zip(held["before"], held["body"], strict=True)), depth, gram_keys, gram_values)
+        for row, doc_id, held_out, body in zip(*(held[c] for c in ("row", "doc_id", "held_out", "body")), strict=True):
             tokens = _tokens(body)
             if new := [word for word in dict.fromkeys(tokens) if word not in known]:
                 at = np.searchsorted(word_keys, np.array([word_key(word) for word in new], np.int64))
                 known.update(zip(new, word_values[at].astype(np.int64).tolist(), strict=True))
             counts = np.array([known[word] for word in tokens], np.int64)
-            values = grams(before, body, depth)
             out["row"].append(row)
             out["doc_id"].append(doc_id)
             out["held_out"].append(held_out)
             out["n_tokens"].append(len(tokens))
             out["n_known"].append(int((counts > 0).sum()))
             out["base_score"].append(float((np.log10(counts + 1) - bottom).sum()))
-            out["score"].append(float(gram_values[np.searchsorted(gram_keys, values)].sum()))
     return pa.table({"row": pa.array(out["row"], pa.int64()), "doc_id": pa.array(out["doc_id"], pa.int64()),
                      "held_out": pa.array(out["held_out"], pa.bool_()),
                      "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
