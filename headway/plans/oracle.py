@@ -419,10 +419,10 @@ _SELECTS = {
                             count(*) FILTER (id IS NOT NULL AND happened IS NOT NULL) AS good FROM broken_positions)""",
     "dim_route_scd2_snapshots": """
         SELECT row_number() OVER (ORDER BY no, route_id) AS route_sk, route_id, route_number, vehicle_type,
-               CAST(base_fare AS DOUBLE) AS base_fare, at AS valid_from_dts,
-               strftime(coalesce(next_at, TIMESTAMP '9999-12-31'), '%Y-%m-%d %H:%M:%S') AS valid_to_dts,
-               next_at IS NULL AS is_current, coalesce(next_at, at) AS updated_dts
-        FROM (SELECT *, lead(at) OVER (PARTITION BY route_id ORDER BY no) AS next_at FROM (
+               CAST(base_fare AS DOUBLE) AS base_fare, since AS valid_from_dts,
+               strftime(coalesce(next_since, TIMESTAMP '9999-12-31'), '%Y-%m-%d %H:%M:%S') AS valid_to_dts,
+               next_since IS NULL AS is_current, coalesce(next_since, since) AS updated_dts
+        FROM (SELECT *, lead(since) OVER (PARTITION BY route_id ORDER BY no) AS next_since FROM (
           SELECT *, lag(base_fare) OVER (PARTITION BY route_id ORDER BY no) AS before FROM route_states)
           WHERE before IS NULL OR before <> base_fare)""",
     "ledger_load": """
@@ -473,7 +473,7 @@ firsts AS (
 _STATES = """,
 steps AS (SELECT unnest(['batches', 'loaded', 'rejected']) AS kind),
 route_states AS (
-  SELECT 0 AS no, TIMESTAMP '1995-01-01' AS at, * FROM early_routes
+  SELECT 0 AS no, TIMESTAMP '1995-01-01' AS since, * FROM early_routes
   UNION ALL
   SELECT no, make_timestamp(1996 + no, 1, 1, 0, 0, 0), route_id, route_number, vehicle_type,
          CASE WHEN (no IN (2, 3) AND vehicle_type = 'PROMO') OR (no IN (3, 4) AND vehicle_type = 'STANDARD')
