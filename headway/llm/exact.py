@@ -16,7 +16,7 @@ def mark_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Texts are equal when identical; null counts as empty. Of equal texts the largest doc_id stays; a null id
     is smaller than any other. Of rows that repeat both text and doc_id one stays, any one, as nothing tells
-    them apart. An empty table gives an empty result. Other columns are ignored.
+    them apart. An empty table gives an empty result. Other columns are ignored. Texts of any length are hashed whole.
 
     Texts are read once. Their length, the hash of their first characters and their digest go to a narrow
     table, of which each round of refinement reads only the columns it compares: lengths of all rows, prefix

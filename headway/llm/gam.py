@@ -200,7 +200,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """doc_id and score (0 to 1, higher for label 1) of every row, from its whole text alone.
 
     A null or empty text has a score too, that of a text without words; repeated rows get the same score; a null
-    doc_id stays null; an empty table gives an empty result. Other columns are ignored. Counting is native, adding
+    doc_id stays null; an empty table gives an empty result. Other columns are ignored, texts of any length are
+    counted whole. Counting is native, adding
     up bins is one vectorised pass over batches of features, and nothing is shuffled.
     """
     ship(docs.sparkSession)

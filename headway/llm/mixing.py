@@ -151,7 +151,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", weights
 
     Rows without a source are a source of their own. Rows that repeat doc_id, source and size cannot be told
     apart: they are one item and get the same copies, and a null doc_id is an id like any other. A document
-    without words counts no words and gets the certain copies only. An empty table gives an empty result.
+    without words counts no words and gets the certain copies only; a very long one is taken whole or not. An empty
+    table gives an empty result.
     """
     docs = docs.drop("source_size", "target", "copies", "taken")
     rows = docs.withColumns({"__id": F.col(doc_id), "__source": F.col(source), "__size": F.col("size")})

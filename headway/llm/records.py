@@ -83,7 +83,8 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
 
     A null or empty text gives the end id alone. Rows that repeat a doc_id each get a record, in any order
     among themselves; their place in the input is part of the sort key, so no id is too frequent for one
-    task. An empty table gives a folder without records. Other columns are ignored.
+    task. An empty table gives a folder without records. Other columns are ignored. A very long text makes one long
+    record; files end after 5,000 records, so only files of such texts grow beyond the usual.
     """
     ship(docs.sparkSession)
     tokenizer = tokenizer or default_tokenizer()

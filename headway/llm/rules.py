@@ -104,7 +104,7 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 
     ``base_failed``: under 20 words, or over 30 % of the words in repeated windows. ``kept``: the base holds
     and so does every rule. An empty or null text fails. Equal texts get equal verdicts, and a text at a
-    threshold passes.
+    threshold passes. Texts of any length are judged whole, in their row.
     """
     checks = []
     for rule in rules:

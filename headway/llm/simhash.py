@@ -111,7 +111,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Documents link if their fingerprints differ in at most ``radius`` bits; ``component_id`` is the smallest
     doc_id that links reach, the document itself included. A null or empty text has the fingerprint 0 and links
     like any other; a null doc_id is passed over in the minimum. Repeated rows each get a row. Other columns
-    are ignored, an empty table gives an empty result. ``content`` tells rows with the same doc_id apart, and
+    are ignored, an empty table gives an empty result; a very long text is read whole, hashed in parts. ``content`` tells rows with the same doc_id apart, and
     ``component``, a fingerprint of the component, components that share a doc_id.
 
     Documents with the same fingerprint are one node from the start, combined before the exchange, so a
