@@ -207,7 +207,7 @@ def test_only_the_folders_of_unloaded_batches_are_read(spark, raw, folder):
     assert "PartitionFilters: [isnotnull(batch_id" in plan or "PartitionFilters: [(batch_id" in plan
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.permutations(["b1", "b2", "b3"]), st.lists(st.sampled_from(["only", "all", "unloaded"]), min_size=3, max_size=3))
 def test_nothing_staged_is_lost_in_any_order_of_loads(spark, raw, tmp_path_factory, order, ways):
     source, root = str(tmp_path_factory.mktemp("raw")), str(tmp_path_factory.mktemp("warehouse"))
