@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from headway.functions.calendar import instant
 from headway.operators import marts
-from headway.session import scratch_table
 from headway.sources.warehouse import Warehouse
 
 PENDING, PARTIALS, SHOWN = "rides_pending", "rides_partial", "rides_shown"
@@ -42,14 +41,13 @@ def settle(warehouse: Warehouse) -> list[int]:
         warehouse.replace(warehouse.read(PARTIALS), PARTIALS)
     for label, load_dts in loads.items():
         sums = marts.partial_rides(new_rides(warehouse, load_dts)).withColumn("load", F.lit(label))
-        with scratch_table(warehouse.spark, sums, "rides-partial") as stored:
-            warehouse.replace_batches(stored, PARTIALS, [label])
-    return _months(warehouse.read_batches(PARTIALS, list(loads))) if loads else []
+        warehouse.overwrite_batch(sums, PARTIALS, label)
+    return sorted(warehouse.months(PARTIALS, list(loads)))
 
 
-def _months(partials: DataFrame) -> list[int]:
-    found = partials.select((F.year("date") * 100 + F.month("date")).alias("m")).where("m IS NOT NULL").distinct()
-    return sorted(r.m for r in found.collect())
+def _of_months(warehouse: Warehouse, months: set[int]) -> DataFrame:
+    found = warehouse.read(PARTIALS, min(months), max(months))
+    return found.where((F.year("date") * 100 + F.month("date")).isin(*months))
 
 
 def refresh(warehouse: Warehouse) -> list[int]:
@@ -59,18 +57,20 @@ def refresh(warehouse: Warehouse) -> list[int]:
     number than it did. No ride is read but those of announced loads.
     """
     months = set(settle(warehouse))
-    partials = warehouse.read(PARTIALS)
     shows = warehouse.read("dim_route_scd2").where("is_current").select("route_sk", "route_number")
-    before = warehouse.read(SHOWN).select("route_sk", F.col("route_number").alias("__was"), F.lit(True).alias("__shown"))
-    moved = (shows.withColumn("__shows", F.lit(True)).join(before, "route_sk", "full")
-             .where("NOT (__shows <=> __shown AND route_number <=> __was)").select("route_sk"))
-    months |= set(_months(partials.join(moved, "route_sk", "left_semi")))
+    others = warehouse.months(PARTIALS, warehouse.batches(PARTIALS)) - months
+    if others:
+        before = warehouse.read(SHOWN).select("route_sk", F.col("route_number").alias("__was"), F.lit(True).alias("__shown"))
+        moved = (shows.withColumn("__shows", F.lit(True)).join(before, "route_sk", "full")
+                 .where("NOT (__shows <=> __shown AND route_number <=> __was)").select("route_sk"))
+        found = _of_months(warehouse, others).join(moved, "route_sk", "left_semi")
+        found = found.select((F.year("date") * 100 + F.month("date")).alias("m")).distinct()
+        months |= {r.m for r in found.collect()}
     if months:
-        rows = warehouse.read(PARTIALS, min(months), max(months)).where((F.year("date") * 100 + F.month("date")).isin(*months))
-        warehouse.overwrite_partitions(marts.mart_of_partials(rows, shows), "dm_rides_by_route_hour")
+        warehouse.overwrite_partitions(marts.mart_of_partials(_of_months(warehouse, months), shows), "dm_rides_by_route_hour")
     # Last, so that a refresh that broke off does all of this again.
     warehouse.replace(shows, SHOWN)
     warehouse.replace(warehouse.read(PENDING).limit(0), PENDING)
     if len(warehouse.batches(PARTIALS)) > KEEP_LOADS:
-        warehouse.replace(marts.add_partials(partials).withColumn("load", F.lit(_FOLDED)), PARTIALS)
+        warehouse.replace(marts.add_partials(warehouse.read(PARTIALS)).withColumn("load", F.lit(_FOLDED)), PARTIALS)
     return sorted(months)

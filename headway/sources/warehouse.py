@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.schemas import WAREHOUSE, Table
-from headway.session import file_system
+from headway.session import file_system, input_bytes
 
 _VERSION = "version-"
+# Facts are gathered by this many consecutive date keys: a file holds some days of a month, a month has four groups.
+_DAYS = 10
 
 
 class Warehouse:
@@ -100,6 +102,22 @@ class Warehouse:
         names = [status.getPath().getName() for status in files.listStatus(location)]
         return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
 
+    def months(self, name: str, batches: Sequence[str]) -> set[int]:
+        """The months that batches of a table kept by batch and month have rows in. Only folders are listed."""
+        part, found = WAREHOUSE[name].partition_by[0][0], set()
+        for batch in batches:
+            files, folder = file_system(self.spark, f"{self.path(name)}/{part}={batch}")
+            if files.exists(folder):
+                names = [status.getPath().getName() for status in files.listStatus(folder)]
+                found |= {int(n.removeprefix("month=")) for n in names if re.fullmatch(r"month=-?\d+", n)}
+        return found
+
+    def batch_bytes(self, name: str, batches: Sequence[str]) -> int:
+        """The size of the files of some batches."""
+        table = WAREHOUSE[name]
+        folders = [f"{self.path(name)}/{table.partition_by[0][0]}={b}" for b in sorted(set(batches))]
+        return input_bytes(self.spark, *[f for f in folders if self._exists(f)])
+
     def read_batches(self, name: str, batches: Sequence[str]) -> DataFrame:
         """The rows of some batches of a table kept by batch. No other folder is listed or opened."""
         table, path = WAREHOUSE[name], self.path(name)
@@ -117,9 +135,11 @@ class Warehouse:
             {part: F.expr(source) for part, source in table.partition_by if part != source})
         # AQE fits the files to the advisory size: it merges small groups and splits very large ones.
         # A staged batch is written as it was read: shuffling it would only size the files.
+        # Gathered by single days, every task would hold days of every month and write a file for each.
         if table.layer != "stg":
-            group = table.cluster_by or tuple(parts)
-            rows = rows.hint("rebalance", *group) if group else rows.hint("rebalance")
+            group = [f"__{c}" for c in table.cluster_by] or parts
+            named = rows.withColumns({f"__{c}": F.expr(f"{c} div {_DAYS}") for c in table.cluster_by})
+            rows = (named.hint("rebalance", *group) if group else named.hint("rebalance")).drop(*group if table.cluster_by else ())
         order = (*parts, *table.cluster_by, *table.sort_by)
         return rows.sortWithinPartitions(*order) if order else rows
 
@@ -137,14 +157,14 @@ class Warehouse:
          .option("partitionOverwriteMode", "dynamic").parquet(self.path(name)))
 
     def overwrite_batch(self, rows: DataFrame, name: str, batch_id: str) -> None:
-        """Replace one batch of a table kept by ``batch_id``, also when there are no rows for it now.
+        """Replace one batch of a table kept by batch, also when there are no rows for it now.
 
         The stored rows stay in place until the new ones are written in full. The rows are computed once:
         whether there were any shows in the folder they leave.
         """
         if not re.fullmatch(r"[\w.-]+", batch_id):
             raise ValueError(f"a batch id consists of letters, digits, '_', '-' and '.', not {batch_id!r}")
-        files, folder = file_system(self.spark, f"{self.path(name)}/batch_id={batch_id}")
+        files, folder = file_system(self.spark, f"{self.path(name)}/{WAREHOUSE[name].partition_by[0][0]}={batch_id}")
         before = self._files(files, folder)
         self.overwrite_partitions(rows, name)
         # Replacing a partition leaves no file of before in it; no rows leave the partition untouched.
@@ -164,7 +184,10 @@ class Warehouse:
     def _files(files, folder) -> set[str]:
         if not files.exists(folder):
             return set()
-        return {status.getPath().getName() for status in files.listStatus(folder)}
+        found, names = files.listFiles(folder, True), set()
+        while found.hasNext():
+            names.add(found.next().getPath().toString())
+        return names
 
     def replace(self, rows: DataFrame, name: str) -> None:
         """Write the whole table as its next version. Readers see it when the write is finished.

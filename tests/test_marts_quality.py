@@ -115,3 +115,11 @@ def test_overlapping_versions(core, rows):
     routes = core("dim_route_scd2", *sound, *broken)
     assert rows(quality.overlapping_versions(routes), "violations") == [(3,)]
     assert rows(quality.overlapping_versions(core("dim_route_scd2")), "violations") == [(0,)]
+
+
+def test_mart_of_partials_looks_numbers_up_before_it_adds(core):
+    partials = marts.partial_rides(_rides(core))
+    plan = marts.mart_of_partials(partials, _routes(core).select("route_sk", "route_number"))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    # One sum by the mart's own key above the join, and the sums of rides below it.
+    assert text.count("Aggregate") == 2
