@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import partial, reduce
 
@@ -47,6 +48,11 @@ def load_staging(warehouse: Warehouse, raw: dict[str, DataFrame], batch_id: str,
         warehouse.overwrite_batch(reduce(DataFrame.unionByName, found), "stg.unreadable", batch_id)
 
 
+# Files of batches whose keys may still be broadcast. The keys of larger ones are shuffled, as the stored ones are then;
+# picking the stored keys among them first would only read and shuffle the batches twice.
+FEW_BYTES = 16 << 20
+
+
 class _Staged:
     """The staged rows a load reads: those of the chosen batches, and rejected rows of others to try again.
 
@@ -89,7 +95,9 @@ class _Staged:
         """The stored fact, or of it the keys that are among the rows, where these are few."""
         fact = _FACT_OF[name]
         stored = self._warehouse.read(fact)
-        return stored if self.is_whole else stored_among(stored, self.rows(name), CORE[fact].key[0])
+        if self.is_whole or self._warehouse.batch_bytes(f"stg.{name}", self._chosen[name]) > FEW_BYTES:
+            return stored
+        return stored_among(stored, self.rows(name), CORE[fact].key[0])
 
 
 def load_core(warehouse: Warehouse, batch_id: str, load_dts: str, *, users: str = "insert",
@@ -189,16 +197,16 @@ def _load_facts(warehouse: Warehouse, staged: _Staged, load_dts: str, route_look
         return facts.position_facts(staged.rows("vehicle_positions"), vehicles, load_dts,
                                     staged.known("vehicle_positions"), carry)
 
-    def load(*steps: tuple[str, Callable[[], DataFrame]]) -> dict[str, int]:
-        for name, build in steps:
-            append_fact(warehouse, build(), _FACT_OF[name], staged.batches(name))
-        return {_FACT_OF[name]: read(f"{_FACT_OF[name]}_rejects").count() for name, _ in steps}
+    def load(name: str, build: Callable[[], DataFrame], after: Callable[[], object] | None = None) -> int:
+        append_fact(warehouse, build(), _FACT_OF[name], staged.batches(name), after and (lambda _: after()))
+        return read(f"{_FACT_OF[name]}_rejects").count()
 
-    # Payments refer to rides and follow them.
-    first, second = side_by_side(
-        lambda: load(("rides", rides), ("payments", payments)),
-        lambda: load(("vehicle_positions", positions)))
-    return {**first, **second}
+    # Payments refer to rides: they are worked out at the same time, and appended when the rides are there.
+    with ThreadPoolExecutor(3) as threads:
+        first = threads.submit(load, "rides", rides)
+        counts = [first, threads.submit(load, "payments", payments, first.result),
+                  threads.submit(load, "vehicle_positions", positions)]
+        return {fact: count.result() for fact, count in zip(_FACT_OF.values(), counts, strict=True)}
 
 
 def load_mart(warehouse: Warehouse, from_month: int | None = None, to_month: int | None = None) -> None:

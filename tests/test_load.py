@@ -2,6 +2,7 @@ import os
 import re
 import subprocess
 import sys
+from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
 
@@ -377,3 +378,88 @@ def test_command_line(raw, rows, spark, folder):
     assert run.returncode == 0, run.stderr[-2000:]
     assert "'fact_ride': 1" in run.stdout
     assert Warehouse(spark, root).read("dm_rides_by_route_hour").count() == 2
+
+
+def test_a_load_of_many_months_writes_few_files_a_month(spark, core, rows, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    days = [dict(ride_id=f"{m}-{d}", start_date_sk=20240000 + 100 * m + d) for m in range(1, 4) for d in range(1, 29)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        warehouse.append(core("fact_ride", *days), "fact_ride")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    folders = sorted(Path(warehouse.path("fact_ride")).glob("month=*"))
+    assert [f.name for f in folders] == ["month=202401", "month=202402", "month=202403"]
+    assert all(len(list(f.glob("*.parquet"))) <= 4 for f in folders)
+    assert rows(warehouse.read("fact_ride"), "ride_id") == sorted(((d["ride_id"],) for d in days), key=repr)
+
+
+def test_stored_keys_are_picked_out_for_small_batches_only(spark, raw, folder, monkeypatch):
+    source, root = folder
+    _write_raw(raw, source)
+    warehouse = load_all(spark, read_raw(spark, source), root, "b1", DAY1)
+    load_staging(warehouse, read_raw(spark, source), "b2", DAY2)
+    staged = _Staged(warehouse, {name: ["b2"] for name in ledger.STAGING})
+    assert "Join" in staged.known("rides")._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr("headway.plans.load.FEW_BYTES", 0)
+    assert "Join" not in staged.known("rides")._jdf.queryExecution().optimizedPlan().toString()
+    assert load_core(warehouse, "b2", DAY2, only_batch=True)["fact_ride"] == 1
+    assert warehouse.read("fact_ride").count() == 2
+
+
+def test_payments_are_not_appended_before_the_rides(spark, raw, folder, monkeypatch):
+    source, root = folder
+    _write_raw(raw, source)
+    warehouse = Warehouse(spark, root)
+    load_staging(warehouse, read_raw(spark, source), "b1", DAY1)
+    whole = Warehouse.append
+    started = []
+
+    def append(self, rows, name):
+        started.append(name)
+        if name == "fact_ride":
+            raise OSError("no more room")
+        whole(self, rows, name)
+
+    monkeypatch.setattr(Warehouse, "append", append)
+    with pytest.raises(OSError, match="no more room"):
+        load_core(warehouse, "b1", DAY1)
+    assert "fact_ride" in started and "fact_payment" not in started
+
+
+def test_months_all_of_new_loads_are_not_searched_for_moved_routes(spark, raw, folder, monkeypatch):
+    source, root = folder
+    _write_raw(raw, source)
+    warehouse = Warehouse(spark, root)
+    load_staging(warehouse, read_raw(spark, source), "b1", DAY1)
+    load_core(warehouse, "b1", DAY1)
+    read = Warehouse.read
+    reads = []
+    monkeypatch.setattr(Warehouse, "read", lambda self, name, *a, **k: reads.append(name) or read(self, name, *a, **k))
+    assert mart.refresh(warehouse) == [202401]
+    assert "rides_shown" not in reads
+    assert warehouse.read("dm_rides_by_route_hour").count() == 2
+
+
+def test_a_load_without_rides_loses_its_sums(spark, raw, folder):
+    source, root = folder
+    _write_raw(raw, source)
+    warehouse = load_all(spark, read_raw(spark, source), root, "b1", DAY1)
+    label = warehouse.batches("rides_partial")[0]
+    assert warehouse.months("rides_partial", [label]) == {202401}
+    warehouse.overwrite_batch(warehouse.read("rides_partial").limit(0), "rides_partial", label)
+    assert warehouse.batches("rides_partial") == [] and warehouse.read("rides_partial").count() == 0
+
+
+def test_several_batches_read_the_joined_rides_once(spark, rows, tmp_path):
+    from headway.plans.queries import Tables
+    from headway.sources.supplied import SCHEMAS
+
+    at = datetime(1997, 1, 1)
+    spark.createDataFrame([(1, 2, 3, 1, 1.0, 5.0, 0.0, 0.0, "A", "F", at)], SCHEMAS["lineitem"]).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 7, "O", 5.0, at, "1-URGENT")], SCHEMAS["orders"]).write.parquet(f"{tmp_path}/orders.parquet")
+    rides = Tables(spark, str(tmp_path)).raw_rides()
+    assert "Join" not in rides._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(rides, "ride_id", "user_id") == [("1-1", 7)]
