@@ -90,6 +90,9 @@ class Tables:
             self._stored[name] = self.spark.read.schema(rows.schema).parquet(path)
         return self._stored[name]
 
+    def raw_rides(self) -> DataFrame:
+        return self._store("raw_rides", lambda: supplied.rides(self.spark, self.sf_dir))
+
     # Members that were active before the given dates, i.e. what an earlier batch held.
     def early_users(self) -> DataFrame:
         active = self.staged("payments").where(F.col("created_at") < instant(USERS_FROM))
@@ -433,6 +436,8 @@ def load_reconciliation(spark, sf_dir):
     are rejected until the second brings them. The positions come in both batches.
     """
     raw, t = supplied.raw_tables(spark, sf_dir), Tables(spark, sf_dir)
+    # Every batch reads the rides; they are joined once.
+    raw["rides"] = t.raw_rides()
     raw["payments"] = _without_some_ids(raw["payments"])
     raw["vehicle_positions"] = _without_some_ids_and_times(raw["vehicle_positions"])
     first, second = dict(raw), dict(raw)
@@ -461,6 +466,8 @@ def ledger_load(spark, sf_dir):
     The first batch lacks most users, so its rides and payments wait; the second load takes the other two batches.
     """
     raw, t = supplied.raw_tables(spark, sf_dir), Tables(spark, sf_dir)
+    # Every batch reads the rides; they are joined once.
+    raw["rides"] = t.raw_rides()
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     bounds = ["1900-01-01T00:00:00Z", "1997-01-01T00:00:00Z", FACTS_FROM, "2100-01-01T00:00:00Z"]
     for n, (since, until) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), 1):
