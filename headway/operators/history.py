@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.calendar import instant
 from headway.operators.dimensions import ROUTE_ATTRIBUTES, mark_known, open_versions
-from headway.operators.keys import highest, latest_per_key, number_rows, with_key
+from headway.operators.keys import by_rows, highest, latest_per_key, number_rows, with_key
 from headway.schemas import CORE, OPEN_END
 
 
@@ -121,7 +121,7 @@ def version_at(rows: DataFrame, dimension: DataFrame, at: str) -> DataFrame:
                                 "valid_from_dts", "valid_to_dts")
     match = ((F.col("route_id") == F.col("__route_id")) & (F.col("valid_from_dts") <= F.col(at))
              & (F.col(at) < F.col("valid_to_dts")))
-    return (rows.join(versions, match, "left")
+    return (rows.join(by_rows(versions), match, "left")
             .drop("__route_id", "valid_from_dts", "valid_to_dts"))
 
 

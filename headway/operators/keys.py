@@ -22,13 +22,36 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str],
     return rows.selectExpr("*", f"{rank} AS __rank").where("__rank = 1").drop("__rank")
 
 
+def _is_read(plan) -> bool:
+    """Whether a logical plan does no more than read, filter and project tables, one below another."""
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    return not children or plan.nodeName() in ("Project", "Filter", "Union") and all(map(_is_read, children))
+
+
+def by_rows(side: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """``side`` of a join, kept from being broadcast if its rows are too many for that.
+
+    Spark takes the size of files for the size of rows. Numbers and sorted keys are stored so closely that millions of
+    rows pass for a few megabytes, which the driver then has to hold as a hash table; AQE does not take that back, as
+    it would cost a shuffle. Here the rows are counted, which reads file footers and what filters need, and only where
+    Spark would broadcast. ``source`` is counted in place of ``side`` that comes of it by grouping: it has no fewer rows.
+    Nothing is counted that would have to be worked out.
+    """
+    plan, most = side._jdf.queryExecution().optimizedPlan(), side.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    source = side if source is None else source
+    if plan.stats().sizeInBytes() > most or not _is_read(source._jdf.queryExecution().optimizedPlan()):
+        return side
+    width = side._jdf.schema().defaultSize() + 8
+    return side.hint("merge") if source.count() * width > most else side
+
+
 def unseen(rows: DataFrame, existing: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Rows whose key is not among the existing ones.
 
     Existing keys should be unique, as stored tables keep them: the join cannot split copies of one.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return rows.join(existing.select(*keys), keys, "left_anti")
+    return rows.join(by_rows(existing.select(*keys)), keys, "left_anti")
 
 
 def with_key(rows: DataFrame, key: str) -> DataFrame:
@@ -43,7 +66,7 @@ def stored_among(existing: DataFrame, incoming: DataFrame, key: str) -> DataFram
     For a batch that is small beside the stored table: its keys are broadcast, the stored keys are only
     scanned, and what is left for `unseen` is small. Otherwise it would be a shuffle more.
     """
-    return existing.select(key).join(incoming.select(key).distinct(), key, "left_semi")
+    return existing.select(key).join(by_rows(incoming.select(key).distinct(), incoming.select(key)), key, "left_semi")
 
 
 def highest(existing: DataFrame, sk: str) -> Column:
@@ -94,4 +117,4 @@ def look_up(rows: DataFrame, dimension: DataFrame, key: str, sk: str) -> DataFra
     No broadcast is forced: dimensions grow with the data. Small ones are broadcast by the size
     threshold, and a hot key in a shuffled join is split by AQE, which may split the row side here.
     """
-    return rows.join(dimension.select(key, sk), key, "left")
+    return rows.join(by_rows(dimension.select(key, sk)), key, "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.operators.keys import by_rows
 
 def _hourly(rides: DataFrame, *extra: Column) -> DataFrame:
     return (rides.groupBy("route_number", F.to_date("start_time").alias("date"),
@@ -22,13 +23,13 @@ def rides_by_route_hour(rides: DataFrame, routes: DataFrame) -> DataFrame:
     Only current versions are joined: rides on a closed version count under a null route number.
     """
     current = routes.where("is_current").select("route_sk", "route_number")
-    return _hourly(rides.join(current, "route_sk", "left"))
+    return _hourly(rides.join(by_rows(current), "route_sk", "left"))
 
 
 def rides_by_route_version(rides: DataFrame, routes: DataFrame) -> DataFrame:
     """As `rides_by_route_hour`, but by the version each ride refers to, with its average tariff."""
     versions = routes.select("route_sk", "route_number", "base_fare")
-    return _hourly(rides.join(versions, "route_sk", "left"),
+    return _hourly(rides.join(by_rows(versions), "route_sk", "left"),
                    F.avg("base_fare").cast("double").alias("avg_base_fare"))
 
 
@@ -55,7 +56,7 @@ def mart_of_partials(partials: DataFrame, shows: DataFrame) -> DataFrame:
 
     The number is looked up first: sums per route version would be shuffled, though hardly fewer than the partial ones.
     """
-    summed = add_partials(partials.join(shows, "route_sk", "left"), "route_number", "date", "hour")
+    summed = add_partials(partials.join(by_rows(shows), "route_sk", "left"), "route_number", "date", "hour")
     return summed.select("route_number", "date", "hour", F.col("trips").cast("int").alias("trips_count"),
                          F.expr("CAST(fare_sum / CAST(nullif(fares, 0) AS DECIMAL(12,0)) AS DECIMAL(14,6))").cast("double").alias("avg_fare"),
                          F.expr("CAST(duration_sum AS DOUBLE) / nullif(durations, 0)").alias("avg_duration_s"))

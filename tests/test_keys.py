@@ -1,7 +1,8 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from headway.operators.keys import highest, latest_per_key, look_up, number_rows, unseen
+from headway.operators.keys import by_rows, highest, latest_per_key, look_up, number_rows, stored_among, unseen
 
 
 def test_newest_batch_wins_with_one_row_per_key(stg, rows):
@@ -76,3 +77,43 @@ def test_look_up_gives_null_for_unknown_and_null_keys(stg, core, rows):
     vehicles = core("dim_vehicle", dict(vehicle_sk=11, vehicle_id=1))
     assert rows(look_up(rides, vehicles, "vehicle_id", "vehicle_sk"), "ride_id", "vehicle_sk") == [
         ("a", 11), ("b", None), ("c", None)]
+
+
+def _written(spark, path, n):
+    """Keys of n rows as a stored table; many of them take few bytes."""
+    spark.range(n).selectExpr("id AS user_id", "id + 1 AS user_sk").write.option("compression", "zstd").parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def _broadcasts(df):
+    return "Broadcast" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_rows_in_small_files_are_not_broadcast(spark, tmp_path):
+    few, many = _written(spark, tmp_path / "few", 1_000), _written(spark, tmp_path / "many", 700_000)
+    most = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    assert many._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < most
+    rides = many.select("user_id")
+    assert _broadcasts(look_up(rides, few, "user_id", "user_sk"))
+    assert _broadcasts(unseen(rides, few, "user_id"))
+    found = look_up(rides.selectExpr("user_id + 1 AS user_id"), many, "user_id", "user_sk")
+    assert not _broadcasts(found)
+    assert found.selectExpr("count(user_sk)", "count_if(user_sk = user_id + 1)", "count(*)").first() == (699_999, 699_999, 700_000)
+    new = unseen(rides.selectExpr("user_id + 1 AS user_id"), many, "user_id")
+    assert not _broadcasts(new)
+    assert [tuple(r) for r in new.collect()] == [(700_000,)]
+
+
+def test_many_grouped_keys_are_not_broadcast(spark, tmp_path):
+    few, many = _written(spark, tmp_path / "few", 1_000), _written(spark, tmp_path / "many", 700_000)
+    assert _broadcasts(stored_among(many, few, "user_id"))
+    among = stored_among(many, many.unionByName(few), "user_id")
+    assert not _broadcasts(among)
+    assert among.count() == 700_000
+
+
+def test_rows_are_not_counted_where_that_would_be_work(spark, tmp_path):
+    few = _written(spark, tmp_path / "few", 1_000)
+    failing = few.groupBy("user_id").agg(F.max("user_sk").alias("user_sk")).withColumn(
+        "user_sk", F.raise_error(F.lit("worked out")).cast("bigint"))
+    assert by_rows(failing) is failing
