@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import dimensions, facts, history, marts
-from headway.operators.keys import stored_among, unseen
+from headway.operators.keys import by_rows, stored_among, unseen
 from headway.operators.staging import stage, stage_rejects
 from headway.plans import mart
 from headway.schemas import BEFORE_ALL, CORE, STAGING
@@ -69,7 +69,7 @@ class _Staged:
         if listed is None:
             return None
         batches = [r.load_batch for r in listed.select("load_batch").distinct().collect()]
-        return (listed.select(CORE[fact].key[0]).distinct(), batches) if batches else None
+        return (listed.select(CORE[fact].key[0]), batches) if batches else None
 
     @property
     def is_whole(self) -> bool:
@@ -89,15 +89,16 @@ class _Staged:
             return self.batch(name)
         keys, batches = again
         earlier = self._warehouse.read_batches(f"stg.{name}", batches)
-        return self.batch(name).unionByName(earlier.join(keys, CORE[_FACT_OF[name]].key[0], "left_semi"))
+        return self.batch(name).unionByName(earlier.join(by_rows(keys.distinct(), keys), CORE[_FACT_OF[name]].key[0], "left_semi"))
 
     def known(self, name: str) -> DataFrame:
         """The stored fact, or of it the keys that are among the rows, where these are few."""
         fact = _FACT_OF[name]
-        stored = self._warehouse.read(fact)
+        stored, key = self._warehouse.read(fact), CORE[fact].key[0]
         if self.is_whole or self._warehouse.batch_bytes(f"stg.{name}", self._chosen[name]) > FEW_BYTES:
             return stored
-        return stored_among(stored, self.rows(name), CORE[fact].key[0])
+        again, keys = self._waiting.get(name), self.batch(name).select(key)
+        return stored_among(stored, keys if again is None else keys.unionByName(again[0]), key)
 
 
 def load_core(warehouse: Warehouse, batch_id: str, load_dts: str, *, users: str = "insert",

@@ -96,7 +96,8 @@ class Tables:
     # Members that were active before the given dates, i.e. what an earlier batch held.
     def early_users(self) -> DataFrame:
         active = self.staged("payments").where(F.col("created_at") < instant(USERS_FROM))
-        return self.staged("users").join(active.select("user_id").distinct(), "user_id", "left_semi")
+        active = active.select("user_id")
+        return self.staged("users").join(keys.by_rows(active.distinct(), active), "user_id", "left_semi")
 
     def early_routes(self) -> DataFrame:
         active = self.staged("rides").where(F.col("start_time") < instant(ROUTES_FROM))
@@ -441,7 +442,7 @@ def load_reconciliation(spark, sf_dir):
     raw["payments"] = _without_some_ids(raw["payments"])
     raw["vehicle_positions"] = _without_some_ids_and_times(raw["vehicle_positions"])
     first, second = dict(raw), dict(raw)
-    first["users"] = raw["users"].join(t.early_users().select("user_id"), "user_id", "left_semi")
+    first["users"] = raw["users"].join(keys.by_rows(t.early_users().select("user_id"), raw["users"].select("user_id")), "user_id", "left_semi")
     for name, at in (("rides", "start_time"), ("payments", "created_at")):
         first[name] = raw[name].where(F.col(at) < instant(FACTS_FROM))
         second[name] = raw[name].where(F.col(at) >= instant(FACTS_FROM))
@@ -475,7 +476,7 @@ def ledger_load(spark, sf_dir):
         for name, at in (("rides", "start_time"), ("payments", "created_at")):
             batch[name] = raw[name].where((F.col(at) >= instant(since)) & (F.col(at) < instant(until)))
         if n == 1:
-            batch["users"] = raw["users"].join(t.early_users().select("user_id"), "user_id", "left_semi")
+            batch["users"] = raw["users"].join(keys.by_rows(t.early_users().select("user_id"), raw["users"].select("user_id")), "user_id", "left_semi")
         load_staging(warehouse, batch, f"b{n}", f"2024-02-0{n}T00:00:00Z")
         if n != 2:
             load_core(warehouse, f"b{n}", f"2024-02-0{n}T00:00:00Z", unloaded=True)

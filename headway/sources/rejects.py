@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.operators import facts
+from headway.operators.keys import by_rows
 from headway.schemas import CORE
 from headway.session import scratch_table
 from headway.sources.warehouse import Warehouse
@@ -33,7 +34,7 @@ def append_fact(warehouse: Warehouse, rows: DataFrame, name: str, batches: Seque
         touched = set(before) if batches is None else set(batches) & set(before)
         if batches is not None and before:
             listed = warehouse.read(table).where(~F.col("load_batch").isin(*batches))
-            tried = found.select(key).where(F.col(key).isNotNull()).distinct()
+            tried = by_rows(found.select(key).where(F.col(key).isNotNull()).distinct(), found.select(key))
             met = [r.load_batch for r in listed.join(tried, key, "left_semi").select("load_batch").distinct().collect()]
             touched |= set(met)
             if met:
